@@ -51,3 +51,11 @@ def equal_width_bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:
     width = (hi2 - lo2) / F.lit(float(bins))
     raw = F.floor((x - lo2) / width).cast("bigint")
     return F.least(F.greatest(raw, F.lit(0).cast("bigint")), F.lit(bins - 1).cast("bigint"))
+
+
+def round_half_up(c: Column | str, places: int) -> Column:
+    """``floor(x · 10^p + 0.5) / 10^p`` — the same IEEE steps in every engine,
+    unlike ``round``, which may round the decimal text or the binary value."""
+    col = F.col(c) if isinstance(c, str) else c
+    scale = float(10 ** places)
+    return F.floor(col.cast("double") * F.lit(scale) + F.lit(0.5)) / F.lit(scale)

@@ -410,3 +410,305 @@ def q_eval_rules(spark, sf_dir):
                                "WHERE k = 10")
 def q_per_user_ndcg(spark, sf_dir):
     return _rounded(met.per_user_ndcg(_per_user(spark, sf_dir), cm.KS), ["ndcg"])
+
+
+# ------------------------------------------------------------------- ALS --
+# Rows-only keys: factor values depend on MLlib's initialisation, so they are
+# checked by row counts here and by the normal-equation fixed point in pytest.
+def _als(spark, sf_dir):
+    return cm.als_model(spark, sf_dir)
+
+
+@query("als_factors")
+def q_als_factors(spark, sf_dir):
+    return _als(spark, sf_dir).user_factors()
+
+
+@query("als_recommend_one")
+def q_als_recommend_one(spark, sf_dir):
+    first = cm.truth(spark, sf_dir).agg(F.min("user_id").alias("user_id"))
+    return _als(spark, sf_dir).recommend(first, cm.TOP_N)
+
+
+@query("als_recommend")
+def q_als_recommend(spark, sf_dir):
+    from basketry.operators.predict import default_cohort
+    s = cm.split(spark, sf_dir)
+    cohort = default_cohort(s.test, cm.encoder(spark, sf_dir))
+    return _als(spark, sf_dir).recommend(cohort, cm.TOP_N)
+
+
+@query("als_recommend_new")
+def q_als_recommend_new(spark, sf_dir):
+    from basketry.operators.predict import default_cohort
+    s = cm.split(spark, sf_dir)
+    cohort = default_cohort(s.test, cm.encoder(spark, sf_dir))
+    return _als(spark, sf_dir).recommend(cohort, cm.TOP_N, filter_already_liked=True)
+
+
+@query("als_roundtrip")
+def q_als_roundtrip(spark, sf_dir):
+    from basketry.operators.als import ALSRecommender
+    from basketry.operators.predict import default_cohort
+    path = scratch_dir(spark, "als-model")
+    _als(spark, sf_dir).save(path)
+    loaded = ALSRecommender.load(spark, path)
+    s = cm.split(spark, sf_dir)
+    return loaded.recommend(default_cohort(s.test, cm.encoder(spark, sf_dir)), cm.TOP_N)
+
+
+@query("eval_als")
+def q_eval_als(spark, sf_dir):
+    truth = cm.truth(spark, sf_dir)
+    recs = _als(spark, sf_dir).recommend(truth.select("user_id").distinct(), KMAX)
+    return met.evaluate(recs, truth, cm.KS)[0]
+
+
+# ------------------------------------------------------------- inference --
+from basketry.operators import predict as prd  # noqa: E402
+from basketry.operators import report as rep  # noqa: E402
+
+COHORT_SQL = """,
+cohort AS (SELECT DISTINCT user_id FROM test WHERE user_id IN (SELECT user_id FROM users)),
+preds AS (SELECT * FROM recs WHERE user_id IN (SELECT user_id FROM cohort))"""
+INFER = sql.with_(sql.rule_ctes(), sql.scoring_ctes("train", "user_id", cm.TOP_N), COHORT_SQL)
+INFER_EVAL = sql.with_(sql.rule_ctes(), sql.scoring_ctes("train", "user_id", KMAX),
+                       sql.metric_ctes(cm.KS))
+
+
+@query("cohort_default", INFER + " SELECT user_id FROM cohort")
+def q_cohort_default(spark, sf_dir):
+    return cm.brand_cohort(spark, sf_dir)
+
+
+@query("predictions", INFER + " SELECT * FROM preds")
+def q_predictions(spark, sf_dir):
+    return cm.brand_predictions(spark, sf_dir)
+
+
+@query("eval_restricted", INFER + """
+SELECT user_id, product_id FROM truth WHERE user_id IN (SELECT user_id FROM cohort)""")
+def q_eval_restricted(spark, sf_dir):
+    return met.restrict_truth(cm.truth(spark, sf_dir, "brand"), cm.brand_cohort(spark, sf_dir))
+
+
+@query("predictions_nested")
+def q_predictions_nested(spark, sf_dir):
+    return prd.nested(cm.brand_predictions(spark, sf_dir))
+
+
+@query("split_roundtrip", SPLIT + """
+SELECT user_id, product_id, CASE WHEN fold = 'train' THEN purchase_count END AS purchase_count,
+       fold FROM folds""")
+def q_split_roundtrip(spark, sf_dir):
+    s = cm.split(spark, sf_dir)
+    path = scratch_dir(spark, "split")
+    sinks.write_split(s.train, s.test, path)
+    train, test = sinks.read_split(spark, path)
+    return (train.withColumn("fold", F.lit("train"))
+                 .unionByName(test.withColumns({"purchase_count": F.lit(None).cast("bigint"),
+                                                "fold": F.lit("test")})))
+
+
+@query("predictions_roundtrip", INFER + " SELECT *, 'fpgrowth' AS algorithm FROM preds")
+def q_predictions_roundtrip(spark, sf_dir):
+    path = scratch_dir(spark, "predictions")
+    sinks.write_predictions(cm.brand_predictions(spark, sf_dir), path, "fpgrowth")
+    return sinks.read_predictions(spark, path, "fpgrowth")
+
+
+@query("eval_union", INFER_EVAL + """
+SELECT *, 'fpgrowth' AS algorithm, 'train' AS stage FROM summary
+UNION ALL SELECT *, 'fpgrowth' AS algorithm, 'infer' AS stage FROM summary""")
+def q_eval_union(spark, sf_dir):
+    recs, truth = _eval_inputs(spark, sf_dir)
+    train_summary = met.evaluate(recs, truth, cm.KS)[0]
+    cohort = cm.brand_cohort(spark, sf_dir)
+    infer_summary = met.evaluate(recs, truth, cm.KS, users=cohort)[0]
+    path = scratch_dir(spark, "summary")
+    sinks.write_table(sinks.label_summary(infer_summary, "fpgrowth", "infer"), path)
+    stored = spark.read.parquet(path)
+    return sinks.union_summaries({
+        "fpgrowth_train": sinks.label_summary(train_summary, "fpgrowth", "train"),
+        "fpgrowth_infer": stored,
+        "als_train": None,          # not produced in this run: skipped
+    })
+
+
+# --------------------------------------------------------------- reports --
+PRED_STATS = """,
+vals AS (SELECT CAST(score AS DOUBLE) AS x FROM preds WHERE score IS NOT NULL)"""
+
+
+def _hist_sql(bins: int, extra: str = "") -> str:
+    return f""",
+st0 AS (SELECT min(x) AS lo0, max(x) AS hi0, count(*) AS n FROM vals),
+st AS (SELECT CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo,
+              CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi, n FROM st0),
+stw AS (SELECT lo, hi, n, (hi - lo) / {float(bins)!r} AS w FROM st),
+cnt AS (
+  SELECT least(greatest(CAST(floor((x - lo) / w) AS BIGINT), 0), {bins - 1}) AS bin,
+         CAST(count(*) AS BIGINT) AS c
+  FROM vals, stw GROUP BY 1
+)
+SELECT g.bin, round(lo + g.bin * w, 6) AS bin_lo, round(lo + (g.bin + 1) * w, 6) AS bin_hi,
+       coalesce(c, 0) AS count, round(CAST(coalesce(c, 0) AS DOUBLE) / (n * w), 6) AS density{extra}
+FROM (SELECT CAST(range AS BIGINT) AS bin FROM range({bins})) g CROSS JOIN stw
+LEFT JOIN cnt ON cnt.bin = g.bin WHERE n > 0"""
+
+
+def _kde_sql(points: int, grid: tuple | None = None, min_n: int = 1) -> str:
+    lo, hi = (f"CAST({grid[0]!r} AS DOUBLE)", f"CAST({grid[1]!r} AS DOUBLE)") if grid \
+        else ("lo", "hi")
+    return f""",
+st AS (SELECT count(*) AS n, stddev_samp(x) * 0.3 AS h, min(x) AS lo, max(x) AS hi FROM vals),
+grp AS (SELECT x AS v, count(*) AS w FROM vals GROUP BY x),
+pts AS (SELECT CAST(range AS BIGINT) AS point FROM range({points})),
+gridx AS (SELECT point, {lo} + point * (({hi} - {lo}) / {float(points - 1)!r}) AS x, n, h
+          FROM pts CROSS JOIN st),
+curve AS (
+  SELECT point, x, n, h, sum(w * exp(-0.5 * ((x - v) / h) * ((x - v) / h))) AS mass
+  FROM gridx CROSS JOIN grp GROUP BY point, x, n, h
+)
+SELECT point, round(x, 6) AS x, round(mass / (n * h * sqrt(2.0 * pi())), 6) AS density
+FROM curve WHERE h > 0 AND n > 1 AND n > {min_n}"""
+
+
+@query("rec_popularity", INFER + """
+SELECT product_id, CAST(count(*) AS BIGINT) AS n_recommended FROM preds GROUP BY product_id
+ORDER BY n_recommended DESC, product_id LIMIT 20""")
+def q_rec_popularity(spark, sf_dir):
+    return rep.rec_popularity(cm.brand_predictions(spark, sf_dir), 20)
+
+
+@query("score_histogram", INFER + PRED_STATS + _hist_sql(40))
+def q_score_histogram(spark, sf_dir):
+    return rep.score_histogram(cm.brand_predictions(spark, sf_dir), 40)
+
+
+@query("score_density", INFER + PRED_STATS + _kde_sql(300))
+def q_score_density(spark, sf_dir):
+    return rep.score_density(cm.brand_predictions(spark, sf_dir), 300, 0.3)
+
+
+HITS_SQL = """,
+hpu AS (
+  SELECT u.user_id, CAST(count(t.product_id) AS BIGINT) AS hits
+  FROM (SELECT DISTINCT user_id FROM preds WHERE user_id IN (SELECT user_id FROM truth)) u
+  LEFT JOIN (SELECT p.user_id, p.product_id FROM preds p JOIN truth t2
+               ON p.user_id = t2.user_id AND p.product_id = t2.product_id) t
+    ON u.user_id = t.user_id
+  GROUP BY u.user_id
+)"""
+
+
+@query("hits_per_user", INFER + HITS_SQL + " SELECT * FROM hpu")
+def q_hits_per_user(spark, sf_dir):
+    return rep.hits_per_user(cm.brand_predictions(spark, sf_dir), cm.truth(spark, sf_dir, "brand"))
+
+
+@query("hits_histogram", INFER + HITS_SQL + """
+SELECT hits, CAST(count(*) AS BIGINT) AS n_users,
+       round((SELECT avg(hits) FROM hpu), 6) AS mean_hits
+FROM hpu GROUP BY hits""")
+def q_hits_histogram(spark, sf_dir):
+    per_user = rep.hits_per_user(cm.brand_predictions(spark, sf_dir),
+                                 cm.truth(spark, sf_dir, "brand"))
+    return rep.hits_histogram(per_user)
+
+
+@query("catalog_coverage", INFER + """
+SELECT n_recommended, n_catalog, round(CAST(n_recommended AS DOUBLE) / n_catalog, 6) AS coverage
+FROM (SELECT CAST(count(DISTINCT product_id) AS BIGINT) AS n_recommended,
+             (SELECT CAST(count(*) AS BIGINT) FROM products) AS n_catalog FROM preds)""")
+def q_catalog_coverage(spark, sf_dir):
+    return rep.catalog_coverage(cm.brand_predictions(spark, sf_dir),
+                                cm.encoder(spark, sf_dir, "brand").sizes())
+
+
+RPU_SQL = """,
+rpu AS (
+  SELECT c.user_id, CAST(count(p.product_id) AS BIGINT) AS n_recs
+  FROM cohort c LEFT JOIN preds p ON c.user_id = p.user_id GROUP BY c.user_id
+)"""
+
+
+@query("recs_per_user", INFER + RPU_SQL + " SELECT * FROM rpu")
+def q_recs_per_user(spark, sf_dir):
+    return rep.recs_per_user(cm.brand_predictions(spark, sf_dir), cm.brand_cohort(spark, sf_dir))
+
+
+@query("recs_per_user_hist", INFER + RPU_SQL + """,
+vals AS (SELECT CAST(n_recs AS DOUBLE) AS x FROM rpu)""" + _hist_sql(
+    30, ", round((SELECT avg(n_recs) FROM rpu), 6) AS mean_recs"))
+def q_recs_per_user_hist(spark, sf_dir):
+    per_user = rep.recs_per_user(cm.brand_predictions(spark, sf_dir),
+                                 cm.brand_cohort(spark, sf_dir))
+    return rep.recs_per_user_histogram(per_user, 30)
+
+
+# Report panels use the published per-user NDCG (six decimals), so values on
+# a bin edge fall into the same bin in every engine.
+NDCG_VALS = """,
+vals AS (SELECT round(ndcg, 6) AS x FROM per_user WHERE k = 10)"""
+
+
+def _ndcg10(spark, sf_dir):
+    return _rounded(met.per_user_ndcg(_per_user(spark, sf_dir), cm.KS), ["ndcg"])
+
+
+@query("ndcg_histogram", INFER_EVAL + NDCG_VALS + _hist_sql(40))
+def q_ndcg_histogram(spark, sf_dir):
+    return rep.ndcg_histogram(_ndcg10(spark, sf_dir), 40)
+
+
+@query("ndcg_stats", INFER_EVAL + """
+SELECT CAST(count(*) AS BIGINT) AS n_users, round(avg(x), 6) AS mean,
+       round(median(x), 6) AS median FROM (SELECT round(ndcg, 6) AS x FROM per_user WHERE k = 10)""")
+def q_ndcg_stats(spark, sf_dir):
+    return rep.ndcg_stats(_ndcg10(spark, sf_dir))
+
+
+@query("ndcg_density", INFER_EVAL + NDCG_VALS + _kde_sql(300, (0.0, 1.0), 10))
+def q_ndcg_density(spark, sf_dir):
+    return rep.ndcg_density(_ndcg10(spark, sf_dir), 300, 0.3, 10)
+
+
+@query("metric_long", INFER_EVAL + """
+SELECT k, 'ndcg' AS metric, ndcg AS value FROM summary
+UNION ALL SELECT k, 'mrr', mrr FROM summary
+UNION ALL SELECT k, 'recall', recall FROM summary
+UNION ALL SELECT k, 'precision', precision FROM summary""")
+def q_metric_long(spark, sf_dir):
+    return rep.metric_long(met.summary(_per_user(spark, sf_dir)))
+
+
+@query("metric_snapshot", INFER_EVAL + " SELECT * FROM summary WHERE k = 10")
+def q_metric_snapshot(spark, sf_dir):
+    return rep.metric_snapshot(met.summary(_per_user(spark, sf_dir)), 10)
+
+
+@query("metric_table", INFER_EVAL + """
+SELECT k, floor(ndcg * 10000.0 + 0.5) / 10000.0 AS ndcg, floor(mrr * 10000.0 + 0.5) / 10000.0 AS mrr,
+       floor(recall * 10000.0 + 0.5) / 10000.0 AS recall,
+       floor(precision * 10000.0 + 0.5) / 10000.0 AS precision, n_users FROM summary""")
+def q_metric_table(spark, sf_dir):
+    return rep.metric_table(met.summary(_per_user(spark, sf_dir)))
+
+
+@query("user_report", INFER + """
+SELECT p.user_id, p.rank, p.product_id, floor(p.score * 10000.0 + 0.5) / 10000.0 AS score,
+       CAST(coalesce(nt.n, 0) AS BIGINT) AS n_train_items,
+       CAST(coalesce(nr.n, 0) AS BIGINT) AS n_truth,
+       CAST(CASE WHEN t.product_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS is_hit,
+       CAST(sum(CASE WHEN t.product_id IS NULL THEN 0 ELSE 1 END)
+            OVER (PARTITION BY p.user_id) AS BIGINT) AS hits
+FROM preds p
+LEFT JOIN truth t ON p.user_id = t.user_id AND p.product_id = t.product_id
+LEFT JOIN (SELECT user_id, count(*) AS n FROM train GROUP BY user_id) nt ON nt.user_id = p.user_id
+LEFT JOIN (SELECT user_id, count(*) AS n FROM truth GROUP BY user_id) nr ON nr.user_id = p.user_id
+""")
+def q_user_report(spark, sf_dir):
+    s = cm.split(spark, sf_dir, "brand")
+    return rep.user_report(cm.brand_predictions(spark, sf_dir), s.train,
+                           cm.truth(spark, sf_dir, "brand"))

@@ -53,3 +53,29 @@ def brand_recs(spark: SparkSession, sf_dir: str, n: int = TOP_N) -> DataFrame:
     """Rule recommendations for every train basket of the brands fixture."""
     model = brand_rules(spark, sf_dir)
     return model.recommend(split(spark, sf_dir, "brand").train, n)
+
+
+# Reference training configuration for ALS (factors, regularisation,
+# iterations, alpha) — the registered ALS queries use it unchanged.
+ALS_PARAMS = dict(factors=128, regularization=0.01, iterations=30, alpha=40.0, seed=42)
+
+
+def als_model(spark: SparkSession, sf_dir: str):
+    from basketry.operators.als import ALSParams, ALSRecommender
+    return _memo(spark, ("als", sf_dir),
+                 lambda: ALSRecommender.fit(split(spark, sf_dir).train, ALSParams(**ALS_PARAMS),
+                                            encoder=encoder(spark, sf_dir)))
+
+
+def brand_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Default inference cohort of the brands fixture: test users known to the encoder."""
+    from basketry.operators.predict import default_cohort
+    return default_cohort(split(spark, sf_dir, "brand").test, encoder(spark, sf_dir, "brand"))
+
+
+def brand_predictions(spark: SparkSession, sf_dir: str, n: int = TOP_N) -> DataFrame:
+    """Rule predictions for the default cohort (the inference output)."""
+    from basketry.operators.predict import recommend
+    return recommend("fpgrowth", brand_cohort(spark, sf_dir), n,
+                     rules=brand_rules(spark, sf_dir),
+                     history=split(spark, sf_dir, "brand").train)
