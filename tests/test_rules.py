@@ -1,0 +1,101 @@
+"""Rule mining counts and rule firing / scoring semantics."""
+
+import pytest
+
+from basketry.operators.prepare import train_test_split
+from basketry.operators.rules import RuleModel, RuleParams, fired_rules, min_count, rule_scores, top_n
+from basketry.plans.common import BRAND_RULES
+from basketry.plans.fixtures import line_pairs
+from tests.conftest import SF001, SF01
+
+RULES_SCHEMA = ("rule_id string, antecedent array<bigint>, consequent array<bigint>, "
+                "support double, confidence double, lift double")
+
+
+def _rules(spark, rows):
+    return spark.createDataFrame(
+        [(",".join(map(str, a)) + ">" + ",".join(map(str, c)), a, c, 0.1, conf, 1.5)
+         for a, c, conf in rows], RULES_SCHEMA)
+
+
+def _history(spark, baskets):
+    return spark.createDataFrame([(u, p) for u, items in baskets.items() for p in items],
+                                 "user_id bigint, product_id bigint")
+
+
+def test_score_is_weighted_by_antecedent_size(spark):
+    rules = _rules(spark, [([1], [3], 0.5), ([1, 2], [3], 0.6), ([1, 9], [4], 0.9),
+                           ([2], [1], 0.7)])
+    hist = _history(spark, {7: [1, 2]})
+    scores = {r["product_id"]: float(r["score"]) for r in rule_scores(hist, rules).collect()}
+    assert scores == {3: pytest.approx(1.7)}          # {1,9}->{4} does not fire; 1 is owned
+    once = {r["product_id"]: float(r["score"])
+            for r in rule_scores(hist, rules, weight="once").collect()}
+    assert once == {3: pytest.approx(1.1)}
+
+
+def test_fired_needs_whole_antecedent(spark):
+    rules = _rules(spark, [([1, 9], [4], 0.9), ([1], [5], 0.4)])
+    fired = {r["rule_id"] for r in fired_rules(_history(spark, {1: [1, 2]}), rules).collect()}
+    assert fired == {"1>5"}
+
+
+def test_top_n_order_and_ties(spark):
+    rules = _rules(spark, [([1], [5], 0.5), ([1], [4], 0.5), ([1], [6], 0.9)])
+    recs = top_n(rule_scores(_history(spark, {1: [1]}), rules), 2).collect()
+    assert [(r["rank"], r["product_id"]) for r in recs] == [(1, 6), (2, 4)]
+
+
+def test_min_count_matches_double_test():
+    for n in (7, 1470, 1482, 100000):
+        for s in (0.01, 0.3, 0.05, 0.45):
+            c = min_count(s, n)
+            assert c / n >= s and (c == 0 or (c - 1) / n < s)
+
+
+def _counts(model):
+    sizes = {}
+    for r in model.itemsets.collect():
+        sizes[len(r["items"])] = sizes.get(len(r["items"]), 0) + 1
+    shapes = {}
+    for r in model.rules.collect():
+        key = (len(r["antecedent"]), len(r["consequent"]))
+        shapes[key] = shapes.get(key, 0) + 1
+    return sizes, shapes
+
+
+@pytest.mark.parametrize("sf,baskets,itemsets,shapes", [
+    (SF01, 1482, {1: 25, 2: 300, 3: 97}, {(1, 1): 354, (2, 1): 211, (1, 2): 165}),
+    (SF001, 147, {1: 25, 2: 260, 3: 347}, {(1, 1): 294, (2, 1): 709, (1, 2): 602}),
+])
+def test_brand_rule_counts(spark, sf, baskets, itemsets, shapes):
+    train = train_test_split(line_pairs(spark, sf, "brand")).train
+    model = RuleModel.fit(train, BRAND_RULES)
+    assert model.n_baskets == baskets
+    got_sizes, got_shapes = _counts(model)
+    assert got_sizes == itemsets
+    assert got_shapes == shapes
+    for r in model.rules.collect():
+        assert not set(r["antecedent"]) & set(r["consequent"])
+        assert r["confidence"] >= 0.45 and r["lift"] >= 1.0
+
+
+def test_owned_items_never_recommended(spark):
+    train = train_test_split(line_pairs(spark, SF01, "brand")).train
+    model = RuleModel.fit(train, BRAND_RULES)
+    recs = model.recommend(train, 10)
+    assert recs.join(train, ["user_id", "product_id"], "left_semi").count() == 0
+    assert recs.count() == 12505
+
+
+def test_vocab_cap_keeps_denominator(spark):
+    train = train_test_split(line_pairs(spark, SF001, "brand")).train
+    full = RuleModel.fit(train, RuleParams(min_support=0.3, min_confidence=0.45, max_items=None))
+    capped = RuleModel.fit(train, RuleParams(min_support=0.3, min_confidence=0.45, max_items=5))
+    assert capped.n_baskets == full.n_baskets
+    kept = {i for r in capped.itemsets.collect() for i in r["items"]}
+    assert len(kept) <= 5
+    # supports of surviving itemsets are unchanged by the cap
+    f = {tuple(r["items"]): r["support"] for r in full.itemsets.collect()}
+    for r in capped.itemsets.collect():
+        assert r["support"] == pytest.approx(f[tuple(r["items"])])
