@@ -157,14 +157,19 @@ class RuleModel:
     def rule_index(self) -> DataFrame:
         return rule_index(self.rules)
 
-    def fired(self, history: DataFrame, key: str = "user_id") -> DataFrame:
-        return fired_rules(history, self.rules, key, self.n_rules)
+    def fired(self, history: DataFrame, key: str = "user_id",
+              key_partitioned: bool = False) -> DataFrame:
+        return fired_rules(history, self.rules, key, self.n_rules, key_partitioned)
 
-    def scores(self, history: DataFrame, key: str = "user_id") -> DataFrame:
-        return rule_scores(history, self.rules, key, self.params.weight, self.n_rules)
+    def scores(self, history: DataFrame, key: str = "user_id",
+               key_partitioned: bool = False) -> DataFrame:
+        return rule_scores(history, self.rules, key, self.params.weight, self.n_rules,
+                           key_partitioned)
 
-    def recommend(self, history: DataFrame, n: int = 10, key: str = "user_id") -> DataFrame:
-        return top_n(self.scores(history, key), n, key)
+    def recommend(self, history: DataFrame, n: int = 10, key: str = "user_id",
+                  key_partitioned: bool = False) -> DataFrame:
+        """Top-``n`` per basket; see ``rule_scores`` for ``key_partitioned``."""
+        return top_n(self.scores(history, key, key_partitioned), n, key)
 
     # -- persistence -----------------------------------------------------
     def save(self, path: str) -> None:
@@ -189,10 +194,21 @@ def rule_index(rules: DataFrame) -> DataFrame:
                         F.size("antecedent").cast("bigint").alias("ant_size"), "confidence")
 
 
-def fired_rules(history: DataFrame, rules: DataFrame, key: str = "user_id",
-                n_rules: int | None = None) -> DataFrame:
-    """(key, rule_id, ant_size, confidence) for rules whose antecedent ⊆ basket."""
-    owned = history.select(key, "product_id").distinct()
+def _owned(history: DataFrame, key: str, key_partitioned: bool) -> DataFrame:
+    """Distinct (key, product) pairs, hash-partitioned by ``key``.
+
+    One shuffle of the raw basket lines — the smallest table of the scoring
+    chain — so firing, scoring, exclusion and top-N below run without any
+    further exchange. Skip it when the caller's frame is already partitioned
+    by ``key`` (e.g. the train fold straight out of the split).
+    """
+    owned = history.select(key, "product_id")
+    if not key_partitioned:
+        owned = owned.repartition(key)
+    return owned.dropDuplicates([key, "product_id"])
+
+
+def _fired(owned: DataFrame, rules: DataFrame, key: str, n_rules: int | None) -> DataFrame:
     index = broadcast_if_small(rule_index(rules), None if n_rules is None else n_rules * 4)
     hits = owned.join(index, owned.product_id == index.item)
     return (hits.groupBy(key, "rule_id", "ant_size", "confidence")
@@ -201,28 +217,41 @@ def fired_rules(history: DataFrame, rules: DataFrame, key: str = "user_id",
                 .drop("n_present"))
 
 
+def fired_rules(history: DataFrame, rules: DataFrame, key: str = "user_id",
+                n_rules: int | None = None, key_partitioned: bool = False) -> DataFrame:
+    """(key, rule_id, ant_size, confidence) for rules whose antecedent ⊆ basket."""
+    return _fired(_owned(history, key, key_partitioned), rules, key, n_rules)
+
+
 def rule_scores(history: DataFrame, rules: DataFrame, key: str = "user_id",
-                weight: str = "antecedent_size", n_rules: int | None = None) -> DataFrame:
+                weight: str = "antecedent_size", n_rules: int | None = None,
+                key_partitioned: bool = False) -> DataFrame:
     """(key, product_id, score) — summed confidences of fired rules per
     consequent item not already in the basket.
 
     ``weight="antecedent_size"`` adds a rule once per antecedent item (its
     confidence × antecedent size); ``"once"`` adds it once. Sums are exact
-    decimals; ``score`` is that sum as DECIMAL(38,12).
+    decimals (DECIMAL(38,12)), so the order of addition cannot change ties.
+    Owned items are removed by aggregating candidates together with the
+    basket's own rows (``max(owned) = 0``) rather than by an anti-join, which
+    would re-shuffle both sides on (key, product).
     """
     if weight not in ("antecedent_size", "once"):
         raise ValueError(f"unknown weight {weight!r}")
-    fired = fired_rules(history, rules, key, n_rules)
+    owned = _owned(history, key, key_partitioned)
+    fired = _fired(owned, rules, key, n_rules)
     cons = broadcast_if_small(
         rules.select("rule_id", F.explode("consequent").alias("product_id")),
         None if n_rules is None else n_rules * 4)
     mult = F.col("ant_size").cast("int") if weight == "antecedent_size" else F.lit(1)
-    cand = (fired.join(cons, "rule_id")
-                 .select(key, "product_id",
-                         (F.col("confidence").cast(SCORE_DECIMAL) * mult).alias("w")))
-    owned = history.select(key, "product_id").distinct()
-    cand = cand.join(owned, [key, "product_id"], "left_anti")
-    return cand.groupBy(key, "product_id").agg(F.sum("w").alias("score"))
+    cand = fired.join(cons, "rule_id").select(
+        key, "product_id", (F.col("confidence").cast(SCORE_DECIMAL) * mult).alias("w"),
+        F.lit(0).alias("is_owned"))
+    mine = owned.select(key, "product_id", F.lit(None).cast(cand.schema["w"].dataType).alias("w"),
+                        F.lit(1).alias("is_owned"))
+    scored = (cand.unionByName(mine).groupBy(key, "product_id")
+                  .agg(F.sum("w").alias("score"), F.max("is_owned").alias("is_owned")))
+    return scored.filter(F.col("is_owned") == 0).select(key, "product_id", "score")
 
 
 def top_n(scores: DataFrame, n: int, key: str = "user_id") -> DataFrame:

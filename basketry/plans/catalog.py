@@ -712,3 +712,16 @@ def q_user_report(spark, sf_dir):
     s = cm.split(spark, sf_dir, "brand")
     return rep.user_report(cm.brand_predictions(spark, sf_dir), s.train,
                            cm.truth(spark, sf_dir, "brand"))
+
+
+# ------------------------------------------------------------- streaming --
+@query("stream_rule_recommend",
+       sql.with_(sql.rule_ctes(), ORDER_BASKETS_SQL,
+                 sql.scoring_ctes("order_baskets", "basket_id", cm.TOP_N)) + " SELECT * FROM recs")
+def q_stream_rule_recommend(spark, sf_dir):
+    """Order baskets streamed through the rule scorer (same result as the batch path)."""
+    from basketry.streaming.baskets import score_basket_folder, write_basket_files
+    base = scratch_dir(spark, "basket-stream")
+    source = write_basket_files(order_baskets(spark, sf_dir), f"{base}/source")
+    return score_basket_folder(spark, source, f"{base}/sink", f"{base}/checkpoint",
+                               cm.brand_rules(spark, sf_dir), cm.TOP_N)

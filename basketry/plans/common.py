@@ -52,7 +52,8 @@ def brand_rules(spark: SparkSession, sf_dir: str) -> RuleModel:
 def brand_recs(spark: SparkSession, sf_dir: str, n: int = TOP_N) -> DataFrame:
     """Rule recommendations for every train basket of the brands fixture."""
     model = brand_rules(spark, sf_dir)
-    return model.recommend(split(spark, sf_dir, "brand").train, n)
+    # The train fold comes straight from the split's user-partitioned window.
+    return model.recommend(split(spark, sf_dir, "brand").train, n, key_partitioned=True)
 
 
 # Reference training configuration for ALS (factors, regularisation,

@@ -113,3 +113,15 @@ def write_json_document(df: DataFrame, path: str) -> str:
                     .alias("value")))
     docs.select("value").write.mode("overwrite").text(path)
     return path
+
+
+def spark_read(spark: SparkSession, path: str) -> DataFrame:
+    """Read a Parquet table written by this package; a missing path raises
+    FileNotFoundError."""
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+            raise FileNotFoundError(path) from exc
+        raise

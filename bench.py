@@ -58,6 +58,7 @@ def main() -> None:
         t0 = time.time()
         fn()
         timings[name] = round(time.time() - t0, 3)
+        print(f"{name}: {timings[name]}s", file=sys.stderr, flush=True)
     _ = rep  # report operators are exercised through the catalog queries
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "pipeline_total", "value": round(sum(timings.values()), 3),
