@@ -18,27 +18,39 @@ from pyspark.sql import functions as F
 
 from basketry.functions.exprs import equal_width_bin, r6, round_half_up
 from basketry.functions.ranking import position_in_groups
+from basketry.session import checkpoint_root
 
 METRICS = ("ndcg", "mrr", "recall", "precision")
 
 
 # --------------------------------------------------------------- helpers --
+def _weighted_values(df: DataFrame, col: str) -> DataFrame:
+    """Distinct non-null values of ``col`` with their counts ``w``, checkpointed.
+
+    The input (often a whole recommendation plan) is evaluated once; the
+    statistics and bins below read this small table instead.
+    """
+    values = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    checkpoint_root(df.sparkSession)
+    return values.groupBy("x").agg(F.count(F.lit(1)).alias("w")).checkpoint(eager=True)
+
+
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """(bin, bin_lo, bin_hi, count, density) over [min, max] of ``col``.
 
     Right edge inclusive; density = count / (n · width); a constant column
     spans [v - 0.5, v + 0.5]. Empty input gives no rows.
     """
-    values = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
-    lo = values.select(F.min("x")).scalar()
-    hi = values.select(F.max("x")).scalar()
-    n = values.select(F.count(F.lit(1))).scalar()
+    weighted = _weighted_values(df, col)
+    lo = weighted.select(F.min("x")).scalar()
+    hi = weighted.select(F.max("x")).scalar()
+    n = weighted.select(F.sum("w")).scalar()
     lo2 = F.when(lo == hi, lo - F.lit(0.5)).otherwise(lo)
     hi2 = F.when(lo == hi, hi + F.lit(0.5)).otherwise(hi)
     width = (hi2 - lo2) / F.lit(float(bins))
-    counts = (values.select(equal_width_bin(F.col("x"), lo, hi, bins).alias("bin"))
-                    .groupBy("bin").agg(F.count(F.lit(1)).cast("bigint").alias("count")))
-    grid = values.sparkSession.range(bins).select(F.col("id").cast("bigint").alias("bin"))
+    counts = (weighted.select(equal_width_bin(F.col("x"), lo, hi, bins).alias("bin"), "w")
+                      .groupBy("bin").agg(F.sum("w").cast("bigint").alias("count")))
+    grid = df.sparkSession.range(bins).select(F.col("id").cast("bigint").alias("bin"))
     out = grid.join(counts, "bin", "left").select(
         "bin",
         (lo2 + F.col("bin") * width).alias("bin_lo"),
@@ -55,19 +67,21 @@ def kde_curve(df: DataFrame, col: str, points: int = 300, bandwidth: float = 0.3
     """Gaussian kernel density on an evenly spaced grid: (point, x, density).
 
     Kernel sd = ``bandwidth`` × sample sd; grid = [min, max] of the data unless
-    given. Zero variance or fewer than two values give no rows.
+    given. Zero variance or fewer than two values give no rows. Each distinct
+    value contributes to every grid point (``points`` rows per distinct value,
+    partially aggregated per task before the shuffle).
     """
-    values = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    stats = values.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd"),
-                       F.min("v").alias("lo"), F.max("v").alias("hi"))
-    n = stats.select("n").scalar()
-    h = stats.select(F.col("sd") * F.lit(float(bandwidth))).scalar()
-    lo = F.lit(float(grid[0])) if grid else stats.select("lo").scalar()
-    hi = F.lit(float(grid[1])) if grid else stats.select("hi").scalar()
+    weighted = _weighted_values(df, col).withColumnRenamed("x", "v")
+    n = weighted.select(F.sum("w")).scalar()
+    mean = weighted.select(F.sum(F.col("w") * F.col("v")) / F.sum("w")).scalar()
+    var = weighted.select(F.sum(F.col("w") * (F.col("v") - mean) * (F.col("v") - mean))).scalar() \
+        / (n - 1)
+    h = F.sqrt(var) * F.lit(float(bandwidth))
+    lo = F.lit(float(grid[0])) if grid else weighted.select(F.min("v")).scalar()
+    hi = F.lit(float(grid[1])) if grid else weighted.select(F.max("v")).scalar()
     step = (hi - lo) / F.lit(float(points - 1))
-    grouped = values.groupBy("v").agg(F.count(F.lit(1)).alias("w"))
-    spread = grouped.select("v", "w", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
-                            .alias("point"))
+    spread = weighted.select("v", "w", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
+                             .alias("point"))
     x = lo + F.col("point") * step
     z = (x - F.col("v")) / h
     contrib = F.col("w") * F.exp(F.lit(-0.5) * z * z)
@@ -75,7 +89,7 @@ def kde_curve(df: DataFrame, col: str, points: int = 300, bandwidth: float = 0.3
     norm = n * h * F.lit(math.sqrt(2.0 * math.pi))
     out = curve.select(F.col("point").cast("bigint").alias("point"), x.alias("x"),
                        (F.col("mass") / norm).alias("density"))
-    out = out.filter((h > 0) & (n > 1))
+    out = out.filter((n > 1) & (h > 0))
     return out.select("point", r6("x").alias("x"), r6("density").alias("density"))
 
 
