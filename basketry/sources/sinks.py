@@ -100,18 +100,26 @@ def union_summaries(summaries: dict[str, DataFrame | None]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), present)
 
 
+def _one_document(batches):
+    """All records of one partition as a single JSON array (one output row)."""
+    import pandas as pd
+    recs = []
+    for pdf in batches:
+        recs.extend(pdf["rec"].tolist())
+    if recs:
+        yield pd.DataFrame({"value": ["[" + ",".join(recs) + "]"]})
+
+
 def write_json_document(df: DataFrame, path: str) -> str:
     """One JSON array of records per output file (the multi-line ``.json`` form).
 
-    Rows are grouped by their input partition, so each group — and each file —
-    is bounded by the partition size; nothing funnels through one task.
+    Each task turns its own partition into one document and writes it as one
+    file — no shuffle, and a file never holds two documents (a multi-line
+    reader takes one value per file). A document is bounded by the partition
+    size; nothing funnels through a single task.
     """
-    docs = (df.select(F.spark_partition_id().alias("part"),
-                      F.to_json(F.struct(*df.columns)).alias("rec"))
-              .groupBy("part")
-              .agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("rec")), F.lit("]"))
-                    .alias("value")))
-    docs.select("value").write.mode("overwrite").text(path)
+    recs = df.select(F.to_json(F.struct(*df.columns)).alias("rec"))
+    recs.mapInPandas(_one_document, "value string").write.mode("overwrite").text(path)
     return path
 
 
