@@ -168,10 +168,12 @@ def ndcg_histogram(per_user_ndcg: DataFrame, bins: int = 40) -> DataFrame:
 
 
 def ndcg_stats(per_user_ndcg: DataFrame) -> DataFrame:
-    """n, mean and exact median of the per-user NDCG."""
-    med = exact_median(per_user_ndcg, "ndcg", "user_id")
-    agg = per_user_ndcg.agg(F.count(F.lit(1)).cast("bigint").alias("n_users"),
-                            F.avg("ndcg").alias("mean"))
+    """n, mean and exact median of the per-user NDCG (input read once)."""
+    checkpoint_root(per_user_ndcg.sparkSession)
+    vals = per_user_ndcg.select("user_id", "ndcg").checkpoint(eager=True)
+    med = exact_median(vals, "ndcg", "user_id")
+    agg = vals.agg(F.count(F.lit(1)).cast("bigint").alias("n_users"),
+                   F.avg("ndcg").alias("mean"))
     return agg.select("n_users", r6("mean").alias("mean"),
                       r6(med.select("median").scalar()).alias("median"))
 

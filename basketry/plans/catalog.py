@@ -356,8 +356,7 @@ def _eval_inputs(spark, sf_dir):
 
 
 def _per_user(spark, sf_dir):
-    recs, truth = _eval_inputs(spark, sf_dir)
-    return met.per_user_metrics(recs, truth, cm.KS)
+    return cm.brand_per_user(spark, sf_dir)
 
 
 def _rounded(df: DataFrame, cols) -> DataFrame:
