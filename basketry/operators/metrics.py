@@ -1,12 +1,11 @@
 """Ranking metrics: NDCG, MRR, recall and precision at several K.
 
 Input is any predictions frame ``(user_id, rank, product_id, score)`` — from
-ALS, rules, or a file — and a long-form truth ``(user_id, product_id)``. Each
-hit is tagged with every K it counts for (``explode(filter(ks, k -> k >=
-rank))``), so one aggregation per (user, K) yields all four metrics; truth
-users without any hit get zeros through a left join. The ideal DCG is a
-higher-order ``aggregate`` over at most max(K) terms per row — no join with a
-K table and no per-user Python.
+ALS, rules, or a file — and a long-form truth ``(user_id, product_id)``. Both
+are shuffled together once by user; one aggregate per user yields every
+metric at every K, and truth users without any hit score zero. The ideal DCG
+is a higher-order ``aggregate`` over at most max(K) terms per row — no join
+with a K table and no per-user Python.
 """
 
 from __future__ import annotations
@@ -26,36 +25,47 @@ def normalise_ks(ks) -> list[int]:
     return ks
 
 
-def _ks_array(ks: list[int]):
-    return F.array(*[F.lit(k).cast("bigint") for k in ks])
-
-
 def per_user_metrics(predictions: DataFrame, truth: DataFrame, ks=DEFAULT_KS) -> DataFrame:
     """(user_id, k, ndcg, mrr, recall, precision) for every truth user and K.
 
-    Users with truth but no (or failed) recommendations score 0 everywhere.
+    Users with truth but no (or failed) recommendations score 0 everywhere;
+    users without truth are not evaluated.
+
+    Plan: prediction rows (rank <= max K) and truth rows are unioned and
+    shuffled once by ``user_id`` (explicit count, so AQE keeps the
+    parallelism); the (user, product) merge and the per-user aggregate —
+    one conditional sum / count / min per K — then run inside that
+    partitioning. A user's rows are bounded by max K + its truth set.
     """
     ks = normalise_ks(ks)
     kmax = max(ks)
-    rel = truth.select("user_id", "product_id").distinct()
-    sizes = rel.groupBy("user_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_rel"))
-    base = sizes.select("user_id", "n_rel", F.explode(_ks_array(ks)).alias("k"))
-
-    hits = (predictions.filter(F.col("rank") <= kmax)
-                       .select("user_id", "product_id", "rank")
-                       .join(rel, ["user_id", "product_id"], "left_semi"))
-    tagged = hits.select("user_id", "rank",
-                         F.explode(F.filter(_ks_array(ks), lambda k: k >= F.col("rank"))).alias("k"))
-    agg = tagged.groupBy("user_id", "k").agg(
-        F.sum(discount(F.col("rank"))).alias("dcg"),
-        F.count(F.lit(1)).cast("bigint").alias("n_hit"),
-        F.min("rank").alias("first_hit"))
-
-    joined = base.join(agg, ["user_id", "k"], "left")
+    n_parts = int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    recs = (predictions.filter(F.col("rank") <= kmax)
+                       .select("user_id", "product_id", F.col("rank").cast("bigint").alias("rank"),
+                               F.lit(0).alias("rel")))
+    rel = truth.select("user_id", "product_id", F.lit(None).cast("bigint").alias("rank"),
+                       F.lit(1).alias("rel"))
+    merged = (recs.unionByName(rel).repartition(n_parts, "user_id")
+                  .groupBy("user_id", "product_id")
+                  .agg(F.min("rank").alias("rank"), F.max("rel").alias("rel")))
+    hit = F.col("rel") == 1
+    aggs = [F.sum("rel").cast("bigint").alias("n_rel")]
+    for k in ks:
+        in_k = hit & (F.col("rank") <= k)
+        aggs += [F.sum(F.when(in_k, discount(F.col("rank")))).alias(f"dcg_{k}"),
+                 F.count(F.when(in_k, F.lit(1))).cast("bigint").alias(f"hit_{k}"),
+                 F.min(F.when(in_k, F.col("rank"))).alias(f"first_{k}")]
+    per_user = merged.groupBy("user_id").agg(*aggs).filter(F.col("n_rel") > 0)
+    per_k = F.array(*[F.struct(F.lit(k).cast("bigint").alias("k"),
+                               F.col(f"dcg_{k}").alias("dcg"),
+                               F.col(f"hit_{k}").alias("n_hit"),
+                               F.col(f"first_{k}").alias("first_hit")) for k in ks])
+    rows = per_user.select("user_id", "n_rel", F.inline(per_k))
+
     ideal = F.aggregate(F.sequence(F.lit(1).cast("bigint"), F.least(F.col("n_rel"), F.col("k"))),
                         F.lit(0.0), lambda acc, i: acc + discount(i))
-    n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("double")
-    return joined.select(
+    n_hit = F.col("n_hit").cast("double")
+    return rows.select(
         "user_id", "k",
         F.coalesce(F.col("dcg") / ideal, F.lit(0.0)).alias("ndcg"),
         F.coalesce(F.lit(1.0) / F.col("first_hit").cast("double"), F.lit(0.0)).alias("mrr"),
