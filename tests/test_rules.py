@@ -99,3 +99,21 @@ def test_vocab_cap_keeps_denominator(spark):
     f = {tuple(r["items"]): r["support"] for r in full.itemsets.collect()}
     for r in capped.itemsets.collect():
         assert r["support"] == pytest.approx(f[tuple(r["items"])])
+
+
+def test_no_itemsets_gives_empty_rules(spark):
+    train = train_test_split(line_pairs(spark, SF001)).train   # parts: sparse baskets
+    model = RuleModel.fit(train, RuleParams(min_support=0.9, min_confidence=0.2))
+    assert model.n_itemsets == 0 and model.n_rules == 0
+    assert model.rules.columns == ["rule_id", "antecedent", "consequent", "support",
+                                   "confidence", "lift"]
+    assert model.recommend(train, 10).count() == 0
+
+
+def test_baskets_drop_empty_and_need_columns(spark):
+    from basketry.operators.rules import baskets
+    df = spark.createDataFrame([(1, 5), (1, 5), (2, 7)], "user_id bigint, product_id bigint")
+    got = {r["user_id"]: r["items"] for r in baskets(df).collect()}
+    assert got == {1: [5], 2: [7]}
+    with pytest.raises(ValueError):
+        baskets(df.select("user_id"))
