@@ -50,3 +50,15 @@ def test_split_is_deterministic(spark):
     a = train_test_split(line_pairs(spark, SF01)).test
     b = train_test_split(line_pairs(spark, SF01)).test
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_eval_sample_equals_plain_ordered_limit(spark):
+    from basketry.functions.exprs import seeded_order_key
+    from basketry.operators.prepare import eval_sample
+    users = spark.range(5000).select(F.col("id").alias("user_id"))
+    for n in (1, 37, 500, 4999, 5000, 6000):
+        got = [r[0] for r in eval_sample(users, n, 42).collect()]
+        ref = [r[0] for r in users.orderBy(seeded_order_key(42, "user_id"), "user_id")
+                                  .limit(n).collect()]
+        assert sorted(got) == sorted(ref)
+        assert len(got) == min(n, 5000)
