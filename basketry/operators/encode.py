@@ -19,10 +19,16 @@ from basketry.functions.ranking import position_in_groups
 
 
 def fit_index(ids: DataFrame, id_col: str, idx_col: str) -> DataFrame:
-    """Distinct ``id_col`` values → ``idx_col`` INT, 0-based in ascending order."""
+    """Distinct ``id_col`` values → ``idx_col`` INT, 0-based in ascending order.
+
+    The fitted dictionary is written once (``checkpoint``) like any model
+    artifact, so every later join reads a plain table that AQE can broadcast
+    when small, instead of re-planning the ranking.
+    """
     distinct = ids.select(id_col).distinct()
     pos = position_in_groups(distinct, [], [id_col], "__pos")
-    return pos.select(F.col(id_col), (F.col("__pos") - 1).cast("int").alias(idx_col))
+    return (pos.select(F.col(id_col), (F.col("__pos") - 1).cast("int").alias(idx_col))
+               .checkpoint(eager=True))
 
 
 @dataclass
