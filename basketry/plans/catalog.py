@@ -16,14 +16,18 @@ from pyspark.sql import functions as F
 from basketry.functions.exprs import r6
 from basketry.operators import encode as enc
 from basketry.operators import metrics as met
+from basketry.operators import predict as prd
 from basketry.operators import prepare as prep
+from basketry.operators import report as rep
 from basketry.operators import rules as rl
+from basketry.operators.als import ALSRecommender
 from basketry.plans import common as cm
 from basketry.plans import oracle as sql
 from basketry.plans.fixtures import line_pairs, order_lines, table
 from basketry.schema import REQUIRED_COLUMNS
 from basketry.session import scratch_dir
 from basketry.sources import readers, sinks
+from basketry.streaming.baskets import score_basket_folder, write_basket_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -431,29 +435,25 @@ def q_als_recommend_one(spark, sf_dir):
 
 @query("als_recommend")
 def q_als_recommend(spark, sf_dir):
-    from basketry.operators.predict import default_cohort
     s = cm.split(spark, sf_dir)
-    cohort = default_cohort(s.test, cm.encoder(spark, sf_dir))
+    cohort = prd.default_cohort(s.test, cm.encoder(spark, sf_dir))
     return _als(spark, sf_dir).recommend(cohort, cm.TOP_N)
 
 
 @query("als_recommend_new")
 def q_als_recommend_new(spark, sf_dir):
-    from basketry.operators.predict import default_cohort
     s = cm.split(spark, sf_dir)
-    cohort = default_cohort(s.test, cm.encoder(spark, sf_dir))
+    cohort = prd.default_cohort(s.test, cm.encoder(spark, sf_dir))
     return _als(spark, sf_dir).recommend(cohort, cm.TOP_N, filter_already_liked=True)
 
 
 @query("als_roundtrip")
 def q_als_roundtrip(spark, sf_dir):
-    from basketry.operators.als import ALSRecommender
-    from basketry.operators.predict import default_cohort
     path = scratch_dir(spark, "als-model")
     _als(spark, sf_dir).save(path)
     loaded = ALSRecommender.load(spark, path)
     s = cm.split(spark, sf_dir)
-    return loaded.recommend(default_cohort(s.test, cm.encoder(spark, sf_dir)), cm.TOP_N)
+    return loaded.recommend(prd.default_cohort(s.test, cm.encoder(spark, sf_dir)), cm.TOP_N)
 
 
 @query("eval_als")
@@ -464,8 +464,6 @@ def q_eval_als(spark, sf_dir):
 
 
 # ------------------------------------------------------------- inference --
-from basketry.operators import predict as prd  # noqa: E402
-from basketry.operators import report as rep  # noqa: E402
 
 COHORT_SQL = """,
 cohort AS (SELECT DISTINCT user_id FROM test WHERE user_id IN (SELECT user_id FROM users)),
@@ -719,7 +717,6 @@ def q_user_report(spark, sf_dir):
                  sql.scoring_ctes("order_baskets", "basket_id", cm.TOP_N)) + " SELECT * FROM recs")
 def q_stream_rule_recommend(spark, sf_dir):
     """Order baskets streamed through the rule scorer (same result as the batch path)."""
-    from basketry.streaming.baskets import score_basket_folder, write_basket_files
     base = scratch_dir(spark, "basket-stream")
     source = write_basket_files(order_baskets(spark, sf_dir), f"{base}/source")
     return score_basket_folder(spark, source, f"{base}/sink", f"{base}/checkpoint",
