@@ -23,6 +23,8 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Remove checkpoint files once no DataFrame references them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
