@@ -1,0 +1 @@
+"""Structured Streaming: ad-hoc basket scoring against fitted rule tables."""

@@ -59,7 +59,7 @@ def main() -> None:
         timings[name] = round(time.time() - t0, 3)
         print(f"{name}: {timings[name]}s", file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "pipeline_total", "value": round(sum(timings.values()), 3),
+    print(json.dumps({"metric": "train_infer_total", "value": round(sum(timings.values()), 3),
                       "unit": "sec", "queries": timings, "sf": sf}))
     spark.stop()
 
