@@ -117,3 +117,15 @@ def test_baskets_drop_empty_and_need_columns(spark):
     assert got == {1: [5], 2: [7]}
     with pytest.raises(ValueError):
         baskets(df.select("user_id"))
+
+
+@pytest.mark.parametrize("sf", [SF001, SF01])
+def test_prefixspan_and_fpgrowth_agree(spark, sf):
+    from basketry.operators.rules import baskets, frequent_itemsets
+    train = train_test_split(line_pairs(spark, sf, "brand")).train
+    b = baskets(train)
+    n = b.count()
+    ps = {tuple(r["items"]): r["freq"] for r in frequent_itemsets(b, n, 0.3, 3).collect()}
+    fp = {tuple(r["items"]): r["freq"]
+          for r in frequent_itemsets(b, n, 0.3, 3, miner="fpgrowth").collect()}
+    assert ps == fp and len(ps) > 0
