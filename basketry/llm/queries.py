@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import decontaminate, language, licenses, pieces, quality, tokens
+from basketry.llm import (decontaminate, language, licenses, nearduplicates, pieces, pii, quality,
+                          suffixes, tokens, urls)
+from basketry.llm.urls_sql import url_filter_sql
 
 TOKEN_LIMIT = 512
 
@@ -23,6 +25,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.find_notices(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"] & (s["edits"] == 0))
@@ -57,6 +63,15 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "n_repeat_words", "base_failed", "kept")
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{kind}')) as bigint) as n_{kind}")
+              for kind in pii.PATTERNS]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.joined_spans().cast("binary"), 256).alias("base_sha256"),
+        pii.joined_spans(terms="term_spans").alias("spans"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = pieces.encode(table(spark, sf_dir, "documents"))
     decoded = pieces.decode(encoded)
@@ -66,6 +81,14 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearduplicates.near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.filter(~language.held_out()))
@@ -74,7 +97,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op3_license_scan, op4_decontamination, op5_quality_rules,
-    op7_sentencepiece, op10_language_id)}
+    op1_token_counts, op2_url_filter, op3_license_scan, op4_decontamination, op5_quality_rules,
+    op6_personal_data, op7_sentencepiece, op8_suffix_dedup, op9_near_duplicates,
+    op10_language_id)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_url_filter": url_filter_sql()}
