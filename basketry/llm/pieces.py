@@ -192,17 +192,18 @@ def _lattices(path: str, alpha: float) -> Lattices:
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 42,
-           alpha: float = 1.0, model: str | None = None) -> DataFrame:
-    """(id, text, piece_ids, ids_sha256) of every row; ``id_col`` is the row key.
+           alpha: float = 1.0, model: str | None = None, key_col: str | None = None) -> DataFrame:
+    """(id, text, piece_ids, ids_sha256) of every row.
 
-    ``model``: path of the model on the executors.
+    ``key_col`` is the row key (``id_col`` where not given); ``model``: path of
+    the model on the executors.
     """
     rows = docs.select(id_col, text_col)
     schema = T.StructType([rows.schema[id_col], rows.schema[text_col],
                            T.StructField("piece_ids", T.ArrayType(T.IntegerType())),
                            T.StructField("ids_sha256", T.StringType())])
-    keys = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"),
-                       F.to_json(F.struct(id_col)).alias("key"))
+    keys = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"),
+                       F.to_json(F.struct(F.col(key_col or id_col).alias("k"))).alias("key"))
 
     def run(batches):
         lattices = _lattices(model or model_path(), alpha)
@@ -241,3 +242,15 @@ def decode(encoded: DataFrame, ids_col: str = "piece_ids", out_col: str = "decod
                     [b.column(b.schema.get_field_index(c)) for c in kept] + [text], schema.names)
 
     return encoded.mapInArrow(run, schema)
+
+
+def tokenise(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text",
+             seed: int = 42) -> DataFrame:
+    """``docs`` with ``piece_ids``, and the text as those pieces decode to."""
+    others = [c for c in docs.columns if c not in (text_col, "piece_ids")]
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"),
+                         F.col(f"`{text_col}`").alias("text"), F.col(f"`{key_col}`").alias("key"))
+    out = decode(encode(packed, "row", "text", seed, key_col="key"))
+    kept = [c for c in docs.columns if c != "piece_ids"]
+    return out.select(*[F.col("decoded").alias(c) if c == text_col
+                        else F.col(f"row.`{c}`").alias(c) for c in kept], "piece_ids")
