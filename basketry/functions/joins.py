@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this many rows a side is joined by shuffle instead of broadcast.
+# Above this many rows a side is joined by shuffle instead of broadcast. Meant
+# for rows of a few dozen bytes (integer ids, a double): about 64 MB.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
@@ -13,8 +14,8 @@ def broadcast_if_small(df: DataFrame, n_rows: int | None = None,
                        max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only when the side is proven small.
 
-    ``n_rows`` is the known row count (e.g. of a fitted, checkpointed model
-    table); when absent the side is counted, so only pass cheap frames. Beyond
+    ``n_rows`` is the known row count or a proven bound of it; when absent the
+    side is counted, so only pass cheap frames (a checkpointed table). Beyond
     ``max_rows`` the frame is returned unhinted and the planner shuffles (AQE
     may still switch to a broadcast at run time if it turns out small).
     """

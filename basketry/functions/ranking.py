@@ -5,7 +5,7 @@ task and ``row_number() over (order by o)`` sends the whole table to one task.
 ``position_in_groups`` computes the same 1-based position without either:
 
 1. range-partition on ``(g, o)`` — a hot group is split across many range
-   partitions, never held by one task;
+   partitions, never held by one task (AQE sizes them unless a count is given);
 2. sort inside each partition and tag rows with ``monotonically_increasing_id``
    (partition id in the high bits, position in the low bits);
 3. aggregate one row per ``(partition, group)`` — at most
@@ -48,9 +48,8 @@ def position_in_groups(df: DataFrame, group_cols: list[str], order_cols: list,
     With ``group_cols=[]`` this is a dense global index 1..n.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = _as_cols(group_cols) + _as_cols(order_cols)
-    ranged = (df.repartitionByRange(n, *keys)
+    ranged = (df.repartitionByRange(*([num_partitions] if num_partitions else []), *keys)
                 .sortWithinPartitions(*keys)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_MID, F.monotonically_increasing_id()))

@@ -2,7 +2,7 @@
 
 Input is any predictions frame ``(user_id, rank, product_id, score)`` — from
 ALS, rules, or a file — and a long-form truth ``(user_id, product_id)``. Both
-are shuffled together once by user; one aggregate per user yields every
+are merged by (user, product), then one aggregate per user yields every
 metric at every K, and truth users without any hit score zero. The ideal DCG
 is a higher-order ``aggregate`` over at most max(K) terms per row — no join
 with a K table and no per-user Python.
@@ -32,21 +32,18 @@ def per_user_metrics(predictions: DataFrame, truth: DataFrame, ks=DEFAULT_KS) ->
     users without truth are not evaluated.
 
     Plan: prediction rows (rank <= max K) and truth rows are unioned and
-    shuffled once by ``user_id`` (explicit count, so AQE keeps the
-    parallelism); the (user, product) merge and the per-user aggregate —
-    one conditional sum / count / min per K — then run inside that
-    partitioning. A user's rows are bounded by max K + its truth set.
+    merged by (user, product), so a hot user's rows spread over tasks; the
+    per-user aggregate — one conditional sum / count / min per K — is combined
+    in the tasks before its shuffle.
     """
     ks = normalise_ks(ks)
     kmax = max(ks)
-    n_parts = int(predictions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     recs = (predictions.filter(F.col("rank") <= kmax)
                        .select("user_id", "product_id", F.col("rank").cast("bigint").alias("rank"),
                                F.lit(0).alias("rel")))
     rel = truth.select("user_id", "product_id", F.lit(None).cast("bigint").alias("rank"),
                        F.lit(1).alias("rel"))
-    merged = (recs.unionByName(rel).repartition(n_parts, "user_id")
-                  .groupBy("user_id", "product_id")
+    merged = (recs.unionByName(rel).groupBy("user_id", "product_id")
                   .agg(F.min("rank").alias("rank"), F.max("rel").alias("rel")))
     hit = F.col("rel") == 1
     aggs = [F.sum("rel").cast("bigint").alias("n_rel")]
@@ -73,13 +70,23 @@ def per_user_metrics(predictions: DataFrame, truth: DataFrame, ks=DEFAULT_KS) ->
         (n_hit / F.col("k").cast("double")).alias("precision"))
 
 
-def summary(per_user: DataFrame) -> DataFrame:
-    """Mean of each metric per K and the number of users (6 decimals)."""
-    return (per_user.groupBy("k")
+def summary(per_user: DataFrame, ks=None) -> DataFrame:
+    """Mean of each metric per K and the number of users (6 decimals).
+
+    With ``ks``, every K has a row: NULL means and ``n_users`` 0 where no user
+    was evaluated.
+    """
+    means = (per_user.groupBy("k")
                     .agg(r6(F.avg("ndcg")).alias("ndcg"), r6(F.avg("mrr")).alias("mrr"),
                          r6(F.avg("recall")).alias("recall"),
                          r6(F.avg("precision")).alias("precision"),
                          F.count(F.lit(1)).cast("bigint").alias("n_users")))
+    if ks is None:
+        return means
+    grid = per_user.sparkSession.range(1).select(F.explode(F.array(
+        *[F.lit(k).cast("bigint") for k in normalise_ks(ks)])).alias("k"))
+    return grid.join(means, "k", "left").withColumn(
+        "n_users", F.coalesce("n_users", F.lit(0).cast("bigint")))
 
 
 def per_user_ndcg(per_user: DataFrame, ks=DEFAULT_KS) -> DataFrame:
@@ -101,4 +108,4 @@ def evaluate(predictions: DataFrame, truth: DataFrame, ks=DEFAULT_KS,
     if users is not None:
         truth = restrict_truth(truth, users)
     per_user = per_user_metrics(predictions, truth, ks)
-    return summary(per_user), per_user
+    return summary(per_user, ks), per_user

@@ -25,7 +25,7 @@ def check_request(algorithm: str, n: int) -> None:
 
 
 def recommend(algorithm: str, cohort: DataFrame, n: int, *, als=None, rules=None,
-              history: DataFrame | None = None, filter_already_liked: bool = False) -> DataFrame:
+              history: DataFrame | None = None, exclude_owned: bool = False) -> DataFrame:
     """(user_id, rank, product_id, score) from the chosen recommender.
 
     ``rules`` needs ``history`` (user_id, product_id); only cohort users'
@@ -35,7 +35,7 @@ def recommend(algorithm: str, cohort: DataFrame, n: int, *, als=None, rules=None
     if algorithm == "als":
         if als is None:
             raise RuntimeError("ALS model is not fitted")
-        return als.recommend(cohort, n, filter_already_liked)
+        return als.recommend(cohort, n, exclude_owned)
     if rules is None:
         raise RuntimeError("rule model is not fitted")
     if history is None:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.exprs import n_holdout, seeded_order_key
+from basketry.functions.ranking import position_in_groups
 
 
 def purchase_frequency(lines: DataFrame) -> DataFrame:
@@ -82,6 +83,13 @@ def train_test_split(lines: DataFrame, test_ratio: float = 0.2, seed: int = 42,
     return split
 
 
+def folds_of(train: DataFrame, test: DataFrame) -> DataFrame:
+    """(user_id, product_id, fold) of two stored folds."""
+    pair = ("user_id", "product_id")
+    return train.select(*pair, F.lit("train").alias("fold")).unionByName(
+        test.select(*pair, F.lit("test").alias("fold")))
+
+
 def train_weighted(train: DataFrame, freq: DataFrame) -> DataFrame:
     """Attach purchase counts to bare train pairs; a missing count is 1."""
     return (train.select("user_id", "product_id")
@@ -101,34 +109,21 @@ def fold_overlap(train: DataFrame, test: DataFrame) -> DataFrame:
 def assert_disjoint(train: DataFrame, test: DataFrame) -> None:
     n = fold_overlap(train, test).first()["overlap_pairs"]
     if n:
-        raise AssertionError(f"Found {n} overlapping pairs in split")
+        raise AssertionError(f"the folds share {n} (user, product) pairs")
 
 
 def eval_sample(users: DataFrame, sample_size: int | None = None, seed: int = 42) -> DataFrame:
-    """Exactly ``sample_size`` distinct users in a seeded md5 order (all if None).
+    """``sample_size`` distinct users in a seeded md5 order; all of them if None.
 
-    md5 keys are uniform, so users whose 60-bit key prefix lies below
-    ``1.1 · n / U`` of the key range (plus a margin) form a prefix of the full
-    order holding about 1.1·n users. When at least ``n`` survive, the bounded
-    top-n runs on those few rows only — no task ships a full ``n``-row list for
-    the merge; otherwise it falls back to the whole set. Same rows either way.
+    Positions come from ``position_in_groups`` (range-partitioned), so no task
+    holds the sample or the user list, whatever the sizes.
     """
     distinct = users.select("user_id").distinct()
     if sample_size is None:
         return distinct
-    n = int(sample_size)
-    key = seeded_order_key(seed, "user_id")
-    ordered = lambda df: df.orderBy(key, F.col("user_id")).limit(n)
-    total = distinct.count()
-    if n >= total:
-        return ordered(distinct)
-    frac = min(1.0, 1.1 * n / total + 64.0 / total)
-    prefix = F.conv(F.substring(key, 1, 15), 16, 10).cast("decimal(20,0)")
-    bound = int(frac * float(16 ** 15))
-    candidates = distinct.filter(prefix <= F.lit(bound))
-    if candidates.count() >= n:
-        return ordered(candidates)
-    return ordered(distinct)
+    keyed = distinct.withColumn("__key", seeded_order_key(seed, "user_id"))
+    placed = position_in_groups(keyed, [], ["__key", "user_id"], "__place")
+    return placed.filter(F.col("__place") <= int(sample_size)).select("user_id")
 
 
 def split_sanity(folds: DataFrame, truth: DataFrame) -> DataFrame:

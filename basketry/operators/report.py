@@ -1,18 +1,21 @@
 """Tables behind the training and inference reports.
 
-Histograms bin with an equal-width expression against min/max scalar
-subqueries and fill empty bins from ``spark.range(bins)``. Kernel density
-curves group equal values first, then every distinct value contributes to
-each grid point through a generated index (``explode(sequence(0, points-1))``)
-and a partial aggregation per grid point — no join against a grid table.
-The exact median ranks values with ``position_in_groups`` (range-partitioned
-sort), so no single task holds all values.
+Curves first group their input to distinct (value, count) rows, checkpointed,
+so an expensive input is read once; the few numbers they need of it (min, max,
+n, variance) are one aggregate row. Histograms fill empty bins from
+``spark.range(bins)``. Kernel densities add up a grid per task, vectorised,
+and sum the tasks' grids. The exact median ranks values with
+``position_in_groups`` (range-partitioned sort), so no single task holds all
+values. The user report unions predictions, train and truth rows and shuffles
+them once.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,24 +45,21 @@ def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     spans [v - 0.5, v + 0.5]. Empty input gives no rows.
     """
     weighted = _weighted_values(df, col)
-    lo = weighted.select(F.min("x")).scalar()
-    hi = weighted.select(F.max("x")).scalar()
-    n = weighted.select(F.sum("w")).scalar()
-    lo2 = F.when(lo == hi, lo - F.lit(0.5)).otherwise(lo)
-    hi2 = F.when(lo == hi, hi + F.lit(0.5)).otherwise(hi)
-    width = (hi2 - lo2) / F.lit(float(bins))
-    counts = (weighted.select(equal_width_bin(F.col("x"), lo, hi, bins).alias("bin"), "w")
+    st = weighted.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("w").alias("n")).first()
+    schema = "bin bigint, bin_lo double, bin_hi double, count bigint, density double"
+    if not st["n"]:
+        return df.sparkSession.createDataFrame([], schema)
+    lo, hi = (st["lo"], st["hi"]) if st["lo"] < st["hi"] else (st["lo"] - 0.5, st["hi"] + 0.5)
+    width = (hi - lo) / float(bins)
+    counts = (weighted.select(equal_width_bin(F.col("x"), F.lit(st["lo"]), F.lit(st["hi"]), bins)
+                              .alias("bin"), "w")
                       .groupBy("bin").agg(F.sum("w").cast("bigint").alias("count")))
     grid = df.sparkSession.range(bins).select(F.col("id").cast("bigint").alias("bin"))
-    out = grid.join(counts, "bin", "left").select(
-        "bin",
-        (lo2 + F.col("bin") * width).alias("bin_lo"),
-        (lo2 + (F.col("bin") + 1) * width).alias("bin_hi"),
-        F.coalesce(F.col("count"), F.lit(0).cast("bigint")).alias("count"),
-        (F.coalesce(F.col("count"), F.lit(0)).cast("double") / (n * width)).alias("density"))
-    out = out.filter(n > 0)
-    return out.select("bin", r6("bin_lo").alias("bin_lo"), r6("bin_hi").alias("bin_hi"),
-                      "count", r6("density").alias("density"))
+    count = F.coalesce(F.col("count"), F.lit(0).cast("bigint"))
+    return grid.join(counts, "bin", "left").select(
+        "bin", r6(F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_lo"),
+        r6(F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_hi"), count.alias("count"),
+        r6(count.cast("double") / (F.lit(float(st["n"])) * F.lit(width))).alias("density"))
 
 
 def kde_curve(df: DataFrame, col: str, points: int = 300, bandwidth: float = 0.3,
@@ -67,30 +67,36 @@ def kde_curve(df: DataFrame, col: str, points: int = 300, bandwidth: float = 0.3
     """Gaussian kernel density on an evenly spaced grid: (point, x, density).
 
     Kernel sd = ``bandwidth`` × sample sd; grid = [min, max] of the data unless
-    given. Zero variance or fewer than two values give no rows. Each distinct
-    value contributes to every grid point (``points`` rows per distinct value,
-    partially aggregated per task before the shuffle).
+    given. Zero variance or fewer than two values give no rows. Each task adds
+    its distinct values to one grid of ``points`` sums and passes that on.
     """
-    weighted = _weighted_values(df, col).withColumnRenamed("x", "v")
-    n = weighted.select(F.sum("w")).scalar()
-    mean = weighted.select(F.sum(F.col("w") * F.col("v")) / F.sum("w")).scalar()
-    var = weighted.select(F.sum(F.col("w") * (F.col("v") - mean) * (F.col("v") - mean))).scalar() \
-        / (n - 1)
-    h = F.sqrt(var) * F.lit(float(bandwidth))
-    lo = F.lit(float(grid[0])) if grid else weighted.select(F.min("v")).scalar()
-    hi = F.lit(float(grid[1])) if grid else weighted.select(F.max("v")).scalar()
-    step = (hi - lo) / F.lit(float(points - 1))
-    spread = weighted.select("v", "w", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
-                             .alias("point"))
-    x = lo + F.col("point") * step
-    z = (x - F.col("v")) / h
-    contrib = F.col("w") * F.exp(F.lit(-0.5) * z * z)
-    curve = spread.groupBy("point").agg(F.sum(contrib).alias("mass"))
-    norm = n * h * F.lit(math.sqrt(2.0 * math.pi))
-    out = curve.select(F.col("point").cast("bigint").alias("point"), x.alias("x"),
-                       (F.col("mass") / norm).alias("density"))
-    out = out.filter((n > 1) & (h > 0))
-    return out.select("point", r6("x").alias("x"), r6("density").alias("density"))
+    weighted = _weighted_values(df, col)
+    st = weighted.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("w").alias("n"),
+                      (F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("mean")).first()
+    empty = df.sparkSession.createDataFrame([], "point bigint, x double, density double")
+    if (st["n"] or 0) < 2:
+        return empty
+    off = F.col("x") - F.lit(st["mean"])
+    h = bandwidth * math.sqrt(weighted.agg(F.sum(F.col("w") * off * off)).first()[0] / (st["n"] - 1))
+    if not h > 0:
+        return empty
+    lo, hi = grid or (st["lo"], st["hi"])
+    at = lo + np.arange(points) * ((hi - lo) / float(points - 1))
+    norm = st["n"] * h * math.sqrt(2.0 * math.pi)
+
+    def masses(batches):
+        total = np.zeros(points)
+        for batch in batches:
+            v, w = (batch.column(i).to_numpy() for i in (0, 1))
+            for s in range(0, len(v), 4096):
+                z = (at[:, None] - v[None, s:s + 4096]) / h
+                total += np.exp(-0.5 * z * z) @ w[s:s + 4096].astype(float)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(points)), pa.array(at), pa.array(total)],
+                                         ["point", "x", "mass"])
+
+    curve = weighted.select("x", "w").mapInArrow(masses, "point bigint, x double, mass double")
+    return (curve.groupBy("point").agg(F.max("x").alias("x"), F.sum("mass").alias("mass"))
+            .select("point", r6("x").alias("x"), r6(F.col("mass") / F.lit(norm)).alias("density")))
 
 
 def exact_median(df: DataFrame, col: str, tie: str) -> DataFrame:
@@ -181,9 +187,8 @@ def ndcg_stats(per_user_ndcg: DataFrame) -> DataFrame:
 def ndcg_density(per_user_ndcg: DataFrame, points: int = 300, bandwidth: float = 0.3,
                  min_users: int = 10) -> DataFrame:
     """Density of NDCG on [0, 1]; only drawn when more than ``min_users`` values."""
-    n = per_user_ndcg.select(F.count(F.lit(1))).scalar()
-    return kde_curve(per_user_ndcg, "ndcg", points, bandwidth, grid=(0.0, 1.0)).filter(
-        n > min_users)
+    curve = kde_curve(per_user_ndcg, "ndcg", points, bandwidth, grid=(0.0, 1.0))
+    return curve if per_user_ndcg.count() > min_users else curve.limit(0)
 
 
 def metric_long(summary: DataFrame) -> DataFrame:
@@ -211,18 +216,26 @@ def metric_table(summary: DataFrame) -> DataFrame:
 
 def user_report(predictions: DataFrame, train: DataFrame, truth: DataFrame) -> DataFrame:
     """Per recommendation: score (4 dp), the user's train and truth sizes,
-    whether it is a hit, and the user's hits over the whole list."""
-    n_train = train.groupBy("user_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_train_items"))
-    rel = truth.select("user_id", "product_id").distinct()
-    n_truth = rel.groupBy("user_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_truth"))
-    flagged = predictions.join(rel.withColumn("is_hit", F.lit(1)), ["user_id", "product_id"],
-                               "left")
-    hits = F.sum(F.coalesce(F.col("is_hit"), F.lit(0))).over(Window.partitionBy("user_id"))
-    return (flagged.join(n_train, "user_id", "left").join(n_truth, "user_id", "left")
-                   .select("user_id", "rank", "product_id",
-                           round_half_up("score", 4).alias("score"),
-                           F.coalesce("n_train_items", F.lit(0)).cast("bigint")
-                            .alias("n_train_items"),
-                           F.coalesce("n_truth", F.lit(0)).cast("bigint").alias("n_truth"),
-                           F.coalesce("is_hit", F.lit(0)).cast("bigint").alias("is_hit"),
-                           hits.cast("bigint").alias("hits")))
+    whether it is a hit, and the user's hits over the whole list.
+
+    The three inputs are tagged, unioned and shuffled once by user. A user's
+    rows are its list, its train products and its truth: at most the catalog.
+    """
+    def tagged(df, rank, score, is_train, is_truth):
+        return df.select("user_id", "product_id", rank.cast("bigint").alias("rank"),
+                         score.cast("double").alias("score"), F.lit(is_train).alias("is_train"),
+                         F.lit(is_truth).alias("is_truth"))
+
+    none = F.lit(None)
+    rows = (tagged(predictions, F.col("rank"), F.col("score"), 0, 0)
+            .unionByName(tagged(train, none, none, 1, 0))
+            .unionByName(tagged(truth.select("user_id", "product_id").distinct(), none, none, 0, 1)))
+    user, pair = Window.partitionBy("user_id"), Window.partitionBy("user_id", "product_id")
+    rows = (rows.withColumn("is_hit", F.max("is_truth").over(pair))
+            .withColumns({"n_train_items": F.sum("is_train").over(user),
+                          "n_truth": F.sum("is_truth").over(user),
+                          "hits": F.sum(F.when(F.col("rank").isNotNull(), F.col("is_hit"))
+                                        .otherwise(0)).over(user)}))
+    return rows.filter(F.col("rank").isNotNull()).select(
+        "user_id", "rank", "product_id", round_half_up("score", 4).alias("score"),
+        *[F.col(c).cast("bigint").alias(c) for c in ("n_train_items", "n_truth", "is_hit", "hits")])

@@ -1,8 +1,10 @@
 """Association rules: baskets, frequent itemsets, rules, rule-based top-N.
 
 * Frequent itemsets come from MLlib ``PrefixSpan`` over one-element
-  sequences (bounded at ``max_len`` while mining) or MLlib ``FPGrowth``
-  (distributed FP-trees); neither enumerates pairs per basket. Both are
+  sequences (bounded at ``max_len`` while mining; it projects a basket once
+  per frequent prefix it holds, and keeps the frequent patterns of a round on
+  the driver, a table the result is at least as large as) or MLlib
+  ``FPGrowth`` (distributed FP-trees, no length bound). Both are
   re-filtered with the exact ``freq / n_baskets >= min_support`` test.
 * Rules take *every* non-empty proper subset of an itemset as antecedent (so
   consequents may hold several items): a bit mask per split, expanded with
@@ -10,8 +12,10 @@
   the itemset table on the sorted item arrays.
 * Scoring is relational division: a rule fires for a basket when all of its
   antecedent items are in the basket, i.e. the basket ⋈ rule-index count per
-  (basket, rule) equals the antecedent size. The rule tables are broadcast
-  only after their row count is checked.
+  (basket, rule) equals the antecedent size. Rules carry an integer number
+  inside; their tables are broadcast only after their row count is checked.
+  Every shuffle is on (basket, product) or (basket, rule) after a partial
+  aggregate, so one hot basket spreads over tasks.
 """
 
 from __future__ import annotations
@@ -25,20 +29,21 @@ from pyspark.sql import functions as F
 
 from basketry.functions.joins import broadcast_if_small
 from basketry.operators.encode import load_params, save_params
-from basketry.schema import ITEMSET_SCHEMA, RULE_SCHEMA
+from basketry.schema import ITEMSET_SCHEMA, RULE_SCHEMA, require_columns
 from basketry.session import checkpoint_root
 
 # Exact decimal for score sums: addition order cannot change ties.
 SCORE_DECIMAL = "decimal(18,12)"
 
 
+# Support, confidence, lift and length of the default setting.
 @dataclass(frozen=True)
 class RuleParams:
     min_support: float = 0.01
     min_confidence: float = 0.2
     min_lift: float = 1.0
     max_len: int = 3
-    max_items: int | None = 8000
+    max_items: int | None = None       # F4: keep only the most common products, on request
     weight: str = "antecedent_size"   # or "once"
     num_partitions: int | None = None  # miner partitions; None keeps the input's
     miner: str = "prefixspan"          # or "fpgrowth"
@@ -46,8 +51,7 @@ class RuleParams:
 
 def baskets(train: DataFrame, key: str = "user_id") -> DataFrame:
     """(key, items) with items = sorted distinct products; empty baskets dropped."""
-    if not {key, "product_id"}.issubset(train.columns):
-        raise ValueError(f"train frame must contain {key} and product_id columns")
+    require_columns(train, [key, "product_id"], "basket lines")
     out = train.groupBy(key).agg(F.sort_array(F.collect_set("product_id")).alias("items"))
     return out.filter(F.size("items") > 0)
 
@@ -55,12 +59,13 @@ def baskets(train: DataFrame, key: str = "user_id") -> DataFrame:
 def cap_vocabulary(pairs: DataFrame, max_items: int, key: str = "user_id") -> DataFrame:
     """Keep pairs of the ``max_items`` products found in the most baskets.
 
-    Ties break by product id. The top list is a bounded top-k (``max_items``
-    rows), so broadcasting it is safe.
+    Ties break by product id. The top list has at most ``max_items`` rows; it
+    is broadcast when that bound is small.
     """
     counts = pairs.groupBy("product_id").agg(F.countDistinct(key).alias("n_baskets"))
     top = counts.orderBy(F.col("n_baskets").desc(), F.col("product_id")).limit(int(max_items))
-    return pairs.join(F.broadcast(top.select("product_id")), "product_id", "left_semi")
+    return pairs.join(broadcast_if_small(top.select("product_id"), int(max_items)),
+                      "product_id", "left_semi")
 
 
 def min_count(min_support: float, n_baskets: int) -> int:
@@ -154,6 +159,7 @@ class RuleModel:
     n_itemsets: int
     n_rules: int
     params: RuleParams
+    _numbered: DataFrame | None = None
 
     @classmethod
     def fit(cls, train: DataFrame, params: RuleParams = RuleParams(),
@@ -187,19 +193,21 @@ class RuleModel:
     def rule_index(self) -> DataFrame:
         return rule_index(self.rules)
 
-    def fired(self, history: DataFrame, key: str = "user_id",
-              key_partitioned: bool = False) -> DataFrame:
-        return fired_rules(history, self.rules, key, self.n_rules, key_partitioned)
+    def numbered(self) -> DataFrame:
+        """The rules with their integer numbers, numbered once per model."""
+        if self._numbered is None:
+            self._numbered = numbered(self.rules)
+        return self._numbered
 
-    def scores(self, history: DataFrame, key: str = "user_id",
-               key_partitioned: bool = False) -> DataFrame:
-        return rule_scores(history, self.rules, key, self.params.weight, self.n_rules,
-                           key_partitioned)
+    def fired(self, history: DataFrame, key: str = "user_id") -> DataFrame:
+        return fired_rules(history, self.numbered(), key)
 
-    def recommend(self, history: DataFrame, n: int = 10, key: str = "user_id",
-                  key_partitioned: bool = False) -> DataFrame:
-        """Top-``n`` per basket; see ``rule_scores`` for ``key_partitioned``."""
-        return top_n(self.scores(history, key, key_partitioned), n, key)
+    def scores(self, history: DataFrame, key: str = "user_id") -> DataFrame:
+        return rule_scores(history, self.numbered(), key, self.params.weight)
+
+    def recommend(self, history: DataFrame, n: int = 10, key: str = "user_id") -> DataFrame:
+        """Top-``n`` per basket of ``history`` lines (key, product_id)."""
+        return top_n(self.scores(history, key), n, key)
 
     # -- persistence -----------------------------------------------------
     def save(self, path: str) -> None:
@@ -224,42 +232,43 @@ def rule_index(rules: DataFrame) -> DataFrame:
                         F.size("antecedent").cast("bigint").alias("ant_size"), "confidence")
 
 
-def _owned(history: DataFrame, key: str, key_partitioned: bool) -> DataFrame:
-    """Distinct (key, product) pairs, hash-partitioned by ``key``.
+def numbered(rules: DataFrame) -> DataFrame:
+    """``rules`` with a unique integer ``rule_no``, written once so that it never changes."""
+    if "rule_no" in rules.columns:
+        return rules
+    checkpoint_root(rules.sparkSession)
+    return rules.withColumn("rule_no", F.monotonically_increasing_id()).checkpoint(eager=True)
 
-    One shuffle of the raw basket lines — the smallest table of the scoring
-    chain — so firing, scoring, exclusion and top-N below run without any
-    further exchange. Skip it when the caller's frame is already partitioned
-    by ``key`` (e.g. the train fold straight out of the split).
-    """
-    owned = history.select(key, "product_id")
-    if not key_partitioned:
-        # An explicit count: AQE would coalesce this small shuffle to a few
-        # partitions, but the rows multiply right after it (rule-index join),
-        # so the scoring needs the full parallelism.
-        n = int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        owned = owned.repartition(n, key)
-    return owned.dropDuplicates([key, "product_id"])
-
-
-def _fired(owned: DataFrame, rules: DataFrame, key: str, n_rules: int | None) -> DataFrame:
-    index = broadcast_if_small(rule_index(rules), None if n_rules is None else n_rules * 4)
+
+def _owned(history: DataFrame, key: str) -> DataFrame:
+    """Distinct (key, product) pairs; repeated lines collapse in the tasks before the shuffle."""
+    return history.select(key, "product_id").distinct()
+
+
+def _fired(owned: DataFrame, rules: DataFrame, key: str) -> DataFrame:
+    """(key, rule_no, ant_size, confidence) of the rules whose antecedent a basket holds."""
+    index = broadcast_if_small(rules.select(
+        F.explode("antecedent").alias("item"), "rule_no", F.size("antecedent").alias("ant_size"),
+        "confidence"))
     hits = owned.join(index, owned.product_id == index.item)
-    return (hits.groupBy(key, "rule_id", "ant_size", "confidence")
-                .agg(F.count(F.lit(1)).alias("n_present"))
+    # Size and confidence hang on the rule: they ride along instead of being group keys.
+    return (hits.groupBy(key, "rule_no")
+                .agg(F.count(F.lit(1)).alias("n_present"), F.max("ant_size").alias("ant_size"),
+                     F.max("confidence").alias("confidence"))
                 .filter(F.col("n_present") == F.col("ant_size"))
                 .drop("n_present"))
 
 
-def fired_rules(history: DataFrame, rules: DataFrame, key: str = "user_id",
-                n_rules: int | None = None, key_partitioned: bool = False) -> DataFrame:
+def fired_rules(history: DataFrame, rules: DataFrame, key: str = "user_id") -> DataFrame:
     """(key, rule_id, ant_size, confidence) for rules whose antecedent ⊆ basket."""
-    return _fired(_owned(history, key, key_partitioned), rules, key, n_rules)
+    rules = numbered(rules)
+    names = broadcast_if_small(rules.select("rule_no", "rule_id"))
+    return (_fired(_owned(history, key), rules, key).join(names, "rule_no")
+            .select(key, "rule_id", F.col("ant_size").cast("bigint").alias("ant_size"), "confidence"))
 
 
 def rule_scores(history: DataFrame, rules: DataFrame, key: str = "user_id",
-                weight: str = "antecedent_size", n_rules: int | None = None,
-                key_partitioned: bool = False) -> DataFrame:
+                weight: str = "antecedent_size") -> DataFrame:
     """(key, product_id, score) — summed confidences of fired rules per
     consequent item not already in the basket.
 
@@ -267,18 +276,17 @@ def rule_scores(history: DataFrame, rules: DataFrame, key: str = "user_id",
     confidence × antecedent size); ``"once"`` adds it once. Sums are exact
     decimals (DECIMAL(38,12)), so the order of addition cannot change ties.
     Owned items are removed by aggregating candidates together with the
-    basket's own rows (``max(owned) = 0``) rather than by an anti-join, which
-    would re-shuffle both sides on (key, product).
+    basket's own rows (``max(owned) = 0``) rather than by an anti-join.
     """
     if weight not in ("antecedent_size", "once"):
         raise ValueError(f"unknown weight {weight!r}")
-    owned = _owned(history, key, key_partitioned)
-    fired = _fired(owned, rules, key, n_rules)
+    rules = numbered(rules)
+    owned = _owned(history, key)
+    fired = _fired(owned, rules, key)
     cons = broadcast_if_small(
-        rules.select("rule_id", F.explode("consequent").alias("product_id")),
-        None if n_rules is None else n_rules * 4)
+        rules.select("rule_no", F.explode("consequent").alias("product_id")))
     mult = F.col("ant_size").cast("int") if weight == "antecedent_size" else F.lit(1)
-    cand = fired.join(cons, "rule_id").select(
+    cand = fired.join(cons, "rule_no").select(
         key, "product_id", (F.col("confidence").cast(SCORE_DECIMAL) * mult).alias("w"),
         F.lit(0).alias("is_owned"))
     mine = owned.select(key, "product_id", F.lit(None).cast(cand.schema["w"].dataType).alias("w"),

@@ -9,6 +9,7 @@ in SQL (ALS keys are checked by rows only, plus pytest fixed-point checks).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from basketry.operators import predict as prd
 from basketry.operators import prepare as prep
 from basketry.operators import report as rep
 from basketry.operators import rules as rl
-from basketry.operators.als import ALSRecommender
+from basketry.operators.als import FactorRecommender
 from basketry.plans import common as cm
 from basketry.plans import oracle as sql
 from basketry.plans.fixtures import line_pairs, order_lines, table
@@ -47,8 +48,7 @@ ORDER_LINES_SQL = sql.with_(sql.order_lines_sql("part")) + \
     f" SELECT {', '.join(REQUIRED_COLUMNS)} FROM order_lines"
 
 
-def _roundtrip(spark: SparkSession, sf_dir: str, fmt: str, suffix: str) -> DataFrame:
-    lines = order_lines(spark, sf_dir)
+def _written(spark: SparkSession, lines: DataFrame, fmt: str, suffix: str) -> str:
     path = scratch_dir(spark, "orderlines") + suffix
     if fmt == "json":
         sinks.write_json_document(lines, path)
@@ -58,6 +58,11 @@ def _roundtrip(spark: SparkSession, sf_dir: str, fmt: str, suffix: str) -> DataF
         lines.write.mode("overwrite").json(path)
     else:
         sinks.write_table(lines, path, fmt)
+    return path
+
+
+def _roundtrip(spark: SparkSession, sf_dir: str, fmt: str, suffix: str) -> DataFrame:
+    path = _written(spark, order_lines(spark, sf_dir), fmt, suffix)
     return readers.load_order_lines(spark, path).select(*REQUIRED_COLUMNS)
 
 
@@ -93,6 +98,63 @@ def q_coerce_schema(spark, sf_dir):
     return readers.coerce_schema(as_text)
 
 
+# Faults planted by order key, the same on both sides.
+FAULTS = {"user_id": ("order_id % 97 = 0", None), "product_id": ("order_id % 89 = 0", "'abc'"),
+          "order_dow": ("order_id % 83 = 0", "'3.5'"), "reordered": ("order_id % 79 = 0", None),
+          "days_since_prior_order": ("order_id % 73 = 0", "'soon'")}
+
+
+def _faulty(c: str) -> str:
+    where, what = FAULTS.get(c, ("false", None))
+    return f"CASE WHEN {where} THEN {what or 'NULL'} ELSE CAST({c} AS {{text}}) END"
+
+
+@query("validation_report", sql.with_(sql.order_lines_sql("part")) + " UNION ALL ".join(
+    f" SELECT '{c}' AS \"column\", CAST(count(*) FILTER ({FAULTS[c][0]} AND {FAULTS[c][1] is None}) AS BIGINT)"
+    f" AS n_null, CAST(count(*) FILTER ({FAULTS[c][0]} AND {FAULTS[c][1] is not None}) AS BIGINT) AS n_bad"
+    f" FROM order_lines" if c in FAULTS else
+    f" SELECT '{c}' AS \"column\", CAST(0 AS BIGINT) AS n_null, CAST(0 AS BIGINT) AS n_bad"
+    for c in REQUIRED_COLUMNS))
+def q_validation_report(spark, sf_dir):
+    lines = order_lines(spark, sf_dir)
+    return readers.validation_report(lines.select(
+        *[F.expr(_faulty(c).format(text="STRING")).alias(c) for c in REQUIRED_COLUMNS]))
+
+
+@query("column_check", sql.with_(sql.order_lines_sql("part")) + f"""
+SELECT unnest([{', '.join(f"'{c}'" for c in REQUIRED_COLUMNS)}]) AS "column",
+       CAST(count(*) AS BIGINT) AS n_rows, true AS named FROM order_lines""")
+def q_column_check(spark, sf_dir):
+    """Each required column taken away in turn: the check names exactly that one."""
+    lines = order_lines(spark, sf_dir).checkpoint(eager=True)
+    named = []
+    for c in REQUIRED_COLUMNS:
+        try:
+            readers.check_columns(lines.drop(c))
+            named.append(False)
+        except ValueError as exc:
+            named.append(str(exc).endswith(f"['{c}']"))
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(ok).alias("named"))
+                     for c, ok in zip(REQUIRED_COLUMNS, named)])
+    return lines.agg(F.count(F.lit(1)).alias("n_rows")).select(F.inline(rows), "n_rows")
+
+
+@query("suffix_dispatch", sql.with_(sql.order_lines_sql("part")) + f"""
+SELECT unnest([{', '.join(f"'{s}'" for s in readers.SUFFIX_FORMATS)}]) AS suffix,
+       CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(product_id) AS BIGINT) AS product_sum
+FROM order_lines""")
+def q_suffix_dispatch(spark, sf_dir):
+    """Order lines written once per format, read back under every accepted suffix."""
+    lines = order_lines(spark, sf_dir).checkpoint(eager=True)
+    parts = []
+    for suffix, fmt in readers.SUFFIX_FORMATS.items():
+        path = _written(spark, lines, fmt, suffix)
+        parts.append(readers.load_order_lines(spark, path).agg(
+            F.count(F.lit(1)).alias("n_rows"), F.sum("product_id").alias("product_sum"))
+            .select(F.lit(suffix).alias("suffix"), "n_rows", "product_sum"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("dataset_profile", sql.with_(sql.order_lines_sql("part")) + """
 SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT user_id) AS BIGINT) AS n_users,
        CAST(count(DISTINCT product_id) AS BIGINT) AS n_products, CAST(11 AS BIGINT) AS n_columns
@@ -260,6 +322,31 @@ def q_baskets(spark, sf_dir):
     return rl.baskets(cm.split(spark, sf_dir, "brand").train)
 
 
+@query("baskets_without_empty", sql.with_(sql.split_ctes("brand")) + """
+SELECT user_id, CAST(count(DISTINCT product_id) AS BIGINT) AS n_items FROM train
+WHERE user_id % 3 <> 0 GROUP BY user_id""")
+def q_baskets_without_empty(spark, sf_dir):
+    """Users whose products are all unknown have no basket."""
+    train = cm.split(spark, sf_dir, "brand").train.select(
+        "user_id", F.when(F.col("user_id") % 3 != 0, F.col("product_id")).alias("product_id"))
+    return rl.baskets(train).select("user_id", F.size("items").cast("bigint").alias("n_items"))
+
+
+@query("rules_without_itemsets", RULES + """,
+none AS (SELECT product_id FROM (SELECT product_id, count(*) AS c FROM train GROUP BY product_id), nb
+         WHERE c / n >= 0.999)
+SELECT CAST((SELECT n FROM nb) AS BIGINT) AS n_baskets, CAST(count(*) AS BIGINT) AS n_itemsets,
+       CAST(0 AS BIGINT) AS n_rules, CAST(0 AS BIGINT) AS n_recs FROM none""")
+def q_rules_without_itemsets(spark, sf_dir):
+    """Support no itemset reaches: a model without rules that recommends nothing."""
+    train = cm.split(spark, sf_dir, "brand").train
+    m = rl.RuleModel.fit(train, rl.RuleParams(min_support=0.999, min_confidence=0.45))
+    return m.recommend(train, cm.TOP_N).agg(F.count(F.lit(1)).alias("n_recs")).select(
+        F.lit(m.n_baskets).cast("bigint").alias("n_baskets"),
+        F.lit(m.n_itemsets).cast("bigint").alias("n_itemsets"),
+        F.lit(m.n_rules).cast("bigint").alias("n_rules"), "n_recs")
+
+
 @query("vocab_cap", SPLIT + """,
 top AS (SELECT product_id FROM (SELECT product_id, count(DISTINCT user_id) AS n FROM train
                                 GROUP BY product_id)
@@ -329,7 +416,7 @@ def order_baskets(spark, sf_dir) -> DataFrame:
               .join(part, li.l_partkey == part.p_partkey)
               .select(F.col("o_orderkey").alias("basket_id"),
                       F.substring("p_brand", 7, 16).cast("bigint").alias("product_id")))
-    # Duplicate lines are removed by the scorer after its one basket shuffle.
+
 
 
 @query("rule_recommend_basket", sql.with_(sql.rule_ctes(), ORDER_BASKETS_SQL,
@@ -416,8 +503,9 @@ def q_per_user_ndcg(spark, sf_dir):
 
 
 # ------------------------------------------------------------------- ALS --
-# Rows-only keys: factor values depend on MLlib's initialisation, so they are
-# checked by row counts here and by the normal-equation fixed point in pytest.
+# Factor values depend on MLlib's initialisation, so SQL cannot give them. What it
+# can give is checked: list lengths and order, owned items, the fixed point of the
+# normal equations and that a saved model recommends the same.
 def _als(spark, sf_dir):
     return cm.als_model(spark, sf_dir)
 
@@ -444,18 +532,96 @@ def q_als_recommend(spark, sf_dir):
 def q_als_recommend_new(spark, sf_dir):
     s = cm.split(spark, sf_dir)
     cohort = prd.default_cohort(s.test, cm.encoder(spark, sf_dir))
-    return _als(spark, sf_dir).recommend(cohort, cm.TOP_N, filter_already_liked=True)
+    return _als(spark, sf_dir).recommend(cohort, cm.TOP_N, exclude_owned=True)
 
 
 @query("als_roundtrip")
 def q_als_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, "als-model")
     _als(spark, sf_dir).save(path)
-    loaded = ALSRecommender.load(spark, path)
+    loaded = FactorRecommender.load(spark, path)
     s = cm.split(spark, sf_dir)
     return loaded.recommend(prd.default_cohort(s.test, cm.encoder(spark, sf_dir)), cm.TOP_N)
 
 
+COHORT_PART_SQL = SPLIT + """,
+cohort AS (SELECT DISTINCT user_id FROM test WHERE user_id IN (SELECT user_id FROM users)),
+n_all AS (SELECT count(*) AS n FROM products)"""
+
+
+def _list_checks(spark, sf_dir, recs: DataFrame) -> DataFrame:
+    """Per user: list length, and whether ranks, scores and products are as they must be."""
+    products = cm.encoder(spark, sf_dir).products.select("product_id", F.lit(1).alias("known"))
+    rows = recs.join(products, "product_id", "left")
+    lists = rows.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_recs"),
+        F.array_sort(F.collect_list(F.struct("rank", "score"))).alias("items"),
+        F.countDistinct("product_id").alias("n_products"), F.count("known").alias("n_known"))
+    return lists.select(
+        "user_id", "n_recs",
+        (F.transform("items", lambda x: x["rank"])
+         == F.sequence(F.lit(1).cast("bigint"), F.col("n_recs"))).alias("ranks_dense"),
+        F.expr("forall(sequence(1, size(items) - 1), "
+               "i -> i < 1 or i >= size(items) or items[i].score <= items[i - 1].score)").alias("scores_fall"),
+        ((F.col("n_known") == F.col("n_recs")) & (F.col("n_products") == F.col("n_recs")))
+        .alias("products_known"))
+
+
+@query("als_recommend_checks", COHORT_PART_SQL + f"""
+SELECT user_id, CAST(least({cm.TOP_N}, n) AS BIGINT) AS n_recs, true AS ranks_dense,
+       true AS scores_fall, true AS products_known FROM cohort, n_all""")
+def q_als_recommend_checks(spark, sf_dir):
+    return _list_checks(spark, sf_dir, q_als_recommend(spark, sf_dir))
+
+
+@query("als_recommend_new_checks", COHORT_PART_SQL + f"""
+SELECT c.user_id, CAST(least({cm.TOP_N}, n - own) AS BIGINT) AS n_recs, true AS ranks_dense,
+       true AS scores_fall, true AS products_known, CAST(0 AS BIGINT) AS n_owned
+FROM cohort c, n_all, (SELECT user_id, count(*) AS own FROM train GROUP BY user_id) t
+WHERE t.user_id = c.user_id""")
+def q_als_recommend_new_checks(spark, sf_dir):
+    recs = q_als_recommend_new(spark, sf_dir).checkpoint(eager=True)
+    owned = recs.join(cm.split(spark, sf_dir).train.select("user_id", "product_id"),
+                      ["user_id", "product_id"], "left_semi")
+    owned = owned.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_owned"))
+    return (_list_checks(spark, sf_dir, recs).join(owned, "user_id", "left")
+            .withColumn("n_owned", F.coalesce("n_owned", F.lit(0).cast("bigint"))))
+
+
+@query("als_fixed_point", SPLIT + " SELECT user_id, true AS solved FROM users")
+def q_als_fixed_point(spark, sf_dir):
+    return _als(spark, sf_dir).user_residuals().select(
+        "user_id", (F.col("residual") < 1e-2).alias("solved"))
+
+
+@query("als_item_factors", SPLIT + " SELECT product_id, 128 AS n_factors FROM products")
+def q_als_item_factors(spark, sf_dir):
+    return _als(spark, sf_dir).item_factors().select("product_id", F.size("features").alias("n_factors"))
+
+
+@query("als_one_in_batch", COHORT_PART_SQL + f"""
+SELECT min(user_id) AS user_id, CAST(least({cm.TOP_N}, min(n)) AS BIGINT) AS n_same
+FROM cohort, n_all""")
+def q_als_one_in_batch(spark, sf_dir):
+    """The single-user list against the same user's rows of the batch."""
+    one, batch = q_als_recommend_one(spark, sf_dir), q_als_recommend(spark, sf_dir)
+    same = one.join(batch, ["user_id", "rank", "product_id"], "left_semi")
+    return same.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_same"))
+
+
+@query("als_roundtrip_diff", COHORT_PART_SQL + f"""
+SELECT CAST(sum(least({cm.TOP_N}, n)) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_missing,
+       CAST(0 AS BIGINT) AS n_extra FROM cohort, n_all""")
+def q_als_roundtrip_diff(spark, sf_dir):
+    a = q_als_recommend(spark, sf_dir).select("user_id", "rank", "product_id")
+    b = q_als_roundtrip(spark, sf_dir).select("user_id", "rank", "product_id")
+    tagged = a.withColumn("side", F.lit(1)).unionByName(b.withColumn("side", F.lit(-1)))
+    diff = tagged.groupBy("user_id", "rank", "product_id").agg(
+        F.sum("side").alias("diff"), F.count_if(F.col("side") == 1).alias("n"))
+    return diff.agg(F.sum("n").alias("n_rows"), F.count_if(F.col("diff") > 0).alias("n_missing"),
+                    F.count_if(F.col("diff") < 0).alias("n_extra"))
+
+
 @query("eval_als")
 def q_eval_als(spark, sf_dir):
     truth = cm.truth(spark, sf_dir)
@@ -489,9 +655,13 @@ def q_eval_restricted(spark, sf_dir):
     return met.restrict_truth(cm.truth(spark, sf_dir, "brand"), cm.brand_cohort(spark, sf_dir))
 
 
-@query("predictions_nested")
+@query("predictions_nested", INFER + " SELECT user_id, rank, product_id, score FROM preds")
 def q_predictions_nested(spark, sf_dir):
-    return prd.nested(cm.brand_predictions(spark, sf_dir))
+    """The nested response, its items in list order, unfolded again for the comparison."""
+    nested = prd.nested(cm.brand_predictions(spark, sf_dir))
+    items = nested.select("user_id", F.posexplode("items").alias("pos", "item"))
+    return items.select("user_id", (F.col("pos") + 1).cast("bigint").alias("rank"),
+                        "item.product_id", "item.score")
 
 
 @query("split_roundtrip", SPLIT + """
@@ -500,7 +670,7 @@ SELECT user_id, product_id, CASE WHEN fold = 'train' THEN purchase_count END AS
 def q_split_roundtrip(spark, sf_dir):
     s = cm.split(spark, sf_dir)
     path = scratch_dir(spark, "split")
-    sinks.write_split(s.train, s.test, path)
+    sinks.write_folds(s.folds, path)
     train, test = sinks.read_split(spark, path)
     return (train.withColumn("fold", F.lit("train"))
                  .unionByName(test.withColumns({"purchase_count": F.lit(None).cast("bigint"),
@@ -514,6 +684,41 @@ def q_predictions_roundtrip(spark, sf_dir):
     return sinks.read_predictions(spark, path, "fpgrowth")
 
 
+ONCE_RECS = sql.scoring_ctes("train", "user_id", cm.TOP_N, weight="once", prefix="once_")
+
+
+@query("predictions_two_algorithms", INFER + ONCE_RECS + """
+SELECT user_id, rank, product_id, score, 'fpgrowth' AS algorithm FROM preds
+UNION ALL SELECT user_id, rank, product_id, score, 'fpgrowth_once' FROM once_recs
+WHERE user_id IN (SELECT user_id FROM cohort)""")
+def q_predictions_two_algorithms(spark, sf_dir):
+    """Two writers of one predictions table, the first one twice: neither loses the other's rows."""
+    path = scratch_dir(spark, "predictions")
+    preds = cm.brand_predictions(spark, sf_dir)
+    sinks.write_predictions(preds, path, "fpgrowth")
+    own = cm.split(spark, sf_dir, "brand").train.join(cm.brand_cohort(spark, sf_dir), "user_id", "left_semi")
+    once = rl.top_n(rl.rule_scores(own, cm.brand_rules(spark, sf_dir).numbered(), weight="once"), cm.TOP_N)
+    sinks.write_predictions(once, path, "fpgrowth_once")
+    sinks.write_predictions(preds, path, "fpgrowth")
+    return sinks.read_predictions(spark, path)
+
+
+@query("algorithm_switch", INFER + f""",
+n_all AS (SELECT count(DISTINCT product_id) AS n FROM train)
+SELECT 'fpgrowth' AS algorithm, CAST(count(*) AS BIGINT) AS n_rows, CAST(max(rank) AS BIGINT) AS max_rank
+FROM preds
+UNION ALL SELECT 'als', CAST(sum(least({cm.TOP_N}, n)) AS BIGINT),
+                 CAST(max(least({cm.TOP_N}, n)) AS BIGINT) FROM cohort, n_all""")
+def q_algorithm_switch(spark, sf_dir):
+    """The same request answered by either recommender."""
+    train, cohort = cm.split(spark, sf_dir, "brand").train, cm.brand_cohort(spark, sf_dir)
+    models = dict(als=cm.small_als(spark, sf_dir), rules=cm.brand_rules(spark, sf_dir), history=train)
+    parts = [prd.recommend(a, cohort, cm.TOP_N, **models).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("rank").alias("max_rank"))
+        .select(F.lit(a).alias("algorithm"), "n_rows", "max_rank") for a in prd.ALGORITHMS]
+    return parts[0].unionByName(parts[1])
+
+
 @query("eval_union", INFER_EVAL + """
 SELECT *, 'fpgrowth' AS algorithm, 'train' AS stage FROM summary
 UNION ALL SELECT *, 'fpgrowth' AS algorithm, 'infer' AS stage FROM summary""")
@@ -716,8 +921,13 @@ def q_user_report(spark, sf_dir):
        sql.with_(sql.rule_ctes(), ORDER_BASKETS_SQL,
                  sql.scoring_ctes("order_baskets", "basket_id", cm.TOP_N)) + " SELECT * FROM recs")
 def q_stream_rule_recommend(spark, sf_dir):
-    """Order baskets streamed through the rule scorer (same result as the batch path)."""
+    """Order baskets streamed through the rule scorer (same result as the batch path).
+
+    The source is dealt by product, so a basket's lines lie in several files
+    and arrive over several epochs.
+    """
     base = scratch_dir(spark, "basket-stream")
-    source = write_basket_files(order_baskets(spark, sf_dir), f"{base}/source")
+    lines = order_baskets(spark, sf_dir).repartition(3, "product_id")
+    source = write_basket_files(lines, f"{base}/source")
     return score_basket_folder(spark, source, f"{base}/sink", f"{base}/checkpoint",
-                               cm.brand_rules(spark, sf_dir), cm.TOP_N)
+                               cm.brand_rules(spark, sf_dir), cm.TOP_N, files_per_trigger=2)

@@ -63,8 +63,6 @@ def brand_rules(spark: SparkSession, sf_dir: str) -> RuleModel:
 def brand_recs(spark: SparkSession, sf_dir: str, n: int = TOP_N) -> DataFrame:
     """Rule recommendations for every train basket of the brands fixture."""
     model = brand_rules(spark, sf_dir)
-    # The split is read back from its checkpoint (partitioning not carried
-    # over), so the scorer shuffles the train pairs once by user itself.
     return model.recommend(split(spark, sf_dir, "brand").train, n)
 
 
@@ -74,10 +72,19 @@ ALS_PARAMS = dict(factors=128, regularization=0.01, iterations=30, alpha=40.0, s
 
 
 def als_model(spark: SparkSession, sf_dir: str):
-    from basketry.operators.als import ALSParams, ALSRecommender
+    from basketry.operators.als import ALSParams, FactorRecommender
     return _memo(spark, ("als", sf_dir),
-                 lambda: ALSRecommender.fit(split(spark, sf_dir).train, ALSParams(**ALS_PARAMS),
-                                            encoder=encoder(spark, sf_dir)))
+                 lambda: FactorRecommender.fit(split(spark, sf_dir).train, ALSParams(**ALS_PARAMS),
+                                               encoder=encoder(spark, sf_dir)))
+
+
+def small_als(spark: SparkSession, sf_dir: str):
+    """A light ALS model on the brands fixture, for checks that need any fitted model."""
+    from basketry.operators.als import ALSParams, FactorRecommender
+    return _memo(spark, ("small_als", sf_dir),
+                 lambda: FactorRecommender.fit(split(spark, sf_dir, "brand").train,
+                                               ALSParams(factors=8, iterations=3),
+                                               encoder=encoder(spark, sf_dir, "brand")))
 
 
 def brand_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:

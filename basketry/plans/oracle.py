@@ -107,29 +107,32 @@ ridx AS (
 
 
 def scoring_ctes(history: str = "train", key: str = "user_id", n: int = 10,
-                 weight: str = "ant_size") -> str:
-    """Fired rules, candidate scores and top-n over a (key, product_id) history."""
+                 weight: str = "ant_size", prefix: str = "") -> str:
+    """Fired rules, candidate scores and top-n over a (key, product_id) history.
+
+    ``prefix`` names a second set of CTEs beside the first.
+    """
     return f""",
-hist AS (SELECT DISTINCT {key}, product_id FROM {history}),
-fired AS (
+{prefix}hist AS (SELECT DISTINCT {key}, product_id FROM {history}),
+{prefix}fired AS (
   SELECT h.{key}, r.rule_id, r.ant_size, r.confidence
-  FROM hist h JOIN ridx r ON h.product_id = r.item
+  FROM {prefix}hist h JOIN ridx r ON h.product_id = r.item
   GROUP BY h.{key}, r.rule_id, r.ant_size, r.confidence
   HAVING count(*) = r.ant_size
 ),
-cand AS (
+{prefix}cand AS (
   SELECT f.{key}, c.product_id,
          CAST(f.confidence AS DECIMAL(18,12)) * CAST({weight if weight != 'once' else 1} AS INTEGER) AS w
-  FROM fired f JOIN (SELECT rule_id, unnest(consequent) AS product_id FROM rules) c
+  FROM {prefix}fired f JOIN (SELECT rule_id, unnest(consequent) AS product_id FROM rules) c
        ON f.rule_id = c.rule_id
-  WHERE NOT EXISTS (SELECT 1 FROM hist h WHERE h.{key} = f.{key} AND h.product_id = c.product_id)
+  WHERE NOT EXISTS (SELECT 1 FROM {prefix}hist h WHERE h.{key} = f.{key} AND h.product_id = c.product_id)
 ),
-scores AS (SELECT {key}, product_id, sum(w) AS score FROM cand GROUP BY {key}, product_id),
-recs AS (
+{prefix}scores AS (SELECT {key}, product_id, sum(w) AS score FROM {prefix}cand GROUP BY {key}, product_id),
+{prefix}recs AS (
   SELECT {key}, rank, product_id, round(CAST(score AS DOUBLE), 6) AS score
   FROM (SELECT *, CAST(row_number() OVER (PARTITION BY {key} ORDER BY score DESC, product_id)
                        AS BIGINT) AS rank
-        FROM scores)
+        FROM {prefix}scores)
   WHERE rank <= {n}
 )"""
 

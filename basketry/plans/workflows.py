@@ -1,8 +1,9 @@
 """Train and infer runs: the two end-to-end jobs, each a chain of written tables.
 
-``train`` — load → split (written once, re-read: it feeds several consumers
-and cuts lineage) → encoders → ALS and rules fits (saved) → evaluation of
-ALS and rules → summary and training-report tables.
+``train`` — load and validate → split (written in one pass, read again by
+everything below) → checks and statistics → encoders → ALS and rules fits
+(saved) → per-user evaluation of both, stored, and from the stored table the
+summary and report tables.
 
 ``infer`` — load saved models and split → cohort → batch top-N → predictions
 table → evaluation on the cohort → inference-report tables.
@@ -18,12 +19,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from basketry.operators import encode as enc
 from basketry.operators import metrics as met
 from basketry.operators import predict as prd
+from basketry.operators import prepare as prep
 from basketry.operators import report as rep
-from basketry.operators.als import ALSParams, ALSRecommender
+from basketry.operators.als import ALSParams, FactorRecommender
 from basketry.operators.encode import Encoder, ground_truth
-from basketry.operators.prepare import eval_sample, train_test_split
 from basketry.operators.rules import RuleModel, RuleParams
 from basketry.sources import readers, sinks
 
@@ -36,96 +38,125 @@ class TrainConfig:
     als: ALSParams = field(default_factory=ALSParams)
     rules: RuleParams = field(default_factory=RuleParams)
     ks: tuple = (5, 10, 20)
-    eval_sample_size: int | None = 10_000
+    eval_sample_size: int | None = None   # evaluate on a seeded sample of so many users
     fit_als: bool = True
     fit_rules: bool = True
 
 
-def _write(df: DataFrame, path: str) -> str:
-    return sinks.write_table(df, path)
+def _stored(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back."""
+    return sinks.spark_read(spark, sinks.write_table(df, path))
+
+
+def _evaluate(spark: SparkSession, recs: DataFrame, truth: DataFrame, ks, algorithm: str,
+              stage: str, out: str) -> tuple[DataFrame, DataFrame]:
+    """(summary, per_user), both stored; the recommendations are computed once."""
+    per_user = _stored(spark, met.per_user_metrics(recs, truth, ks),
+                       f"{out}/eval/{algorithm}_{stage}_per_user")
+    summary = sinks.label_summary(met.summary(per_user, ks), algorithm, stage)
+    return _stored(spark, summary, f"{out}/eval/{algorithm}_{stage}"), per_user
 
 
 def train(spark: SparkSession, lines_path: str, out_dir: str,
           cfg: TrainConfig = TrainConfig(), lines: DataFrame | None = None) -> dict:
-    """Run the training job; returns the paths it wrote."""
+    """Run the training job; returns the paths it wrote and ``n_evaluated`` users.
+
+    Given ``lines`` are checked like loaded ones.
+    """
     out = out_dir.rstrip("/")
-    lines = lines if lines is not None else readers.load_order_lines(spark, lines_path)
-    split = train_test_split(lines.select("user_id", "product_id"), cfg.test_ratio, cfg.seed,
-                             cfg.min_user_items)
-    sinks.write_split(split.train, split.test, f"{out}/split")
+    if lines is None:
+        lines = readers.load_order_lines(spark, lines_path)
+    else:
+        readers.check_columns(lines)
+        readers.check_values(lines)
+        lines = readers.coerce_schema(lines)
+    _stored(spark, readers.dataset_profile(lines), f"{out}/stats/profile")
+    split = prep.train_test_split(lines.select("user_id", "product_id"), cfg.test_ratio, cfg.seed,
+                                  cfg.min_user_items)
+    sinks.write_folds(split.folds, f"{out}/split")
     train_df, test_df = sinks.read_split(spark, f"{out}/split")
+    prep.assert_disjoint(train_df, test_df)
 
-    encoder = Encoder.fit(train_df)
-    encoder.save(f"{out}/encoder")
+    Encoder.fit(train_df).save(f"{out}/encoder")
     encoder = Encoder.load(spark, f"{out}/encoder")
-    truth = ground_truth(test_df, encoder)
-    users = eval_sample(truth, cfg.eval_sample_size, cfg.seed)
-    paths = {"split": f"{out}/split", "encoder": f"{out}/encoder"}
+    truth = _stored(spark, ground_truth(test_df, encoder), f"{out}/truth")
+    weights = enc.confidence_weights(enc.encode_train(train_df, encoder), cfg.als.alpha)
+    _stored(spark, enc.matrix_stats(enc.interaction_matrix(weights)), f"{out}/stats/matrix")
+    _stored(spark, enc.ground_truth_stats(truth), f"{out}/stats/truth")
+    folds = prep.folds_of(train_df, test_df)
+    _stored(spark, prep.split_sanity(folds, truth), f"{out}/stats/split")
+    users = _stored(spark, prep.eval_sample(truth, cfg.eval_sample_size, cfg.seed),
+                    f"{out}/eval/users")
+    paths = {"split": f"{out}/split", "encoder": f"{out}/encoder", "stats": f"{out}/stats",
+             "n_evaluated": users.count()}
+    judged = truth if cfg.eval_sample_size is None else met.restrict_truth(truth, users)
     kmax = max(cfg.ks)
 
-    summaries = {}
+    recs = {}
     if cfg.fit_als:
-        als = ALSRecommender.fit(train_df, cfg.als, encoder=encoder)
+        als = FactorRecommender.fit(train_df, cfg.als, encoder=encoder)
         als.save(f"{out}/als")
-        recs = als.recommend(users, kmax)
-        summary, per_user = met.evaluate(recs, truth, cfg.ks, users=users)
-        summaries["als"] = summary
-        per_user_path = _write(per_user, f"{out}/eval/als_per_user")
-        ndcg = met.per_user_ndcg(sinks.spark_read(spark, per_user_path), cfg.ks)
-        _write(rep.ndcg_histogram(ndcg), f"{out}/report/als_ndcg_histogram")
-        _write(rep.ndcg_stats(ndcg), f"{out}/report/als_ndcg_stats")
-        _write(rep.ndcg_density(ndcg), f"{out}/report/als_ndcg_density")
+        recs["als"] = als.recommend(users, kmax)
         paths["als"] = f"{out}/als"
     if cfg.fit_rules:
         rules = RuleModel.fit(train_df, cfg.rules)
         rules.save(f"{out}/rules")
-        history = train_df.join(users, "user_id", "left_semi")
-        recs = rules.recommend(history, kmax)
-        summaries["fpgrowth"] = met.evaluate(recs, truth, cfg.ks, users=users)[0]
+        recs["fpgrowth"] = rules.recommend(train_df.join(users, "user_id", "left_semi"), kmax)
         paths["rules"] = f"{out}/rules"
 
-    for algo, summary in summaries.items():
-        path = _write(sinks.label_summary(summary, algo, "train"), f"{out}/eval/{algo}_train")
-        stored = sinks.spark_read(spark, path)
-        _write(rep.metric_long(stored), f"{out}/report/{algo}_metric_long")
-        _write(rep.metric_table(stored), f"{out}/report/{algo}_metric_table")
-        _write(rep.metric_snapshot(stored), f"{out}/report/{algo}_metric_snapshot")
-        paths[f"eval_{algo}"] = path
+    for algo, found in recs.items():
+        summary, per_user = _evaluate(spark, found, judged, cfg.ks, algo, "train", out)
+        paths[f"eval_{algo}"] = f"{out}/eval/{algo}_train"
+        ndcg, report = met.per_user_ndcg(per_user, cfg.ks), f"{out}/report/{algo}"
+        for name, table in (("ndcg_histogram", rep.ndcg_histogram(ndcg)),
+                            ("ndcg_stats", rep.ndcg_stats(ndcg)),
+                            ("ndcg_density", rep.ndcg_density(ndcg)),
+                            ("metric_long", rep.metric_long(summary)),
+                            ("metric_table", rep.metric_table(summary)),
+                            ("metric_snapshot", rep.metric_snapshot(summary))):
+            sinks.write_table(table, f"{report}_{name}")
     return paths
 
 
 def infer(spark: SparkSession, out_dir: str, algorithm: str, n: int = 10,
           user_ids: DataFrame | None = None, ks=(5, 10, 20)) -> dict:
-    """Run the inference job against a finished training run."""
+    """Run the inference job against a finished training run.
+
+    The predictions table holds ``n`` rows a user; the evaluator's longer lists
+    (up to the largest K) are a table of their own. Returns the paths,
+    ``n_users`` (the cohort) and ``n_evaluated`` (those with truth).
+    """
     prd.check_request(algorithm, n)
     out = out_dir.rstrip("/")
     train_df, test_df = sinks.read_split(spark, f"{out}/split")
     encoder = Encoder.load(spark, f"{out}/encoder")
     cohort = user_ids if user_ids is not None else prd.default_cohort(test_df, encoder)
+    cohort = _stored(spark, cohort.select("user_id").distinct(), f"{out}/cohort/{algorithm}")
+    longest = max(n, max(ks))
     if algorithm == "als":
-        model = ALSRecommender.load(spark, f"{out}/als")
-        recs = prd.recommend("als", cohort, max(n, max(ks)), als=model)
+        recs = FactorRecommender.load(spark, f"{out}/als").recommend(cohort, longest)
     else:
         model = RuleModel.load(spark, f"{out}/rules")
-        recs = prd.recommend("fpgrowth", cohort, max(n, max(ks)), rules=model, history=train_df)
-    pred_path = sinks.write_predictions(recs, f"{out}/predictions", algorithm)
-    preds_all = sinks.read_predictions(spark, pred_path, algorithm)
-    preds = preds_all.filter(preds_all["rank"] <= n).drop("algorithm")
+        recs = model.recommend(train_df.join(cohort, "user_id", "left_semi"), longest)
+    recs = _stored(spark, recs, f"{out}/eval/{algorithm}_lists")
+    pred_path = sinks.write_predictions(recs.filter(recs["rank"] <= n), f"{out}/predictions", algorithm)
+    preds = sinks.read_predictions(spark, pred_path, algorithm).drop("algorithm")
 
     truth = ground_truth(test_df, encoder)
-    summary = met.evaluate(preds_all.drop("algorithm"), truth, ks, users=cohort)[0]
-    eval_path = _write(sinks.label_summary(summary, algorithm, "infer"),
-                       f"{out}/eval/{algorithm}_infer")
+    judged = _stored(spark, met.restrict_truth(truth, cohort), f"{out}/eval/{algorithm}_truth")
+    _evaluate(spark, recs, judged, ks, algorithm, "infer", out)
     rpt = f"{out}/report/{algorithm}"
-    _write(rep.rec_popularity(preds), f"{rpt}_popularity")
-    _write(rep.score_histogram(preds), f"{rpt}_score_histogram")
-    _write(rep.score_density(preds), f"{rpt}_score_density")
-    hits = rep.hits_per_user(preds, truth)
-    _write(rep.hits_histogram(hits), f"{rpt}_hits_histogram")
-    _write(rep.catalog_coverage(preds, encoder.sizes()), f"{rpt}_coverage")
-    _write(rep.recs_per_user_histogram(rep.recs_per_user(preds, cohort)), f"{rpt}_recs_per_user")
-    _write(rep.user_report(preds, train_df, truth), f"{rpt}_user_report")
-    return {"predictions": pred_path, "eval_summary": eval_path, "report": rpt}
+    for name, table in (
+            ("popularity", rep.rec_popularity(preds)),
+            ("score_histogram", rep.score_histogram(preds)),
+            ("score_density", rep.score_density(preds)),
+            ("hits_histogram", rep.hits_histogram(rep.hits_per_user(preds, judged))),
+            ("coverage", rep.catalog_coverage(preds, encoder.sizes())),
+            ("recs_per_user", rep.recs_per_user_histogram(rep.recs_per_user(preds, cohort))),
+            ("user_report", rep.user_report(preds, train_df, judged))):
+        sinks.write_table(table, f"{rpt}_{name}")
+    return {"predictions": pred_path, "eval_summary": f"{out}/eval/{algorithm}_infer", "report": rpt,
+            "n_users": cohort.count(), "n_evaluated": judged.select("user_id").distinct().count()}
 
 
 def combined_summaries(spark: SparkSession, out_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # The eleven required order-line columns, in the reference's order.
@@ -21,7 +22,6 @@ REQUIRED_COLUMNS = [
 
 # Every required column but ``days_since_prior_order`` is a 64-bit integer.
 FLOAT_COLUMNS = ["days_since_prior_order"]
-INT_COLUMNS = [c for c in REQUIRED_COLUMNS if c not in FLOAT_COLUMNS]
 
 ORDER_LINE_SCHEMA = T.StructType(
     [T.StructField(c, T.DoubleType() if c in FLOAT_COLUMNS else T.LongType(), True)
@@ -54,3 +54,10 @@ ITEMSET_SCHEMA = T.StructType([
     T.StructField("freq", T.LongType(), False),
     T.StructField("support", T.DoubleType(), False),
 ])
+
+
+def require_columns(df: DataFrame, columns, what: str) -> None:
+    """ValueError naming every one of ``columns`` that ``df`` lacks (metadata only)."""
+    absent = [c for c in columns if c not in df.columns]
+    if absent:
+        raise ValueError(f"{what}: missing required columns {absent}")

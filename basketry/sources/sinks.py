@@ -48,13 +48,14 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType,
     return spark.read.schema(schema).parquet(path)
 
 
-def write_split(train: DataFrame, test: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Both folds in one table tagged by ``fold`` (one write, one scan later)."""
-    both = (train.select("user_id", "product_id", "purchase_count", F.lit("train").alias("fold"))
-                 .unionByName(test.select("user_id", "product_id",
-                                          F.lit(None).cast("bigint").alias("purchase_count"),
-                                          F.lit("test").alias("fold"))))
-    return write_table(both, path, fmt, partition_by=["fold"])
+def write_folds(folds: DataFrame, path: str, fmt: str = "parquet") -> str:
+    """(user_id, product_id, purchase_count, fold) as one table, written in one pass.
+
+    A test pair keeps no purchase count.
+    """
+    count = F.when(F.col("fold") == "train", F.col("purchase_count"))
+    return write_table(folds.select("user_id", "product_id", count.alias("purchase_count"), "fold"),
+                       path, fmt, partition_by=["fold"])
 
 
 def read_split(spark: SparkSession, path: str, fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
@@ -71,14 +72,19 @@ def read_split(spark: SparkSession, path: str, fmt: str = "parquet") -> tuple[Da
 
 def write_predictions(predictions: DataFrame, path: str, algorithm: str,
                       fmt: str = "parquet") -> str:
-    """Append-safe per-algorithm predictions; an empty frame keeps its schema."""
-    tagged = predictions.select(*PREDICTION_SCHEMA.fieldNames()).withColumn(
-        "algorithm", F.lit(algorithm))
-    return write_table(tagged, path, fmt, partition_by=["algorithm"])
+    """Replace one algorithm's predictions; those of other algorithms stay.
+
+    Each algorithm owns the folder ``algorithm=<name>`` of the table; an empty
+    frame keeps its schema.
+    """
+    write_table(predictions.select(*PREDICTION_SCHEMA.fieldNames()),
+                f"{path.rstrip('/')}/algorithm={algorithm}", fmt)
+    return path
 
 
 def read_predictions(spark: SparkSession, path: str, algorithm: str | None = None,
                      fmt: str = "parquet") -> DataFrame:
+    """Predictions of every algorithm with its name, or of one."""
     schema = T.StructType(PREDICTION_SCHEMA.fields + [
         T.StructField("algorithm", T.StringType(), False)])
     df = read_table(spark, path, schema, fmt)
@@ -100,26 +106,36 @@ def union_summaries(summaries: dict[str, DataFrame | None]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), present)
 
 
-def _one_document(batches):
-    """All records of one partition as a single JSON array (one output row)."""
-    import pandas as pd
-    recs = []
-    for pdf in batches:
-        recs.extend(pdf["rec"].tolist())
-    if recs:
-        yield pd.DataFrame({"value": ["[" + ",".join(recs) + "]"]})
+def _documents(batches, limit: int):
+    """Records as JSON arrays of about ``limit`` characters, one array per row."""
+    import pyarrow as pa
+    held, size = [], 0
+
+    def document():
+        return pa.RecordBatch.from_arrays([pa.array(["[" + ",".join(held) + "]"])], ["value"])
+
+    for batch in batches:
+        for rec in batch.column(0).to_pylist():
+            held.append(rec)
+            size += len(rec)
+            if size >= limit:
+                yield document()
+                held, size = [], 0
+    if held:
+        yield document()
 
 
-def write_json_document(df: DataFrame, path: str) -> str:
+def write_json_document(df: DataFrame, path: str, document_chars: int = 4 << 20) -> str:
     """One JSON array of records per output file (the multi-line ``.json`` form).
 
-    Each task turns its own partition into one document and writes it as one
-    file — no shuffle, and a file never holds two documents (a multi-line
-    reader takes one value per file). A document is bounded by the partition
-    size; nothing funnels through a single task.
+    Each task cuts its records into documents of bounded size and writes every
+    document as a file of its own (a multi-line reader takes one value per
+    file), so no task holds more than one document and every file can be read
+    by a task of its own.
     """
-    recs = df.select(F.to_json(F.struct(*df.columns)).alias("rec"))
-    recs.mapInPandas(_one_document, "value string").write.mode("overwrite").text(path)
+    recs = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("rec"))
+    docs = recs.mapInArrow(lambda batches: _documents(batches, document_chars), "value string")
+    docs.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
     return path
 
 

@@ -21,7 +21,8 @@ from basketry.session import get_spark  # noqa: E402
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus, app_name="basketry-bench")
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus, app_name="basketry-bench",
+                      driver_memory="16g")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="basketry-bench-"))
 

@@ -129,3 +129,27 @@ def test_prefixspan_and_fpgrowth_agree(spark, sf):
     fp = {tuple(r["items"]): r["freq"]
           for r in frequent_itemsets(b, n, 0.3, 3, miner="fpgrowth").collect()}
     assert ps == fp and len(ps) > 0
+
+
+def test_default_keeps_every_product(spark):
+    """More than 8000 products, each in 10 of 20 baskets: none is lost."""
+    train = spark.range(20 * 9000).selectExpr("id % 20 as user_id", "cast(id / 20 as bigint) as product_id") \
+        .filter("(user_id + product_id) % 2 = 0")
+    model = RuleModel.fit(train, RuleParams(min_support=0.5, max_len=1))
+    assert model.n_itemsets == 9000
+
+
+def test_hot_basket_spreads_over_tasks(spark):
+    """A basket with a fifth of all lines: no task scores it alone, and lines collapse first."""
+    from pyspark.sql import functions as F
+    rules = _rules(spark, [([i], [1000 + i], 0.5) for i in range(400)])
+    lines = spark.range(100_000).selectExpr(
+        "if(id % 5 = 0, 0, id) as user_id", "id % 400 as product_id")
+    scores = rule_scores(lines, rules).withColumn("task", F.spark_partition_id()).cache()
+    hot = scores.filter("user_id = 0")
+    assert hot.count() == 80
+    plan = scores._jdf.queryExecution().toString()
+    assert "REPARTITION" not in plan
+    first = plan[:plan.rindex("Exchange hashpartitioning(user_id")] if "Exchange" in plan else plan
+    assert "HashAggregate" in plan[plan.rindex("Exchange hashpartitioning(user_id"):] and first
+    scores.unpersist()

@@ -46,17 +46,85 @@ def test_missing_column(spark):
         readers.check_columns(df)
 
 
-def test_null_in_required_column_fails(spark):
-    df = spark.createDataFrame([tuple({**ROW, "user_id": None}[c] for c in REQUIRED_COLUMNS)],
-                               ORDER_LINE_SCHEMA)
-    with pytest.raises(Exception, match="NULL value in required column user_id"):
-        readers.coerce_schema(df).collect()
+FORMATS = ("parquet", "csv", "tsv", "json", "jsonl")
+
+
+def _write(spark, path, rows, fmt):
+    """Rows of text (or None), so that any fault can be written in any format."""
+    cols = list(rows[0])
+    schema = ", ".join(f"{c} string" for c in cols)
+    df = spark.createDataFrame([tuple(None if r[c] is None else str(r[c]) for c in cols)
+                                for r in rows], schema)
+    if fmt in ("csv", "tsv"):
+        _write_csv(path, rows, cols, "\t" if fmt == "tsv" else ",")
+    elif fmt == "parquet":
+        df.write.parquet(path)
+    else:
+        with open(path, "w") as fh:
+            fh.write(json.dumps(rows) if fmt == "json" else "\n".join(map(json.dumps, rows)))
+    return path
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("fmt", FORMATS)
+@pytest.mark.parametrize("column,value", [("order_number", "abc"), ("reordered", None),
+                                          ("user_id", "xyz"), ("days_since_prior_order", "soon")])
+def test_fault_in_any_column_fails_at_load(spark, tmp_out, fmt, ansi, column, value):
+    rows = [dict(ROW, order_id=i, days_since_prior_order=1.0) for i in range(3)]
+    rows[1][column] = value
+    path = _write(spark, f"{tmp_out}/lines.{fmt}", rows, fmt)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(ValueError, match=column):
+            readers.load_order_lines(spark, path)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+@pytest.mark.parametrize("fmt", FORMATS)
+def test_train_job_validates_unused_columns(spark, tmp_out, fmt):
+    from basketry.plans import workflows as wf
+    path = _write(spark, f"{tmp_out}/lines.{fmt}", [dict(ROW), dict(ROW, aisle_id="x")], fmt)
+    with pytest.raises(ValueError, match="aisle_id"):
+        wf.train(spark, path, f"{tmp_out}/run")
+
+
+@pytest.mark.parametrize("fmt", FORMATS)
+def test_missing_key_fails_and_extras_stay(spark, tmp_out, fmt):
+    rows = [dict(ROW, extra="x", days_since_prior_order=2.5), dict(ROW, extra="y")]
+    good = readers.load_order_lines(spark, _write(spark, f"{tmp_out}/a.{fmt}", rows, fmt))
+    assert sorted(r["extra"] for r in good.collect()) == ["x", "y"]
+    for r in rows:
+        del r["days_since_prior_order"]
+    path = _write(spark, f"{tmp_out}/b.{fmt}", rows, fmt)
+    with pytest.raises(ValueError, match="days_since_prior_order"):
+        readers.load_order_lines(spark, path)
+
+
+def test_whole_numbers_written_as_decimals(spark, tmp_out):
+    path = _write(spark, f"{tmp_out}/a.json", [dict(ROW, user_id=3.0)], "json")
+    assert readers.load_order_lines(spark, path).first()["user_id"] == 3
+    path = _write(spark, f"{tmp_out}/b.csv", [dict(ROW, user_id="3.5")], "csv")
+    with pytest.raises(ValueError, match="user_id: 0 missing, 1 unreadable"):
+        readers.load_order_lines(spark, path)
 
 
-def test_text_in_product_id_fails(spark, tmp_out):
-    _write_csv(f"{tmp_out}/bad.csv", [dict(ROW, product_id="abc")], REQUIRED_COLUMNS)
+def test_malformed_json_fails(spark, tmp_out):
+    with open(f"{tmp_out}/a.jsonl", "w") as fh:
+        fh.write(json.dumps(ROW) + "\n{broken\n")
     with pytest.raises(Exception):
-        readers.load_order_lines(spark, f"{tmp_out}/bad.csv").collect()
+        readers.load_order_lines(spark, f"{tmp_out}/a.jsonl").collect()
+
+
+def test_json_documents_are_bounded(spark, tmp_out):
+    import os
+    df = spark.range(1000).select(F.col("id").alias("order_id"))
+    path = sinks.write_json_document(df.repartition(2), f"{tmp_out}/doc.json", document_chars=500)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) > 20 and max(os.path.getsize(f"{path}/{f}") for f in files) < 1000
+    back = spark.read.schema("order_id bigint").option("multiLine", True).json(path)
+    assert sorted(r[0] for r in back.collect()) == list(range(1000))
 
 
 def test_unknown_suffix_and_missing_path(spark, tmp_out):
