@@ -34,6 +34,8 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
 
     stages = {
+        "load_csv": lambda: run(cat.q_load_csv(spark, sf_dir)),
+        "load_json": lambda: run(cat.q_load_json(spark, sf_dir)),
         "split": lambda: run(cm.split(spark, sf_dir).folds),
         "encode": lambda: run(cat.q_interaction_matrix(spark, sf_dir)),
         "rules_fit": lambda: cm.brand_rules(spark, sf_dir),
@@ -45,11 +47,16 @@ def main() -> None:
                             run(cat.q_ndcg_stats(spark, sf_dir))],
         "als_fit": lambda: cm.als_model(spark, sf_dir),
         "als_recommend": lambda: run(cat.q_als_recommend(spark, sf_dir)),
+        "als_recommend_new": lambda: run(cat.q_als_recommend_new(spark, sf_dir)),
+        "predictions_write": lambda: run(cat.q_predictions_roundtrip(spark, sf_dir)),
+        "stream_baskets": lambda: run(cat.q_stream_rule_recommend(spark, sf_dir)),
         "eval_als": lambda: run(met.evaluate(
             cm.als_model(spark, sf_dir).recommend(
                 cm.truth(spark, sf_dir).select("user_id").distinct(), 20),
             cm.truth(spark, sf_dir), cm.KS)[0]),
     }
+    # The total keeps to the stages of the first round's bench, so that it can be compared.
+    extra = {"load_csv", "load_json", "als_recommend_new", "predictions_write", "stream_baskets"}
     only = [s for s in os.environ.get("BENCH_ONLY", "").split(",") if s]
     timings = {}
     for name, fn in stages.items():
@@ -60,7 +67,7 @@ def main() -> None:
         timings[name] = round(time.time() - t0, 3)
         print(f"{name}: {timings[name]}s", file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "train_infer_total", "value": round(sum(timings.values()), 3),
+    print(json.dumps({"metric": "train_infer_total", "value": round(sum(v for k, v in timings.items() if k not in extra), 3),
                       "unit": "sec", "queries": timings, "sf": sf}))
     spark.stop()
 
