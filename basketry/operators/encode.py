@@ -131,11 +131,11 @@ def ground_truth(test: DataFrame, encoder: Encoder) -> DataFrame:
 
 
 def ground_truth_stats(truth: DataFrame) -> DataFrame:
-    """Users, empty sets (always 0 in long form), mean / min / max set size."""
+    """Users, empty sets (none can occur in long form), mean / min / max set size."""
     sizes = truth.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     return sizes.agg(
         F.count(F.lit(1)).cast("bigint").alias("n_users"),
-        F.lit(0).cast("bigint").alias("n_empty"),
+        F.count_if(F.col("n") == 0).alias("n_empty"),
         F.round(F.avg("n"), 6).alias("mean_size"),
         F.min("n").cast("bigint").alias("min_size"),
         F.max("n").cast("bigint").alias("max_size"))
