@@ -4,10 +4,10 @@ A text (with the usual leading space) is cut where a space follows a
 non-space; no piece of the vocabulary crosses such a place, so the lattice of
 a text is the chain of its chunks' lattices and each chunk is sampled alone.
 The forward pass sums the weights of all segmentations that end at each
-character of a chunk; it runs once per distinct chunk and is kept for the next
-texts of the task. The backward pass draws the last piece, then the one before
-it, and so on: all chunk occurrences of a record-batch part draw together, one
-vectorised step per piece. Draws are hashes of (seed, row key, chunk, step), so
+character of a chunk; it runs once per distinct chunk of a record-batch part,
+for all short chunks together. The backward pass draws the last piece, then the one before
+it, and so on: all chunk occurrences of the part draw together, one vectorised
+step per piece. Draws are hashes of (seed, row key, chunk, step), so
 a row gets the same segmentation wherever and however often it is computed.
 
 The model's scores are merge ranks; a piece of rank r weighs (r + 1) ** -alpha.
@@ -35,10 +35,19 @@ from pyspark.sql import types as T
 from basketry.llm.texts import chunks, mixed
 
 MODEL = "piece_bpe_32k.model"
-PART_BYTES = 2 << 20
-KEPT_EDGES = 4_000_000
+PART_BYTES = 1 << 20
+SLOT_BITS = 18
+SLOTS = 1 << SLOT_BITS
+SHORT = 24               # characters of a chunk up to which chunks are filtered together
 _CHUNK = re.compile(r" *[^ ]+| +")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_PRIME = 0x100000001B3
+
+
+def _points(text: str) -> np.ndarray:
+    """Code points plus one, so that no character is a zero."""
+    raw = text.encode("utf-32-le", "surrogatepass")
+    return np.frombuffer(raw, np.uint32).astype(np.uint64) + np.uint64(1)
 
 
 def model_path(name: str = MODEL) -> str:
@@ -47,15 +56,19 @@ def model_path(name: str = MODEL) -> str:
 
 
 class Lattices:
-    """Pieces of a model and the filtered lattices of the chunks met so far."""
+    """Pieces of a model, and the lattices of chunks over them.
+
+    Chunks up to ``SHORT`` characters are filtered together, position by
+    position; longer ones one by one. Pieces are looked up by a 64-bit hash of
+    their characters.
+    """
 
     def __init__(self, path: str, alpha: float):
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         self.bytes_of: list[bytes] = []
         self.weight: dict[str, tuple[float, int]] = {}
-        self.byte_id = [0] * 256
-        self.longest = 1
+        self.byte_id = np.zeros(256, np.int32)
         for i in range(sp.get_piece_size()):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
@@ -68,89 +81,134 @@ class Lattices:
                 shown = piece.replace("▁", " ")
                 self.bytes_of.append(shown.encode())
                 self.weight[shown] = ((1.0 - sp.get_score(i)) ** -alpha, i)
-                self.longest = max(self.longest, len(shown))
+        self.longest = max(map(len, self.weight))
         self.fallback = float(len(self.bytes_of)) ** -alpha
-        self.clear()
-
-    def clear(self) -> None:
-        self.node_of: dict[str, int] = {}      # chunk -> its last node
-        self.cum: list[float] = []             # edge -> node + cumulative probability
-        self.first: list[int] = [0]            # node -> first edge; node 0 starts every chunk
-        self.prev: list[int] = []              # edge -> node before it, 0: the chunk's start
-        self.ids: list[tuple[int, ...]] = []   # edge -> piece, or the bytes of a character
-        self.frozen = None
-
-    def node(self, chunk: str) -> int:
-        """Last node of a chunk's lattice; runs the forward filter when it is new."""
-        found = self.node_of.get(chunk)
-        if found is not None:
-            return found
-        get, longest = self.weight.get, self.longest
-        alpha, node = [1.0], [0]
+        self.power = np.array([pow(_PRIME, i, 1 << 64) for i in range(self.longest)], np.uint64)
+        hashes = np.array([self._hash(_points(p)) for p in self.weight], np.uint64)
+        # Pieces by hash slot: a lookup reads a slot's bounds and rarely anything else.
+        order = np.argsort(_slot(hashes), kind="stable")
+        self.piece_hash = hashes[order]
+        self.slot_start = np.searchsorted(_slot(self.piece_hash), np.arange(SLOTS + 1)).astype(np.int32)
+        self.piece_weight = np.array([w for w, _ in self.weight.values()])[order]
+        self.piece_id = np.array([i for _, i in self.weight.values()], np.int64)[order]
+        size = np.array(list(map(len, self.bytes_of)))
+        self.pool = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.pool_size, self.pool_start = size, np.cumsum(size) - size
+
+    def _hash(self, points: np.ndarray) -> np.uint64:
+        return (points * self.power[:len(points)][::-1]).sum(dtype=np.uint64)
+
+    def _lookup(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, pieces) of the hashes that are pieces."""
+        slot = _slot(h)
+        start, end = self.slot_start[slot], self.slot_start[slot + 1]
+        rows = np.flatnonzero(start < end)
+        at, end, want = start[rows], end[rows], h[rows]
+        out_rows, out_pieces = [], []
+        while len(rows):
+            hit = self.piece_hash[at] == want
+            out_rows.append(rows[hit])
+            out_pieces.append(at[hit])
+            more = ~hit & (at + 1 < end)
+            rows, at, end, want = rows[more], at[more] + 1, end[more], want[more]
+        if len(out_rows) == 1:
+            return out_rows[0], out_pieces[0]
+        return (np.concatenate(out_rows), np.concatenate(out_pieces)) if out_rows else (rows, at)
+
+    def filtered(self, distinct: list[str]):
+        """(last node of each chunk, node -> first edge, edge arrays cum, prev, piece).
+
+        Nodes stand for the places after a chunk's characters; ``prev`` is -1
+        at its start. ``cum`` adds up the edges' probabilities over all nodes.
+        """
+        length = np.fromiter(map(len, distinct), np.int64, len(distinct))
+        last = np.cumsum(length)
+        offset = last - length
+        parts = []
+        short = np.flatnonzero(length <= SHORT)
+        short = short[np.argsort(-length[short], kind="stable")]
+        self._short([distinct[i] for i in short], length[short], offset[short], parts)
+        for i in np.flatnonzero(length > SHORT):
+            parts.append(self._long(distinct[i], int(offset[i])))
+        node, prev, share, piece = (np.concatenate(x) for x in zip(*parts))
+        order = np.argsort(node, kind="stable")
+        first = np.concatenate([[0], np.cumsum(np.bincount(node, minlength=int(last[-1])))])
+        return last - 1, first, np.cumsum(share[order]), prev[order], piece[order]
+
+    def _short(self, texts, length, offset, parts) -> None:
+        """Forward filter of chunks sorted by falling length, all at once."""
+        if not texts:
+            return
+        wide = int(length[0])
+        points = np.zeros((len(texts), wide), np.uint64)
+        inside = np.arange(wide) < length[:, None]
+        points[inside] = _points("".join(texts))
+        alpha = np.ones((len(texts), wide + 1))
+        for e in range(1, wide + 1):
+            k = int(np.searchsorted(-length, -e, side="right"))
+            h, total, found = np.zeros(k, np.uint64), np.zeros(k), []
+            for d in range(1, min(self.longest, e) + 1):
+                b = e - d
+                h += points[:k, b] * self.power[d - 1]
+                who, at = self._lookup(h)
+                if not len(who) and d > 1:
+                    continue
+                w = alpha[who, b] * self.piece_weight[at]
+                total[who] += w
+                found.append((who, b, w, self.piece_id[at]))
+                if d == 1:  # a character without a piece of its own
+                    bare = np.ones(k, bool)
+                    bare[who] = False
+                    who = np.flatnonzero(bare)
+                    w = alpha[who, b] * self.fallback
+                    total[who] += w
+                    found.append((who, b, w, -points[who, b].astype(np.int64)))
+            alpha[:k, e] = total
+            for who, b, w, piece in found:
+                prev = offset[who] + b - 1 if b else np.full(len(who), -1)
+                parts.append((offset[who] + e - 1, prev, w / total[who], piece))
+
+    def _long(self, chunk: str, offset: int):
+        """Forward filter of one long chunk."""
+        get = self.weight.get
+        alpha, node, prev, share, piece = [1.0], [], [], [], []
         for e in range(1, len(chunk) + 1):
             edges, total = [], 0.0
-            for b in range(max(0, e - longest), e):
+            for b in range(max(0, e - self.longest), e):
                 hit = get(chunk[b:e])
+                if hit is None and b == e - 1:
+                    hit = (self.fallback, -1 - ord(chunk[b]))
                 if hit is not None:
-                    w = alpha[b] * hit[0]
-                    total += w
-                    edges.append((w, node[b], (hit[1],)))
-            if not edges or edges[-1][1] != node[e - 1]:
-                if get(chunk[e - 1]) is None:
-                    w = alpha[e - 1] * self.fallback
-                    total += w
-                    raw = chunk[e - 1].encode("utf-8", "surrogateescape")
-                    edges.append((w, node[e - 1], tuple(self.byte_id[x] for x in raw)))
-            here = len(self.first)
-            upto = 0.0
-            for w, before, ids in edges:
-                upto += w
-                self.cum.append(here + upto / total)
-                self.prev.append(before)
-                self.ids.append(ids)
-            self.cum[-1] = here + 1.0
-            self.first.append(len(self.cum))
-            node.append(here)
+                    edges.append((b, alpha[b] * hit[0], hit[1]))
+                    total += edges[-1][1]
+            for b, w, i in edges:
+                node.append(offset + e - 1)
+                prev.append(offset + b - 1 if b else -1)
+                share.append(w / total)
+                piece.append(i)
             alpha.append(total)
             if total < 1e-200:  # only ratios of the last ``longest`` sums are used again
-                for i in range(max(0, e - longest), e + 1):
+                for i in range(max(0, e - self.longest), e + 1):
                     alpha[i] *= 1e200
-        self.node_of[chunk] = node[-1]
-        self.frozen = None
-        return node[-1]
-
-    def arrays(self):
-        if self.frozen is None:
-            width = np.fromiter(map(len, self.ids), np.int64, len(self.ids))
-            table = np.zeros((len(self.ids), int(width.max(initial=1))), np.int32)
-            for j in range(table.shape[1]):
-                wide = np.flatnonzero(width > j) if j else np.arange(len(width))
-                if j == 0:
-                    table[:, 0] = np.fromiter((x[0] for x in self.ids), np.int32, len(width))
-                else:
-                    for at in wide.tolist():
-                        table[at, j] = self.ids[at][j]
-            self.frozen = (np.array(self.cum), np.array(self.first), np.array(self.prev, np.int64),
-                           table, width)
-        return self.frozen
+        return (np.array(node), np.array(prev), np.array(share), np.array(piece))
 
     def sample(self, texts: list[str], keys: list[bytes], seed: int) -> list[np.ndarray]:
         """Sampled piece ids of every text."""
-        if len(self.cum) > KEPT_EDGES:
-            self.clear()
-        nodes, counts = [], []
+        number = _Numbers()
+        which, counts = [], []
         for t in texts:
-            part = list(map(self.node, _CHUNK.findall(" " + t))) if t else []
-            nodes += part
+            part = _CHUNK.findall(" " + t) if t else []
+            which.extend(map(number.__getitem__, part))
             counts.append(len(part))
-        if not nodes:
+        if not which:
             return [np.zeros(0, np.int32) for _ in texts]
-        cum, first, prev, table, width = self.arrays()
+        last, first, cum, prev, piece = self.filtered(list(number))
+        width, spelled = self._spelling(piece)
         counts = np.array(counts)
         row_seed = np.array([xxhash.xxh3_64_intdigest(k, seed=seed) for k in keys], np.uint64)
-        index = np.arange(len(nodes)) - np.repeat(np.cumsum(counts) - counts, counts)
+        index = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
         draw = mixed(np.repeat(row_seed, counts) + (index.astype(np.uint64) + np.uint64(1)) * _STEP)
-        at = np.array(nodes)
+        at = last[np.array(which)]
         active = np.arange(len(at))
         total = np.zeros(len(at), np.int64)
         steps = []
@@ -160,30 +218,62 @@ class Lattices:
             u = (mixed(draw[active] + np.uint64(turn * int(_STEP) & (1 << 64) - 1))
                  >> np.uint64(11)).astype(float) * 2.0 ** -53
             node = at[active]
-            edge = np.searchsorted(cum, node + u, side="right")
-            # Rounding of node + u must not leave the node's own edges.
-            edge = np.minimum(np.maximum(edge, first[node - 1]), first[node] - 1)
+            before = np.where(first[node] > 0, cum[first[node] - 1], 0.0)
+            edge = np.searchsorted(cum, before + u, side="right")
+            # Rounding of the sum must not leave the node's own edges.
+            edge = np.clip(edge, first[node], first[node + 1] - 1)
             steps.append((active, edge))
             total[active] += width[edge]
             at[active] = prev[edge]
-            active = active[prev[edge] > 0]
+            active = active[prev[edge] >= 0]
         cursor = np.cumsum(total)
         out = np.zeros(int(cursor[-1]), np.int32)
         for who, edge in steps:
             cursor[who] -= width[edge]
-            for j in range(table.shape[1]):
-                wide = width[edge] > j
-                if j and not wide.any():
-                    break
-                out[cursor[who][wide] + j] = table[edge[wide], j]
-        per_text = np.add.reduceat(np.append(total, 0), np.minimum(np.cumsum(counts) - counts,
-                                                                   len(total)))
-        per_text = np.where(counts > 0, per_text, 0)
-        return np.split(out, np.cumsum(per_text)[:-1])
+            out[cursor[who]] = piece[edge]
+            bare = np.flatnonzero(piece[edge] < 0)
+            for j in range(4):
+                bare = bare[width[edge[bare]] > j]
+                out[cursor[who[bare]] + j] = spelled(piece[edge[bare]], j)
+        ends = np.concatenate([[0], np.cumsum(total)])[np.concatenate([[0], np.cumsum(counts)])]
+        return [out[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+    def _spelling(self, piece: np.ndarray):
+        """Ids each edge stands for, and byte piece ``j`` of a character without a piece."""
+        bare = np.unique(piece[piece < 0])
+        raw = [chr(-1 - int(p)).encode("utf-8", "surrogateescape") for p in bare]
+        table = np.zeros((len(raw) + 1, 4), np.int32)
+        for i, r in enumerate(raw):
+            table[i, :len(r)] = self.byte_id[list(r)]
+        size = np.array([len(r) for r in raw] + [1])
+        width = np.ones(len(piece), np.int64)
+        negative = piece < 0
+        width[negative] = size[np.searchsorted(bare, piece[negative])]
+        return width, lambda p, j: table[np.searchsorted(bare, p), j]
+
+    def decode(self, ids, counts=None) -> list[bytes]:
+        """UTF-8 texts of runs of ``counts`` ids: the pieces' bytes without the leading space."""
+        ids = np.asarray(ids, np.int64)
+        counts = np.array([len(ids)]) if counts is None else np.asarray(counts)
+        size = self.pool_size[ids]
+        ends = np.cumsum(size)
+        place = np.arange(int(ends[-1]) if len(ends) else 0)
+        place += np.repeat(self.pool_start[ids] - (ends - size), size)
+        raw = self.pool[place].tobytes()
+        cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        return [raw[a + 1:b] if b > a else b"" for a, b in zip(cuts, cuts[1:])]
+
+
+class _Numbers(dict):
+    """Chunks numbered as they come."""
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = n = len(self)
+        return n
+
 
-    def decode(self, ids: list[int]) -> bytes:
-        """UTF-8 bytes of the text: the pieces' bytes without the leading space."""
-        return b"".join(map(self.bytes_of.__getitem__, ids))[1:]
+def _slot(h: np.ndarray) -> np.ndarray:
+    return (h * _STEP >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
 
 @lru_cache(maxsize=2)
@@ -235,9 +325,10 @@ def decode(encoded: DataFrame, ids_col: str = "piece_ids", out_col: str = "decod
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 b = batch.slice(start, 256)
-                texts = [None if ids is None else lattices.decode(ids)
-                         for ids in b.column(at).to_pylist()]
-                text = pa.array(texts, pa.binary()).cast(pa.string(), safe=False)
+                counts = pc.fill_null(pc.list_value_length(b.column(at)), 0).to_numpy(zero_copy_only=False)
+                texts = lattices.decode(b.column(at).flatten().to_numpy(zero_copy_only=False), counts)
+                text = pa.array(texts, pa.binary(), mask=pc.is_null(b.column(at)).to_numpy(
+                    zero_copy_only=False)).cast(pa.string(), safe=False)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(b.schema.get_field_index(c)) for c in kept] + [text], schema.names)
 
