@@ -13,7 +13,7 @@ which costs about ``REGISTERS * log(REGISTERS)`` points whatever the length.
 Texts with equal words are one node. Nodes with an equal band share a bucket.
 Inside a bucket nobody is paired with everybody: the members with most
 collisions are pivots, every member is checked exactly against them, members
-near a pivot leave, and the rest go on with twice as many pivots. Distance is a
+near a pivot leave, and the rest go on with eight times as many pivots. Distance is a
 metric, so a far and a near member of a pivot can only be linked when their
 distances to it differ by no more than the limit; those few pairs are checked
 too unless already connected. Thus every pair of a bucket is checked,
@@ -244,7 +244,7 @@ def linked_nodes(members: DataFrame, texts: DataFrame, similarity: float) -> Dat
         left = work.join(gone, ["bucket", "node"], "left_anti")
         more = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
         work = left.join(more, "bucket").checkpoint(eager=True)
-        pivots *= 2
+        pivots *= 8
     if checked is None:
         return None
     edges = checked.filter(F.col("sim") >= similarity - 1e-9).select("a", "b")
