@@ -35,16 +35,16 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.functions.joins import broadcast_if_small
 from basketry.llm.texts import as_bytes, chunks, mixed
 from basketry.session import checkpoint_root
 
 THRESHOLD = 200
-GRAM = 32
+GRAM = 64
 CLASS = 16
 PART_BYTES = 1 << 20
 _ROW = "core long, span long, key binary, place long"
@@ -155,12 +155,12 @@ def _anchor_rows(threshold: int):
 
 
 def _class_rows(threshold: int):
-    """Pass 2 over (key, text, open): rows per CLASS offsets of the open runs."""
+    """Pass 2 over (key, packed, open): rows per CLASS offsets of the open runs."""
     def run(batches):
         hashed = xxhash.xxh3_64_intdigest
-        for b in chunks(batches, "text", PART_BYTES):
+        for b in chunks(batches, "packed", PART_BYTES):
             core, span, key, place = [], [], [], []
-            for k, t, opened in zip(b.column(0).to_pylist(), as_bytes(b.column(1)),
+            for k, t, opened in zip(b.column(0).to_pylist(), _texts(b.column(1)),
                                     b.column(2).to_pylist()):
                 for p in opened:
                     anchor, lo, hi = _unpacked(p)
@@ -177,12 +177,12 @@ def _class_rows(threshold: int):
 
 
 def _single_rows(threshold: int):
-    """Pass 3 over (key, text, open): a row per suffix of the open classes."""
+    """Pass 3 over (key, packed, open): a row per suffix of the open classes."""
     def run(batches):
         hashed, mask = xxhash.xxh3_128_intdigest, (1 << 64) - 1
-        for b in chunks(batches, "text", PART_BYTES):
+        for b in chunks(batches, "packed", PART_BYTES):
             core, span, key, place = [], [], [], []
-            for k, t, opened in zip(b.column(0).to_pylist(), as_bytes(b.column(1)),
+            for k, t, opened in zip(b.column(0).to_pylist(), _texts(b.column(1)),
                                     b.column(2).to_pylist()):
                 for p in opened:
                     anchor, lo, hi = _unpacked(p)
@@ -206,10 +206,10 @@ def _resolved(rows: DataFrame, last: bool) -> DataFrame:
                                        F.max("span").alias("b"))
               .filter("n > 1").select("core", (F.col("a") != F.col("b")).alias("mixed"))
               .checkpoint(eager=True))
-    # A few bytes a row: broadcast below a checked row count, a shuffle join beyond.
-    kept = rows.join(broadcast_if_small(shared, max_rows=1_000_000), "core").checkpoint(eager=True)
+    # Repeated digits grow with the corpus: a shuffle join at every size.
+    kept = rows.join(shared, "core").checkpoint(eager=True)
     whole = kept.filter(~F.col("mixed")).select("key", "place", F.lit(SETTLED).alias("state"))
-    mixed_rows = kept.filter("mixed")
+    mixed_rows = kept.filter("mixed").select("core", "span", "key", "place")
     spans = mixed_rows.groupBy("core", "span").agg(F.count(F.lit(1)).alias("n"),
                                                    F.min("key").alias("rep"))
     state = (F.when(F.col("n") == 1, OPEN)
@@ -236,25 +236,47 @@ def covered(places, threshold: int) -> list[list[int]]:
     return out
 
 
+def _packed_texts(docs: DataFrame, id_field) -> DataFrame:
+    """(id, key, packed) of (id, text): texts travel compressed, with their 128-bit hash."""
+    schema = T.StructType([id_field, T.StructField("key", T.BinaryType()),
+                           T.StructField("packed", T.BinaryType())])
+
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=3)
+        for b in chunks(batches, "text", PART_BYTES):
+            raw = as_bytes(b.column(1))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([hashlib.md5(t).digest() for t in raw], pa.binary()),
+                 pa.array([pack.compress(t) for t in raw], pa.binary())], schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def _texts(packed: pa.Array) -> list[bytes]:
+    unpack = zstandard.ZstdDecompressor()
+    return [unpack.decompress(z) for z in packed.to_pylist()]
+
+
 def _step(joined: DataFrame, id_field, threshold: int, with_text: bool, last: bool) -> DataFrame:
     """Results of texts without open places; the others keep their text and places."""
     places = T.ArrayType(T.LongType())
     schema = T.StructType([
-        id_field, T.StructField("key", T.BinaryType()), T.StructField("text", T.StringType()),
+        id_field, T.StructField("key", T.BinaryType()), T.StructField("packed", T.BinaryType()),
         T.StructField("settled", places), T.StructField("open", places),
         T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
         T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()),
         T.StructField("kept_text", T.BinaryType())])
 
     def run(batches):
-        for b in chunks(batches, "text"):
+        unpack = zstandard.ZstdDecompressor()
+        for b in chunks(batches, "packed", PART_BYTES):
             rows = []
-            for t, old, new, opened in zip(as_bytes(b.column(2)), *(b.column(i).to_pylist()
-                                                                    for i in (3, 4, 5))):
+            for z, old, new, opened in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5))):
                 places = (old or []) + (new or [])
                 if opened and not last:
-                    rows.append((t, places, opened, None, None, None, None, None))
+                    rows.append((z, places, opened, None, None, None, None, None))
                     continue
+                t = unpack.decompress(z)
                 ranges = covered(places, threshold)
                 kept, at = [], 0
                 for s, e in ranges:
@@ -265,7 +287,7 @@ def _step(joined: DataFrame, id_field, threshold: int, with_text: bool, last: bo
                              hashlib.sha256(kept).hexdigest(), kept if with_text else None))
             cols = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(cols[0], pa.binary()).cast(pa.string(), safe=False)]
+                [b.column(0), b.column(1), pa.array(cols[0], pa.binary())]
                 + [pa.array(c, pa.list_(pa.int64())) for c in cols[1:3]]
                 + [pa.array(c, pa.int64()) for c in cols[3:6]]
                 + [pa.array(cols[6], pa.string()), pa.array(cols[7], pa.binary())], schema.names)
@@ -286,16 +308,15 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "d
     checkpoint_root(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_field = T.StructField("id", rows.schema["id"].dataType)
-    key = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
     no_places = F.array().cast("array<bigint>")
-    current = rows.select("id", key.alias("key"), "text", no_places.alias("settled"))
+    current = _packed_texts(rows, id_field).withColumn("settled", no_places)
     done = None
     for depth, make in enumerate((_anchor_rows, _class_rows, _single_rows)):
         last = depth == 2
-        source = rows.select("text") if depth == 0 else current.select("key", "text", "open")
+        source = rows.select("text") if depth == 0 else current.select("key", "packed", "open")
         found = _payload(_resolved(source.mapInArrow(make(threshold), _ROW), last))
         joined = (current.join(found, "key", "left")
-                  .select("id", "key", "text", "settled", "new_settled", "new_open"))
+                  .select("id", "key", "packed", "settled", "new_settled", "new_open"))
         stepped = _step(joined, id_field, threshold, with_text, last)
         if not last:
             stepped = stepped.checkpoint(eager=True)

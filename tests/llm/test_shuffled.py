@@ -189,7 +189,7 @@ def test_repeats_inside_one_text_and_other_thresholds(spark):
     part = prose(rng, 40)
     made = [part + " middle " + part, prose(rng, 50), "a" * 1000, "xyz" * 90, part[:100] * 3]
     check_repeats(spark, made)
-    check_repeats(spark, made, 64)
+    check_repeats(spark, made, 128)
     check_repeats(spark, made, 255)
 
 
@@ -199,7 +199,7 @@ def test_runs_choose_every_suffix_once(raw):
     found = suffixes.runs(raw, suffixes._Grams(), 200)
     starts = defaultdict(list)
     for d, a, lo, hi, _ in zip(*found) if found else ():
-        assert lo <= a and a + suffixes.GRAM <= lo + 200 and a <= hi + 168 and hi <= a
+        assert lo <= a and a + suffixes.GRAM <= lo + 200 and a <= hi + 136 and hi <= a
         starts[int(d)] += range(lo, hi + 1)
     for i, t in enumerate(raw):
         assert sorted(starts[i]) == list(range(max(0, len(t) - 199)))
