@@ -52,7 +52,7 @@ def gram_hashes(text: bytes) -> np.ndarray:
         return np.zeros(0, np.uint64)
     n = len(points) - GRAM + 1
     h = np.zeros(n, np.uint64)
-    inner = np.zeros(n, np.int64)
+    inner = np.zeros(n, np.uint8)
     for i in range(GRAM):
         part = points[i:i + n]
         h += (part + np.uint64(1)) * _POWERS[i]

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 import xxhash
 
 # Bytes of text handled at once inside a task; a longer row is a chunk alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _WORD_TABLE = bytes(
     c + 32 if 0x41 <= c <= 0x5A else
@@ -50,7 +50,7 @@ def words(text: bytes) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hash of a word, remembered for the words seen first."""
 
-    KEPT = 1 << 20
+    KEPT = 1 << 16
 
     def __missing__(self, word: bytes) -> int:
         value = xxhash.xxh3_64_intdigest(word)
