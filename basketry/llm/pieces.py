@@ -281,17 +281,13 @@ def _lattices(path: str, alpha: float) -> Lattices:
     return Lattices(path, alpha)
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 42,
-           alpha: float = 1.0, model: str | None = None, key_col: str | None = None) -> DataFrame:
-    """(id, text, piece_ids, ids_sha256) of every row.
-
-    ``key_col`` is the row key (``id_col`` where not given); ``model``: path of
-    the model on the executors.
-    """
+def _sampled(docs: DataFrame, id_col: str, text_col: str, seed: int, alpha: float,
+             model: str | None, key_col: str | None, and_decode: bool) -> DataFrame:
     rows = docs.select(id_col, text_col)
     schema = T.StructType([rows.schema[id_col], rows.schema[text_col],
                            T.StructField("piece_ids", T.ArrayType(T.IntegerType())),
-                           T.StructField("ids_sha256", T.StringType())])
+                           T.StructField("ids_sha256", T.StringType())]
+                          + [T.StructField("decoded", T.StringType())] * and_decode)
     keys = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"),
                        F.to_json(F.struct(F.col(key_col or id_col).alias("k"))).alias("key"))
 
@@ -301,17 +297,43 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed
             raw = b.column(1).cast(pa.binary()).to_pylist()
             ids = lattices.sample([(r or b"").decode("utf-8", "surrogateescape") for r in raw],
                                   b.column(2).cast(pa.binary()).to_pylist(), seed)
-            ends = np.cumsum([0] + [len(x) for x in ids]).astype(np.int32)
+            counts = np.array([len(x) for x in ids])
+            null = pc.is_null(b.column(1))
+            flat = np.concatenate(ids)
             lists = pa.ListArray.from_arrays(
-                pa.array(ends), pa.array(np.concatenate(ids), pa.int32()),
-                mask=pc.is_null(b.column(1)))
-            sums = [hashlib.sha256(x.tobytes()).hexdigest() for x in ids]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists, pa.array(sums)],
-                                             [f.name for f in schema])
+                pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)),
+                pa.array(flat, pa.int32()), mask=null)
+            columns = [b.column(0), b.column(1), lists,
+                       pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in ids])]
+            if and_decode:
+                columns.append(_decoded(lattices, flat, counts, null))
+            yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
 
     return keys.mapInArrow(run, schema)
 
 
+def _decoded(lattices: Lattices, flat, counts, null: pa.Array) -> pa.Array:
+    texts = lattices.decode(flat, counts)
+    return pa.array(texts, pa.binary(), mask=null.to_numpy(zero_copy_only=False)).cast(
+        pa.string(), safe=False)
+
+
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 42,
+           alpha: float = 1.0, model: str | None = None, key_col: str | None = None) -> DataFrame:
+    """(id, text, piece_ids, ids_sha256) of every row.
+
+    ``key_col`` is the row key (``id_col`` where not given); ``model``: path of
+    the model on the executors.
+    """
+    return _sampled(docs, id_col, text_col, seed, alpha, model, key_col, False)
+
+
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 42,
+               alpha: float = 1.0, model: str | None = None, key_col: str | None = None) -> DataFrame:
+    """``encode`` with the text the pieces decode to in ``decoded``, in one pass."""
+    return _sampled(docs, id_col, text_col, seed, alpha, model, key_col, True)
+
+
 def decode(encoded: DataFrame, ids_col: str = "piece_ids", out_col: str = "decoded",
            model: str | None = None) -> DataFrame:
     """``encoded`` with the text of ``ids_col`` in ``out_col`` (replaced if it exists)."""
@@ -326,9 +348,8 @@ def decode(encoded: DataFrame, ids_col: str = "piece_ids", out_col: str = "decod
             for start in range(0, batch.num_rows, 256):
                 b = batch.slice(start, 256)
                 counts = pc.fill_null(pc.list_value_length(b.column(at)), 0).to_numpy(zero_copy_only=False)
-                texts = lattices.decode(b.column(at).flatten().to_numpy(zero_copy_only=False), counts)
-                text = pa.array(texts, pa.binary(), mask=pc.is_null(b.column(at)).to_numpy(
-                    zero_copy_only=False)).cast(pa.string(), safe=False)
+                text = _decoded(lattices, b.column(at).flatten().to_numpy(zero_copy_only=False),
+                                counts, pc.is_null(b.column(at)))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(b.schema.get_field_index(c)) for c in kept] + [text], schema.names)
 
@@ -341,7 +362,7 @@ def tokenise(docs: DataFrame, key_col: str = "doc_id", text_col: str = "text",
     others = [c for c in docs.columns if c not in (text_col, "piece_ids")]
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"),
                          F.col(f"`{text_col}`").alias("text"), F.col(f"`{key_col}`").alias("key"))
-    out = decode(encode(packed, "row", "text", seed, key_col="key"))
+    out = round_trip(packed, "row", "text", seed, key_col="key")
     kept = [c for c in docs.columns if c != "piece_ids"]
     return out.select(*[F.col("decoded").alias(c) if c == text_col
                         else F.col(f"row.`{c}`").alias(c) for c in kept], "piece_ids")

@@ -73,8 +73,7 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = pieces.encode(table(spark, sf_dir, "documents"))
-    decoded = pieces.decode(encoded)
+    decoded = pieces.round_trip(table(spark, sf_dir, "documents"))
     return decoded.select(
         "doc_id", F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"),
         "ids_sha256", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

@@ -175,6 +175,7 @@ def test_pieces_round_trip(spark, texts, odd_docs, no_docs):
     for docs in (queries.table(spark, SF, "documents"), odd_docs):
         rows = pieces.decode(pieces.encode(docs)).collect()
         assert len(rows) == docs.count()
+        assert sorted(map(str, pieces.round_trip(docs).collect())) == sorted(map(str, rows))
         for r in rows:
             assert r.decoded == r.text
             if r.text and "▁" not in r.text and len(r.text) < 5000:
