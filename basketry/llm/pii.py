@@ -1,13 +1,13 @@
 """Personal data: pattern spans, and terms that reveal them by co-occurrence.
 
 DataFrame functions only. Pattern spans (email, ip, card, phone) are the
-protected entities. A term is a word within ``WINDOW`` characters of an
-entity's mention. Over the whole corpus, n_c documents mention entity c, n_t
-hold term t, n_ct hold t beside c. The term discloses
+protected entities. A term is a word of a document. Over the whole corpus, n_c
+documents mention entity c, n_t hold term t, n_ct both, wherever in the document
+they stand. The term discloses
 
     PMI(c, t) / IC(c) = log(n_ct * N / (n_c * n_t)) / log(N / n_c)
 
-of the entity's information: 1 where the term occurs beside this entity only.
+of the entity's information: 1 where the term occurs with this entity only.
 Terms seen with it in ``MIN_DOCS`` documents or more that disclose
 ``GENERALISE`` of it are replaced by a general form, from ``REMOVE`` on they
 are taken out, in the documents where they stand beside the entity. Documents
@@ -42,11 +42,11 @@ PATTERNS = {
 # A text without this cannot hold the kind.
 _HINTS = {"email": "@", "ip": ".", "phone": "+"}
 TERM = r"\p{L}{3,}+"
-WINDOW = 48
 MIN_DOCS = 2
+# Tables of so many short rows at most are broadcast, after counting them.
+MOST = 500_000
 GENERALISE, REMOVE = 0.8, 0.95
 _SPAN = "struct<start:bigint,k:int,end:bigint,kind:string,value:string>"
-_TERMS = "array<struct<c:string,t:string,start:bigint,end:bigint>>"
 
 
 def _located(text: str, found: str, gaps: str) -> str:
@@ -99,89 +99,108 @@ def with_base(df: DataFrame, text: str, out: str) -> DataFrame:
     return df.drop(*[f"{out}_{x}_{kind}" for x in "fg" for kind in PATTERNS])
 
 
-def _side(ctx: str, base: str, cut_first: str, cut_last: str) -> str:
-    """SQL: terms of a context; a word that touches a cut edge is dropped."""
-    words = f"regexp_extract_all({ctx}, '{_sql(TERM)}', 0)"
-    gaps = f"split({ctx}, '{_sql(TERM)}', -1)"
-    return f"""transform(filter(flatten(transform(array(named_struct('w', {words}, 'g', {gaps})), x ->
-        if(size(x.w) = 0, cast(array() as array<struct<start:bigint,end:bigint,value:string>>),
-           filter({_located(ctx, 'x.w', 'x.g')}, m ->
-             not ({cut_first} and m.start = 0) and not ({cut_last} and m.end = length({ctx})))))),
-        m -> not exists(spans, b -> b.start < m.end + {base} and m.start + {base} < b.end)),
-        m -> named_struct('c', concat(s.kind, ':', lower(s.value)), 't', lower(m.value),
-                          'start', m.start + {base}, 'end', m.end + {base}))"""
-
-
-def _sql(pattern: str) -> str:
-    return pattern.replace("\\", "\\\\")
-
-
-def with_terms(df: DataFrame, text: str, out: str, window: int = WINDOW) -> DataFrame:
-    """``df`` with the terms beside each of its ``spans`` in ``out``: (c, t, start, end)."""
-    left = (f"substring({text}, cast(greatest(s.start - {window}, 0) as int) + 1, "
-            f"cast(least(s.start, {window}) as int))")
-    right = f"substring({text}, cast(s.end as int) + 1, {window})"
-    beside = f"""flatten(transform(
-        transform(spans, s -> named_struct('s', s, 'l', {left}, 'r', {right})),
-        y -> flatten(transform(array(y.s), s -> concat(
-            {_side('y.l', f'greatest(s.start - {window}, 0L)', f's.start > {window}', 'false')},
-            {_side('y.r', 's.end', 'false', f'length(y.r) = {window}')})))))"""
-    return df.withColumn(out, F.expr(
-        f"if(size(spans) = 0, cast(array() as {_TERMS}), array_distinct({beside}))"))
-
-
-def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                window: int = WINDOW) -> DataFrame:
-    """(id, key, spans, terms) of every row; ``key`` is the text's hash, null without spans."""
+def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, key, spans) of every row; ``key`` is the text's hash, null without spans."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    rows = with_terms(with_base(rows, "text", "spans"), "text", "terms", window)
-    return rows.select("id", F.when(F.size("spans") > 0, F.unhex(F.md5(F.col("text").cast("binary"))))
-                       .alias("key"), "spans", "terms")
+    rows = with_base(rows, "text", "spans")
+    return rows.select("id", F.when(F.size("spans") > 0, _key("text")).alias("key"), "spans")
+
+
+def _key(text: str) -> Column:
+    return F.unhex(F.md5(F.col(text).cast("binary")))
+
+
+def _keyed(docs: DataFrame, text_col: str) -> DataFrame:
+    rows = docs.select(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    return rows.select(_key("text").alias("key"), "text")
+
+
+def _words(text: str) -> Column:
+    """The distinct terms of a whole text."""
+    every = F.array_distinct(F.regexp_extract_all(F.col(text), F.lit(TERM), F.lit(0)))
+    return F.array_distinct(F.transform(every, F.lower))
+
+
+def mentions(found: DataFrame) -> DataFrame:
+    """(key, c): the distinct entities of every row, a row each."""
+    return found.filter("size(spans) > 0").select("key", F.explode(F.expr(
+        "array_distinct(transform(spans, s -> concat(s.kind, ':', lower(s.value))))")).alias("c"))
+
+
+def _beside(docs: DataFrame, found: DataFrame, entity: DataFrame, text_col: str) -> DataFrame:
+    """(key, c, t): every term of every whole text that mentions an entity of ``entity``."""
+    asked = (mentions(found).distinct().join(broadcast_if_small(entity, max_rows=MOST), "c")
+             .select("key", "c").checkpoint(eager=True))
+    held = asked.groupBy("key").agg(F.collect_list("c").alias("cs"))
+    return (_keyed(docs, text_col).join(broadcast_if_small(held, asked.count(), MOST), "key")
+            .select("key", "cs", F.explode(_words("text")).alias("t"))
+            .select("key", F.explode("cs").alias("c"), "t"))
 
 
 def disclosure(docs: DataFrame, found: DataFrame, min_docs: int = MIN_DOCS,
                threshold: float = GENERALISE, text_col: str = "text") -> DataFrame:
     """(c, t, risk) of the terms that disclose ``threshold`` or more of an entity."""
-    pairs = (found.filter("size(terms) > 0")
-             .select(F.explode(F.expr("array_distinct(transform(terms, x -> struct(x.c, x.t)))"))
-                     .alias("p")).groupBy("p.c", "p.t").agg(F.count(F.lit(1)).alias("n_ct"))
+    # n_ct never exceeds n_c: entities in fewer documents have no such term.
+    entity = (mentions(found).groupBy("c").agg(F.count(F.lit(1)).alias("n_c"))
+              .filter(F.col("n_c") >= min_docs).checkpoint(eager=True))
+    pairs = (_beside(docs, found, entity, text_col).groupBy("c", "t")
+             .agg(F.count(F.lit(1)).alias("n_ct"))
              .filter(F.col("n_ct") >= min_docs).checkpoint(eager=True))
-    entity = (found.filter("size(spans) > 0").select(F.explode(F.expr(
-        "array_distinct(transform(spans, s -> concat(s.kind, ':', lower(s.value))))")).alias("c"))
-        .groupBy("c").agg(F.count(F.lit(1)).alias("n_c")))
     terms = pairs.select("t").distinct().checkpoint(eager=True)
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(F.col(text_col)), F.lit(TERM), F.lit(0)))).alias("t"))
-    n_terms, most = terms.count(), 1_000_000
-    if n_terms <= most:  # the size is checked: count the asked terms only
-        words = words.join(broadcast_if_small(terms, n_terms, most), "t", "left_semi")
+    words = _keyed(docs, text_col).select(F.explode(_words("text")).alias("t"))
+    n_terms = terms.count()
+    if n_terms <= MOST:  # the size is checked: count the asked terms only
+        words = words.join(broadcast_if_small(terms, n_terms, MOST), "t", "left_semi")
         n_t = words.groupBy("t").agg(F.count(F.lit(1)).alias("n_t"))
     else:
         n_t = words.groupBy("t").agg(F.count(F.lit(1)).alias("n_t")).join(terms, "t", "left_semi")
     total = float(docs.count())
     ic = F.log(F.lit(total) / F.col("n_c"))
     pmi = F.log(F.col("n_ct") * F.lit(total) / (F.col("n_c") * F.col("n_t")))
-    return (pairs.join(entity, "c").join(n_t, "t")
+    return (pairs.join(broadcast_if_small(entity, max_rows=MOST), "c")
+            .join(broadcast_if_small(n_t, n_terms, MOST), "t")
             .withColumn("risk", F.round(F.when(ic > 0, pmi / ic).otherwise(0.0), 6))
             .filter(F.col("risk") >= threshold).select("c", "t", "risk"))
 
 
-def term_spans(found: DataFrame, risky: DataFrame) -> DataFrame:
-    """(key, term_spans) of the texts that hold a disclosing term beside its entity."""
-    # Equal texts have equal terms: one row of each is enough.
-    terms = (found.filter("size(terms) > 0").select("key", F.explode("terms").alias("x"))
-             .select("key", "x.*").distinct())
-    return (terms.join(risky, ["c", "t"]).groupBy("key", "start", "end")
-            .agg(F.max("risk").alias("risk"))
-            .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "risk")))
-                                .alias("term_spans")))
+def term_spans(docs: DataFrame, found: DataFrame, risky: DataFrame,
+               text_col: str = "text") -> DataFrame:
+    """(key, term_spans) of the texts that hold a disclosing term of their entity: every
+    place of the term outside the spans."""
+    risky = risky.checkpoint(eager=True)
+    asked = (_beside(docs, found, risky.select("c").distinct(), text_col)
+             .join(broadcast_if_small(risky, max_rows=MOST), ["c", "t"])
+             .groupBy("key", "t").agg(F.max("risk").alias("risk")).checkpoint(eager=True))
+    held = asked.groupBy("key").agg(F.collect_list("t").alias("ts"),
+                                    F.map_from_entries(F.collect_list(F.struct("t", "risk")))
+                                    .alias("risks"))
+    rows = (_keyed(docs, text_col).join(broadcast_if_small(held, asked.count(), MOST), "key"))
+    rows = with_base(rows, "text", "spans")
+    rows = (rows.withColumn("w", F.regexp_extract_all(F.col("text"), F.lit(TERM), F.lit(0)))
+            .withColumn("g", F.split(F.col("text"), TERM, -1)))
+    # Only terms that are asked for enter the list, so a step costs the same anywhere in the text.
+    places = """aggregate(sequence(0, size(w) - 1),
+        named_struct('at', 0L, 'out', cast(array() as array<struct<start:bigint,end:bigint,t:string>>)),
+        (a, i) -> named_struct(
+            'at', a.at + length(g[i]) + length(w[i]),
+            'out', if(array_contains(ts, lower(w[i])), concat(a.out, array(named_struct(
+                'start', a.at + length(g[i]),
+                'end', a.at + length(g[i]) + length(w[i]),
+                't', lower(w[i])))), a.out)),
+        a -> a.out)"""
+    spans = f"""transform(filter({places}, m ->
+        not exists(spans, b -> b.start < m.end and m.start < b.end)),
+        m -> named_struct('start', m.start, 'end', m.end, 'risk', risks[m.t]))"""
+    # Equal texts have equal places: one row of each is enough. A filter on the places would
+    # be pushed below, and evaluate the matches again for every word.
+    return (rows.select("key", F.expr(spans).alias("term_spans")).groupBy("key").agg(F.first("term_spans").alias("term_spans")))
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, spans, term_spans) of every row."""
     checkpoint_root(docs.sparkSession)
     found = found_spans(docs, id_col, text_col).checkpoint(eager=True)
-    terms = term_spans(found, disclosure(docs, found, text_col=text_col))
+    terms = term_spans(docs, found, disclosure(docs, found, text_col=text_col), text_col)
     none = F.expr("cast(array() as array<struct<start:bigint,end:bigint,risk:double>>)")
     # Rows without spans have no key: they never meet in the join.
     plain = found.filter("key is null").select("id", "spans", none.alias("term_spans"))
@@ -220,7 +239,7 @@ def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with sanitised texts, all rows and columns otherwise as they were."""
     checkpoint_root(docs.sparkSession)
     found = found_spans(docs, text_col, text_col).drop("id").checkpoint(eager=True)
-    terms = term_spans(found, disclosure(docs, found, text_col=text_col)).checkpoint(eager=True)
+    terms = term_spans(docs, found, disclosure(docs, found, text_col=text_col), text_col).checkpoint(eager=True)
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                          F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     packed = with_base(packed, "text", "spans")

@@ -152,6 +152,20 @@ def test_disclosing_terms(spark, odd_docs, no_docs):
     assert P.sanitise(no_docs).count() == 0
 
 
+def test_disclosing_terms_of_whole_texts(spark):
+    far = "nothing of the visit " * 12
+    rows = [(i, f"Header Zebulon. {far}mail zeb@x.org now. {far}Yours, ZEBULON Quux") for i in range(3)]
+    rows += [(10 + i, f"header {far} u{i}@y.org yours mail now") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.term_spans for r in P.personal_data(docs).collect()}
+    # The first word of the text, and a signature 250 characters from the address.
+    assert [rows[0][1][s.start:s.end] for s in got[0]] == ["Zebulon", "ZEBULON", "Quux"]
+    assert got[0] == got[1] == got[2] and got[10] == []
+    clean = {r.doc_id: r.text for r in P.sanitise(docs).collect()}
+    assert clean[1] == f"Header . {far}mail [EMAIL] now. {far}Yours,  "
+    assert "header" in clean[10]
+
+
 def test_pii_plan_is_native(spark):
     plan = queries.op6_personal_data(spark, SF)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
