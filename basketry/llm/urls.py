@@ -150,8 +150,9 @@ def propagate(edges: DataFrame, seed: DataFrame, damping: float = 0.85, steps: i
 
 
 def host_verdicts(ranks: DataFrame, threshold: float = 1.0) -> DataFrame:
-    """(host, trust, distrust, host_verdict); rounded so that ties stay allowed."""
-    over = F.round(F.col("distrust") - F.col("trust") * threshold, 9) > 0
+    """(host, trust, distrust, host_verdict); ties stay allowed, by a margin relative to
+    the values, which shrink as the host graph grows."""
+    over = (F.col("distrust") > F.col("trust") * (threshold * (1 + 1e-9))) & (F.col("distrust") > 0)
     return ranks.select("host", "trust", "distrust",
                         F.when(over, "block").otherwise("allow").alias("host_verdict"))
 

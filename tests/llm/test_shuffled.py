@@ -83,6 +83,16 @@ def test_propagation_matches_brute_force(spark):
         assert np.allclose([got[h][side] for h in hosts], v)
 
 
+def test_url_verdicts_do_not_hang_on_the_graphs_size(spark):
+    for scale in (1.0, 1e-10, 1e-18):
+        ranks = spark.createDataFrame(
+            [("bad", 0.0, .85 * scale), ("worse", .3 * scale, .31 * scale), ("tie", .3 * scale, .3 * scale),
+             ("near", .3 * scale, .3 * scale * (1 + 1e-12)), ("good", .31 * scale, .3 * scale),
+             ("none", 0.0, 0.0)], "host string, trust double, distrust double")
+        got = {r.host for r in urls.host_verdicts(ranks).collect() if r.host_verdict == "block"}
+        assert got == {"bad", "worse"}
+
+
 def test_url_filter_matches_oracle(spark):
     import duckdb
     con = duckdb.connect()
