@@ -120,14 +120,15 @@ class Model:
                          for i in range(len(self.languages))], float)
         return np.maximum((bits - len(grams) * self.false_rate) / (1 - self.false_rate), 0)
 
-    def decide(self, grams: np.ndarray) -> tuple[int, float]:
+    def decide(self, grams: np.ndarray) -> tuple[int, float, float]:
+        """The language, its share of all languages' counts, and of the text's own grams."""
         if not len(grams):
-            return self.prior, 0.0
+            return self.prior, 0.0, 0.0
         c = self.counts(grams)
         best = int(np.argmax(c))
         if c[best] <= 0:
-            return self.prior, 0.0
-        return best, float(c[best] / c.sum())
+            return self.prior, 0.0, 0.0
+        return best, float(c[best] / c.sum()), float(c[best] / len(grams))
 
 
 def _slot(grams: np.ndarray, which: int, size: int) -> np.ndarray:
@@ -177,13 +178,17 @@ def build(languages: list, totals: dict, grams: np.ndarray, langs: np.ndarray) -
 
 def judge(texts: list[bytes], model: Model | None) -> list[tuple[str, float]]:
     """(language, score) of every text; None counts as null."""
+    return [(lang, score) for lang, score, _ in _judged(texts, model)]
+
+
+def _judged(texts: list[bytes], model: Model | None) -> list[tuple[str, float, float]]:
     out = []
     for t in texts:
         if t is None or model is None or not has_letter(t.decode("utf-8", "replace")):
-            out.append((UNKNOWN, 0.0))
+            out.append((UNKNOWN, 0.0, 0.0))
             continue
-        which, score = model.decide(gram_hashes(t))
-        out.append((model.languages[which], round(score, 6)))
+        which, score, known = model.decide(gram_hashes(t))
+        out.append((model.languages[which], round(score, 6), round(known, 6)))
     return out
 
 
@@ -212,13 +217,15 @@ def held_out(id_col: str = "doc_id"):
 
 def keep_identified(docs: DataFrame, model: Model | None, min_score: float = 0.0,
                     text_col: str = "text") -> DataFrame:
-    """Rows with an identified language, all columns as they were."""
+    """Rows with an identified language, all columns as they were. ``min_score`` of a
+    text's own grams must be the language's: unlike ``score``, a measure that does not
+    fall with the number of languages that resemble each other."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
     def run(batches):
         for b in chunks(batches, text_col):
-            found = judge(b.column(at).cast(pa.binary()).to_pylist(), held.value)
-            yield b.filter(pa.array([l != UNKNOWN and s >= min_score for l, s in found]))
+            found = _judged(b.column(at).cast(pa.binary()).to_pylist(), held.value)
+            yield b.filter(pa.array([l != UNKNOWN and k >= min_score for l, _, k in found]))
 
     return docs.mapInArrow(run, docs.schema)

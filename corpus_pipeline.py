@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from basketry.llm import decontaminate, language, nearduplicates, pieces, pii
 from basketry.session import scratch_dir
 
-# A text must speak for one language by this share of its known n-grams.
+# A language must hold this share of a text's n-grams.
 MIN_LANGUAGE_SCORE = 0.35
 
 

@@ -52,3 +52,15 @@ def test_stages_keep_columns_and_odd_rows(spark, odd_docs, no_docs):
             assert out.count() <= docs.count()
     texts = {r.text for r in odd_docs.collect()}
     assert {r.text for r in cp.sentencepiece(spark, odd_docs, SF).collect()} == texts
+
+
+def test_labels_that_share_a_language_keep_their_texts(spark):
+    from pyspark.sql import functions as F
+    clean = queries.table(spark, SF, "documents").filter("lang = 'en'").select("doc_id", "text").cache()
+    noise = spark.createDataFrame(
+        [(-1, "".join(chr(0x4E00 + i * 7 % 5000) for i in range(3000)))], clean.schema)
+    for labels in (["en"], ["en", "en-GB"], ["en", "en-GB", "en-US"]):
+        train = clean.withColumn("lang", F.explode(F.array(*map(F.lit, labels))))
+        kept = language.keep_identified(clean.unionByName(noise), language.fit(train),
+                                        cp.MIN_LANGUAGE_SCORE)
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in clean.collect())
