@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm import (decontaminate, language, licenses, nearduplicates, pieces, pii, quality,
-                          suffixes, tokens, urls)
+                          suffixes, tokens, urls, whitening)
 from basketry.llm.urls_sql import url_filter_sql
 
 TOKEN_LIMIT = 512
@@ -95,9 +95,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_url_filter, op3_license_scan, op4_decontamination, op5_quality_rules,
     op6_personal_data, op7_sentencepiece, op8_suffix_dedup, op9_near_duplicates,
-    op10_language_id)}
+    op10_language_id, op11_whitening)}
 
 ORACLE: dict[str, str] = {"op2_url_filter": url_filter_sql()}
