@@ -4,9 +4,9 @@ from __future__ import annotations
 
 # CRC-32 of a decimal id, digit by digit and eight bits a digit.
 _CRC = ("""xor(list_reduce(list_prepend(4294967295::bigint, list_transform(
-    string_split(conv::varchar, ''), c -> ascii(c)::bigint)),
-    (state, byte) -> list_reduce(list_prepend(xor(state, byte), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
-        (x, zero) -> xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::bigint)""")
+    string_split(conv::varchar, ''), lambda c: ascii(c)::bigint)),
+    lambda state, byte: list_reduce(list_prepend(xor(state, byte), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+        lambda x, zero: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::bigint)""")
 
 
 def prefix_trie_sql() -> str:

@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import (conversations, decontaminate, language, licenses, nearduplicates, pieces, pii, quality,
+from basketry.llm import (conversations, decontaminate, language, licenses,
+                          nearduplicates, ngramjoin, pieces, pii, quality,
                           suffixes, tokens, urls, whitening)
 from basketry.llm.conversations_sql import prefix_trie_sql
+from basketry.llm.ngramjoin_sql import jaccard_components_sql
 from basketry.llm.urls_sql import url_filter_sql
 
 TOKEN_LIMIT = 512
@@ -100,6 +102,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -107,7 +113,9 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_url_filter, op3_license_scan, op4_decontamination, op5_quality_rules,
     op6_personal_data, op7_sentencepiece, op8_suffix_dedup, op9_near_duplicates,
-    op10_language_id, op11_whitening, op13_prefix_trie)}
+    op10_language_id, op11_whitening, op12_ngram_join,
+    op13_prefix_trie)}
 
 ORACLE: dict[str, str] = {"op2_url_filter": url_filter_sql(),
+                          "op12_ngram_join": jaccard_components_sql(),
                           "op13_prefix_trie": prefix_trie_sql()}
