@@ -10,14 +10,11 @@ register with probability sum(min) / sum(max). Points come in ascending order
 and stop at a horizon where all registers are filled (doubled where not),
 which costs about ``REGISTERS * log(REGISTERS)`` points whatever the length.
 
-Texts with equal words are one node. Nodes with an equal band share a bucket.
-Inside a bucket nobody is paired with everybody: the members with most
-collisions are pivots, every member is checked exactly against them, members
-near a pivot leave, and the rest go on with eight times as many pivots. Distance is a
-metric, so a far and a near member of a pivot can only be linked when their
-distances to it differ by no more than the limit; those few pairs are checked
-too unless already connected. Thus every pair of a bucket is checked,
-connected, or excluded by proof. Linked nodes form classes by label propagation.
+Texts with equal words are one node. Nodes with an equal band share a bucket, and
+``linking`` settles all pairs of a bucket: every member against one pivot first, then
+the pairs of different classes that a bound on their shingles in common leaves open,
+each checked by exact multiset overlap. Linked nodes form classes by label
+propagation.
 
 Texts without words (null, empty, punctuation) are never duplicates: each row
 is a class of its own. Null ids take part; a class is named by its smallest
@@ -32,10 +29,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketry.llm.linking import Ratio, linked_classes, node_texts, parity_map
 from basketry.llm.texts import WordHashes, as_bytes, chunks, mixed, words
 from basketry.session import checkpoint_root
 
@@ -133,18 +131,21 @@ def _first_points(bags: list, horizon: np.ndarray, registers: int):
 
 
 def signed_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, raw, node, bands): text hash, word hash (null without words), band hashes."""
+    """(id, raw, words, size, bits, bands): hashes of text and words (null without words), bag
+    size, parity map and band hashes."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = T.StructType([
         T.StructField("id", rows.schema["id"].dataType), T.StructField("raw", T.BinaryType()),
-        T.StructField("node", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+        T.StructField("words", T.BinaryType()), T.StructField("size", T.LongType()),
+        T.StructField("bits", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def run(batches):
         known = WordHashes()
         for b in chunks(batches, "text", PART_BYTES):
             raw = as_bytes(b.column(1))
             split = [words(t) for t in raw]
-            sig = signatures([bag(known.of(w)) for w in split])
+            bags = [bag(known.of(w)) for w in split]
+            sig = signatures(bags)
             band = np.full((len(raw), BANDS), 1, np.uint64)
             for r in range(ROWS):
                 band = (band ^ sig[:, r::ROWS]) * _B
@@ -155,144 +156,47 @@ def signed_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 b.column(0), pa.array([hashlib.md5(t).digest() for t in raw], pa.binary()),
                 pa.array([hashlib.md5(b" ".join(w)).digest() if w else None for w in split],
                          pa.binary()),
+                pa.array([int(x[1].sum()) for x in bags], pa.int64()),
+                pa.array([parity_map(*x) for x in bags], pa.binary()),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(band.ravel()))], schema.names)
 
     return rows.mapInArrow(run, schema)
 
 
-def _similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, sim) of the pairs (a, b): exact multiset overlap of the texts."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    joined = (pairs.join(right, "b").join(left, "a")
-              .select("a", "b", "text_a", "text_b"))
-
-    def run(batches):
-        known, last, held = WordHashes(), None, None
-        for b in chunks(batches, "text_b", PART_BYTES):
-            sims = []
-            for a, ta, tb in zip(b.column(0).to_pylist(), as_bytes(b.column(2)),
-                                 as_bytes(b.column(3))):
-                if a != last:  # rows come sorted by a: a pivot's bag is built once
-                    last, held = a, bag(known.of(words(ta)))
-                sims.append(overlap(held, bag(known.of(words(tb)))))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(sims, pa.float64())], ["a", "b", "sim"])
-
-    return joined.mapInArrow(run, "a binary, b binary, sim double")
-
-
-def _classes(edges: DataFrame) -> DataFrame:
-    """(node, label) of the nodes in (a, b) edges: the least node of each component.
-
-    Each step takes the least label of a node's neighbours and then the label
-    of its label; steps are checkpointed, and end when no label moves.
-    """
-    both = (edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"),
-                                                            F.col("a").alias("b")))
-            .distinct().checkpoint(eager=True))
-    labels = (both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
-              .select("node", F.least("node", "least").alias("label")).checkpoint(eager=True))
-    while True:
-        near = (both.join(labels.withColumnRenamed("node", "b"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("least")))
-        lower = labels.join(near, "node").select(
-            "node", F.col("label").alias("before"), F.least("label", "least").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        moved = (lower.join(jump, "label", "left")
-                 .select("node", "before", F.coalesce("next", "label").alias("label"))
-                 .withColumn("label", F.least("before", "label")).checkpoint(eager=True))
-        labels = moved.select("node", "label")
-        if moved.filter("label != before").isEmpty():
-            return labels
-
-
-def _new_pairs(pairs: DataFrame, checked: DataFrame | None) -> DataFrame:
-    pairs = pairs.select(F.least("p", "x").alias("b"), F.greatest("p", "x").alias("a")).distinct()
-    return pairs if checked is None else pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-
-
-def linked_nodes(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame | None:
-    """(node, label) of all nodes that are linked inside buckets; ``members``: (bucket, node).
-
-    None where no pair reaches ``similarity``.
-    """
-    limit = 1 - similarity
-    degree = (members.join(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket")
-              .groupBy("node").agg(F.sum("size").alias("degree")))
-    work = members.join(degree, "node").checkpoint(eager=True)
-    checked = stars = None
-    pivots = 1
-    while not work.isEmpty():
-        order = Window.partitionBy("bucket").orderBy(F.col("degree").desc(), "node")
-        # row_number() <= n keeps n rows per bucket in each task before the shuffle.
-        top = (work.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= pivots)
-               .select("bucket", F.col("node").alias("p"), F.col("degree").alias("p_degree")))
-        pairs = (work.withColumnRenamed("node", "x").join(top, "bucket")
-                 .filter((F.col("p_degree") > F.col("degree"))
-                         | ((F.col("p_degree") == F.col("degree")) & (F.col("p") < F.col("x"))))
-                 .select("bucket", "p", "x").checkpoint(eager=True))
-        found = _similarities(_new_pairs(pairs, checked), texts).checkpoint(eager=True)
-        checked = found if checked is None else checked.unionByName(found)
-        star = (pairs.withColumns({"a": F.greatest("p", "x"), "b": F.least("p", "x")})
-                .join(checked, ["a", "b"])
-                .select("bucket", "p", "x", (1 - F.col("sim")).alias("d"))
-                .filter(F.col("d") <= 2 * limit + 1e-9).checkpoint(eager=True))
-        stars = star if stars is None else stars.unionByName(star)
-        near = star.filter(F.col("d") <= limit + 1e-9).select("bucket", F.col("x").alias("node"))
-        gone = near.unionByName(top.select("bucket", F.col("p").alias("node"))).distinct()
-        left = work.join(gone, ["bucket", "node"], "left_anti")
-        more = left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-        work = left.join(more, "bucket").checkpoint(eager=True)
-        pivots *= 8
-    if checked is None:
-        return None
-    edges = checked.filter(F.col("sim") >= similarity - 1e-9).select("a", "b")
-    if edges.isEmpty():
-        return None
-    labels = _classes(edges)
-    # Far members of a pivot against its near ones, where the triangle leaves it open.
-    label_of = lambda who: labels.select(F.col("node").alias(who),
-                                         F.col("label").alias(f"{who}_label"))
-    near = stars.filter(F.col("d") <= limit + 1e-9).select("bucket", "p", F.col("x").alias("n"),
-                                                           F.col("d").alias("n_d"))
-    far = stars.filter(F.col("d") > limit + 1e-9).select("bucket", F.col("p").alias("q"), "x", "d")
-    far = (far.join(label_of("x"), "x", "left").join(label_of("q"), "q", "left")
-           .filter(~F.col("x_label").eqNullSafe(F.col("q_label"))).withColumnRenamed("q", "p"))
-    open_pairs = (far.join(near, ["bucket", "p"]).filter(F.col("d") - F.col("n_d") <= limit + 1e-9)
-                  .select(F.col("n").alias("p"), "x"))
-    extra = _similarities(_new_pairs(open_pairs, checked), texts).filter(
-        F.col("sim") >= similarity - 1e-9).select("a", "b").checkpoint(eager=True)
-    return labels if extra.isEmpty() else _classes(edges.unionByName(extra))
-
-
 def _nodes(docs: DataFrame, id_col: str, text_col: str, similarity: float):
-    """(rows, nodes): checkpointed (id, raw, node) rows, and (node, label, rep) of all nodes."""
+    """(rows, nodes): checkpointed (id, raw, words) rows, and (words, label, rep, n_rows)."""
     checkpoint_root(docs.sparkSession)
-    rows = signed_documents(docs, id_col, text_col).checkpoint(eager=True)
-    nodes = (rows.filter("node is not null").groupBy("node")
-             .agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "raw")).alias("rep"),
-                  F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n_rows"))
-             .checkpoint(eager=True))
-    banded = nodes.select("node", F.posexplode("bands").alias("band", "value")).select(
+    rows = (signed_documents(docs, id_col, text_col)
+            .withColumn("row", F.monotonically_increasing_id()).checkpoint(eager=True))
+    # A node is named by the row of its least id.
+    nodes = (rows.filter("words is not null").groupBy("words")
+             .agg(F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "raw", "row")).alias("rep"),
+                  F.count(F.lit(1)).alias("n_rows"))
+             .withColumn("node", F.col("rep.row")).checkpoint(eager=True))
+    reps = rows.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").select(
+        F.col("row").alias("node"), "id", "raw", "size", "bits", "bands")
+    banded = reps.select("node", F.posexplode("bands").alias("band", "value")).select(
         F.xxhash64("band", "value").alias("bucket"), "node")
-    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    members = banded.join(shared, "bucket").checkpoint(eager=True)
-    wanted = (members.select("node").distinct().join(nodes, "node")
-              .select("node", F.col("rep.id").alias("rep_id"), F.col("rep.raw").alias("rep_raw")))
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn(
-        "raw", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
-    # A node's text is read from its representative row alone, so copies do not meet here.
-    texts = (source.join(wanted, (source["raw"] == wanted["rep_raw"])
-                         & source["id"].eqNullSafe(wanted["rep_id"]))
-             .select("node", "text").dropDuplicates(["node"]).checkpoint(eager=True))
-    labels = linked_nodes(members, texts, similarity)
+    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = banded.join(shared, "bucket").select("bucket", "node", "n").checkpoint(eager=True)
+    wanted = (reps.drop("bands").join(members.select("node").distinct(), "node", "left_semi")
+              .checkpoint(eager=True))
+    texts = node_texts(docs, wanted.select("node", F.col("id").alias("rep_id"),
+                                           F.col("raw").alias("rep_raw")),
+                       id_col, text_col).checkpoint(eager=True)
+    known, ratio = WordHashes(), Ratio(similarity)
+
+    def linked(a, b) -> bool:
+        _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+        return ratio.holds(int(np.minimum(a[1][i], b[1][j]).sum()), int(a[1].sum() + b[1].sum()))
+
+    labels = linked_classes(members, wanted, texts, similarity,
+                            lambda t: bag(known.of(words(t))), linked)
     if labels is None:
-        named = nodes.select("node", F.col("node").alias("label"), "rep", "n_rows")
+        named = nodes.withColumn("label", F.col("node"))
     else:
-        named = (nodes.join(labels, "node", "left")
-                 .select("node", F.coalesce("label", "node").alias("label"), "rep", "n_rows"))
-    return rows, named.checkpoint(eager=True)
+        named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return rows, named.select("words", "label", "rep", "n_rows").checkpoint(eager=True)
 
 
 def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id",
@@ -301,9 +205,9 @@ def near_duplicate_classes(docs: DataFrame, similarity: float = SIMILARITY, id_c
     rows, nodes = _nodes(docs, id_col, text_col, similarity)
     classes = nodes.groupBy("label").agg(F.min("rep").alias("least"),
                                          F.sum("n_rows").alias("class_size"))
-    named = nodes.select("node", "label").join(classes, "label").select(
-        "node", F.col("least.id").alias("class_id"), "class_size")
-    return (rows.select("id", "node").join(named, "node", "left")
+    named = nodes.select("words", "label").join(classes, "label").select(
+        "words", F.col("least.id").alias("class_id"), "class_size")
+    return (rows.select("id", "words").join(named, "words", "left")
             .select(F.col("id").alias(id_col),
                     F.when(F.col("class_size").isNull(), F.col("id")).otherwise(F.col("class_id"))
                     .alias("class_id"),
@@ -317,10 +221,10 @@ def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, id_col
     best = nodes.groupBy("label").agg(F.min("rep").alias("rep")).select(
         F.col("rep.id").alias("k_id"), F.col("rep.raw").alias("k_raw"))
     # Rows equal in id and text: one of them stays.
-    again = (rows.filter("node is not null").groupBy("id", "raw").agg(F.count(F.lit(1)).alias("n")))
+    again = (rows.filter("words is not null").groupBy("id", "raw").agg(F.count(F.lit(1)).alias("n")))
     keys = best.join(again, F.col("k_id").eqNullSafe(F.col("id")) & (F.col("k_raw") == F.col("raw"))) \
         .select("k_id", "k_raw", (F.col("n") > 1).alias("again"))
-    wordless = rows.filter("node is null").select(
+    wordless = rows.filter("words is null").select(
         F.col("id").alias("k_id"), F.col("raw").alias("k_raw"), F.lit(False).alias("again")).distinct()
     keys = keys.unionByName(wordless).checkpoint(eager=True)
     packed = docs.select(

@@ -277,21 +277,23 @@ def test_near_duplicates_of_edited_copies(spark):
     assert same_classes(list(enumerate(made)), classes(spark, list(enumerate(made))))
 
 
-def test_every_pair_of_a_bucket_is_settled(spark):
-    """One bucket for all: linked nodes equal all-pairs components, with few pairs checked."""
-    rng = random.Random(9)
-    base = [prose(rng, 60) for _ in range(4)]
-    made = [edited(rng, base[i % 4], rng.randrange(0, 4)) for i in range(60)]
-    made = sorted(set(made))
-    node = [f"{i:04d}".encode() for i in range(len(made))]
-    members = spark.createDataFrame([(1, n) for n in node], "bucket long, node binary")
-    texts = spark.createDataFrame(list(zip(node, made)), "node binary, text string")
-    got = {bytes(r.node): bytes(r.label) for r in nd.linked_nodes(members, texts, 0.8).collect()}
-    groups = near_classes(list(enumerate(made)))
-    for i in range(len(made)):
-        for j in range(i):
-            assert (groups[i] == groups[j]) == (
-                got.get(node[i], node[i]) == got.get(node[j], node[j])), (i, j)
+def test_recall_by_overlap_band(spark):
+    """Planted pairs, each of its own words: the share that is found, by true overlap."""
+    rng = random.Random(12)
+    made, pairs = [], defaultdict(list)
+    for n in range(900):
+        text = " ".join(f"p{n}x{i}" for i in range(rng.choice([150, 150, 150, 400])))
+        other = edited(rng, text, rng.randrange(1, 4))
+        overlap = similarity(bag(text), bag(other))
+        if overlap >= 0.8:
+            pairs[min(int(overlap * 20), 19)].append(len(made))
+        made += [text, other]
+    got = {r.doc_id: r.class_size for r in nd.near_duplicate_classes(
+        spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")).collect()}
+    recall = {band: np.mean([got[i] == 2 for i in at]) for band, at in pairs.items()}
+    print({f"{band / 20:.2f}": (len(pairs[band]), round(r, 4)) for band, r in sorted(recall.items())})
+    assert sorted(pairs) == [16, 17, 18, 19] and min(map(len, pairs.values())) >= 60
+    assert min(recall.values()) >= 0.98
 
 
 def test_signatures_estimate_weighted_jaccard():
