@@ -145,7 +145,8 @@ def jaccard_components(docs: DataFrame, similarity: float = SIMILARITY, id_col:
             .select("set", F.col("rep.row").alias("node"), F.col("rep.id").alias("rep_id"))
             .checkpoint(eager=True))
     reps = rows.join(sets.select(F.col("node").alias("row")), "row", "left_semi").select(
-        F.col("row").alias("node"), "id", "raw", "size", "bits", "prefix", "last_n", "last_h")
+        F.col("row").alias("node"), "id", "raw", "size", "bits", "prefix", "last_n", "last_h"
+    ).checkpoint(eager=True)
     columns = reps.select(F.explode("prefix").alias("bucket"), "node")
     shared = columns.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = columns.join(shared, "bucket").select("bucket", "node", "n").checkpoint(eager=True)
