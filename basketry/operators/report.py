@@ -239,3 +239,24 @@ def user_report(predictions: DataFrame, train: DataFrame, truth: DataFrame) -> D
     return rows.filter(F.col("rank").isNotNull()).select(
         "user_id", "rank", "product_id", round_half_up("score", 4).alias("score"),
         *[F.col(c).cast("bigint").alias(c) for c in ("n_train_items", "n_truth", "is_hit", "hits")])
+
+
+def popularity_rollup(lines: DataFrame, min_lines: int = 1) -> DataFrame:
+    """Line counts by department, aisle and product with their subtotals, one shuffle.
+
+    ``level`` is the grouping id (0: product, 1: aisle, 3: department, 7: all), which tells a
+    subtotal from a null key. Groups under ``min_lines`` lines are left out.
+    """
+    keys = ["department_id", "aisle_id", "product_id"]
+    return (lines.rollup(*keys)
+            .agg(F.grouping_id().cast("bigint").alias("level"),
+                 F.count(F.lit(1)).cast("bigint").alias("n_lines"),
+                 F.sum("reordered").cast("bigint").alias("n_reordered"))
+            .filter(F.col("n_lines") >= min_lines))
+
+
+def popularity_cube(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """Line counts by every subset of ``keys``, with the grouping id as ``level``."""
+    return lines.cube(*keys).agg(F.grouping_id().cast("bigint").alias("level"),
+                                 F.count(F.lit(1)).cast("bigint").alias("n_lines"),
+                                 F.sum("reordered").cast("bigint").alias("n_reordered"))

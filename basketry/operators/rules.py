@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.joins import broadcast_if_small
+from basketry.operators.bitmaps import bitmap_itemsets
 from basketry.operators.encode import load_params, save_params
 from basketry.schema import ITEMSET_SCHEMA, RULE_SCHEMA, require_columns
 from basketry.session import checkpoint_root
@@ -46,7 +47,7 @@ class RuleParams:
     max_items: int | None = None       # F4: keep only the most common products, on request
     weight: str = "antecedent_size"   # or "once"
     num_partitions: int | None = None  # miner partitions; None keeps the input's
-    miner: str = "prefixspan"          # or "fpgrowth"
+    miner: str = "prefixspan"          # or "fpgrowth", "bitmap"
 
 
 def baskets(train: DataFrame, key: str = "user_id") -> DataFrame:
@@ -89,9 +90,10 @@ def frequent_itemsets(basket_df: DataFrame, n_baskets: int, min_support: float,
     frequent itemsets, and ``maxPatternLength`` stops the search at
     ``max_len`` instead of enumerating longer itemsets and dropping them.
     ``miner="fpgrowth"`` uses MLlib ``FPGrowth`` (no length bound while
-    mining; longer itemsets are filtered afterwards). Both are distributed and
-    give the same rows; the exact ``freq / n >= min_support`` test is applied
-    last either way.
+    mining; longer itemsets are filtered afterwards). ``miner="bitmap"`` grows
+    itemsets from bit rows of baskets by joins and aggregates alone. All are
+    distributed and give the same rows; the exact ``freq / n >= min_support`` test is applied
+    last whichever it is.
     """
     if n_baskets == 0:
         return basket_df.sparkSession.createDataFrame([], ITEMSET_SCHEMA)
@@ -111,6 +113,8 @@ def frequent_itemsets(basket_df: DataFrame, n_baskets: int, min_support: float,
         if num_partitions:
             fp = fp.setNumPartitions(num_partitions)
         found = fp.fit(basket_df).freqItemsets
+    elif miner == "bitmap":
+        found = bitmap_itemsets(basket_df, max(threshold, 1), max_len)
     else:
         raise ValueError(f"unknown miner {miner!r}")
     return (found.filter(F.size("items") <= max_len)
