@@ -2,15 +2,17 @@
 
 An Arrow pass measures every whole text; rules turn the measures into failures.
 Failures are counted per host (the ``source`` column), each rule's rates get an
-empirical beta prior (method of moments over the hosts), and a host whose
-shrunk rate exceeds ``host_limit`` is flagged for that rule. The verdicts are
+empirical beta prior (beta-binomial moments weighted by the hosts' sizes, so that the
+chance spread of small hosts is not taken for a difference), and a host whose
+shrunk rate exceeds ``host_limit`` is flagged for that rule; a rate equal to it is not. The verdicts are
 joined back: a document goes when it fails a rule its own host is flagged for.
 Documents that pass the rules stay, whatever their host.
 
 Hosts are pre-aggregated before the shuffle, so a hot host is a few partial
 rows; the join back is a plain equi-join whose large side AQE can split. Null
 hosts are one host of their own. Null text has no words. Rows are never
-matched by id, so repeated rows and null ids each keep their row.
+matched by id, so repeated rows and null ids each keep their row. Long texts are measured
+whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from basketry.session import checkpoint_root
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 HOST_LIMIT = 0.5
+# A prior counts for so many documents at least: one observation never condemns a host.
+LEAST_PRIOR = 10.0
 _BLANK = bytes([0x20, *range(0x09, 0x0E)])
 # Bytes that are not the first of a code point.
 _INNER = bytes(range(0x80, 0xC0))
@@ -84,13 +88,23 @@ def base_failed() -> Column:
     return checks["short"] | checks["repeats"]
 
 
-def beta_prior(mean: float, variance: float) -> tuple[float, float]:
-    """(a, b) by the method of moments; the weakest proper prior where it has no answer."""
-    spread = mean * (1 - mean)
-    if not 0 < variance < spread:
-        return max(mean, 1e-6), max(1 - mean, 1e-6)
-    total = spread / variance - 1
-    return max(mean * total, 1e-6), max((1 - mean) * total, 1e-6)
+def beta_prior(hosts: int, docs: int, squares: float, failures: float, spread: float) -> tuple[float, float]:
+    """(a, b) of a beta-binomial by moments weighted with host sizes.
+
+    ``squares`` sums the squared sizes, ``spread`` the squared failures over the size.
+    The variance between raw rates that single documents bring about by chance is taken
+    off; what is left is the correlation within hosts, 1 / (a + b + 1). Where nothing is
+    left (hosts of one document, say) the prior is as strong as all documents together, and
+    it never weighs less than ``LEAST_PRIOR`` documents.
+    """
+    if not docs:
+        return 0.5, 0.5
+    mean = failures / docs
+    chance, room = mean * (1 - mean), docs - squares / docs - (hosts - 1)
+    within = ((spread - mean * mean * docs) / chance - (hosts - 1)) / room if chance > 0 and room > 0 else 0.0
+    total = (1 - within) / within if within > 0 else float(docs)
+    total = max(min(total, float(docs)), LEAST_PRIOR)
+    return max(mean * total, 1e-9), max((1 - mean) * total, 1e-9)
 
 
 def host_verdicts(measured: DataFrame, host_limit: float = HOST_LIMIT) -> DataFrame:
@@ -99,12 +113,17 @@ def host_verdicts(measured: DataFrame, host_limit: float = HOST_LIMIT) -> DataFr
     per_host = measured.groupBy("host").agg(
         F.count(F.lit(1)).alias("n_docs"),
         *[F.sum(c.cast("long")).alias(f"{r}_n") for r, c in rules().items()])
+    n = F.col("n_docs")
     moments = per_host.agg(  # one row, whatever the number of hosts
-        *[F.avg(F.col(f"{r}_n") / F.col("n_docs")).alias(f"{r}_m") for r in names],
-        *[F.var_pop(F.col(f"{r}_n") / F.col("n_docs")).alias(f"{r}_v") for r in names]).first()
+        F.count(F.lit(1)).alias("hosts"), F.sum(n).alias("docs"),
+        F.sum(n.cast("double") * n).alias("squares"),
+        *[F.sum(f"{r}_n").alias(f"{r}_m") for r in names],
+        *[F.sum(F.col(f"{r}_n").cast("double") * F.col(f"{r}_n") / n).alias(f"{r}_v") for r in names]
+    ).first()
     out = ["host", "n_docs"]
     for r in names:
-        a, b = beta_prior(moments[f"{r}_m"] or 0.0, moments[f"{r}_v"] or 0.0)
+        a, b = beta_prior(moments["hosts"], moments["docs"] or 0, moments["squares"] or 0.0,
+                          moments[f"{r}_m"] or 0.0, moments[f"{r}_v"] or 0.0)
         rate = (F.col(f"{r}_n") + F.lit(a)) / (F.col("n_docs") + F.lit(a + b))
         out += [rate.alias(f"{r}_rate"), (rate > F.lit(host_limit)).alias(f"{r}_bad")]
     return per_host.select(*out)

@@ -88,6 +88,15 @@ def test_license_fuzzy_and_odd_rows(odd_docs, no_docs):
 
 # -- 4 decontamination -------------------------------------------------------------
 
+def test_neighbouring_notices_share_a_space(spark):
+    rows = [(1, "mit licence mit licence"), (2, "the mit license mit licence applies"),
+            (3, "mit license mit license mit licens")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(s.first_word, s.edits) for s in r.spans if s.label == "mit"]
+           for r in licenses.find_notices(docs).collect()}
+    assert got == {1: [(0, 1), (2, 1)], 2: [(1, 0), (3, 1)], 3: [(0, 0), (2, 0), (4, 1)]}
+
+
 def test_contamination_matches_brute_force(spark, texts):
     items = [tuple(r) for r in queries.table(spark, SF, "benchmark").collect()]
     for r in queries.op4_decontamination(spark, SF).collect():
@@ -150,6 +159,22 @@ def test_measures_of_any_text(text):
     assert q.measure(text.encode())[:5] == (n, chars, symbols, dup, repeated)
 
 
+def test_hosts_of_one_document_are_shrunk_to_the_mean(spark):
+    """No document goes on a single observation; a large host that fails keeps its own rate."""
+    a, b = q.beta_prior(100, 100, 100.0, 10.0, 10.0)
+    assert (1 + a) / (1 + a + b) < 0.2 and (0 + a) / (1 + a + b) < 0.1
+    clean = " ".join(f"word{i} of text" for i in range(10))
+    noisy = clean + " # # # # #"
+    rows = [(i, clean if i % 10 else noisy, f"host{i}") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert all(r.kept for r in q.judge(docs).collect())
+    rows += [(1000 + i, noisy if i % 20 else clean, "large") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = {r.doc_id: r.kept for r in q.judge(docs).collect()}
+    assert all(kept[i] for i in range(100)) and [kept[1000 + i] for i in range(60)] == [
+        i % 20 == 0 for i in range(60)]
+
+
 def test_hosts_are_shrunk_and_joined_back(spark, odd_docs, no_docs):
     bad = "%%% ### word " * 4
     fine = "one two three four five six seven eight nine ten eleven"
