@@ -93,10 +93,12 @@ class _Scanner:
             found.append((at, at + len(pattern), 0))
             at = window.find(pattern, at + len(pattern) - 1)  # neighbours share a space
         exact = list(found)
-        for m in self.regexes[which].finditer(window):
+        m = self.regexes[which].search(window)
+        while m:
             s, e = m.span()
-            if not any(s < b and a < e for a, b, _ in exact):
+            if not any(s < b - 1 and a < e - 1 for a, b, _ in exact):
                 found.append((s, e, sum(m.fuzzy_counts)))
+            m = self.regexes[which].search(window, max(e - 1, s + 1))
         return found
 
     def scan(self, norms: list[bytes]) -> list[list[tuple]]:
