@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm.keys import maybe_held
 from basketry.llm.texts import as_bytes, chunks, mixed
 
 BITS = 1024
@@ -65,20 +66,11 @@ def parity_map(hashes: np.ndarray, counts: np.ndarray | None = None) -> bytes:
 def node_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, text) of ``wanted`` (node, rep_id, rep_raw): each text from one row alone.
 
-    A bit map of the wanted hashes, 4 MB whatever the input, keeps most other texts
-    out of the shuffle.
+    A bit map of the wanted hashes keeps most other texts out of the shuffle.
     """
-    slot = lambda raw: F.pmod(F.xxhash64(raw), F.lit(1 << 25)) + 1
-    bits = (wanted.select(slot("rep_raw").alias("slot"))
-            .groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("map")))
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn(
         "raw", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
-    source = source.withColumn("slot", slot("raw")).withColumns(
-        {"bucket": F.bitmap_bucket_number("slot"), "bit": F.bitmap_bit_position("slot")})
-    source = source.join(F.broadcast(bits), "bucket").filter(F.expr(
-        "shiftright(cast(conv(hex(substring(map, cast(bit div 8 as int) + 1, 1)), 16, 10) as int),"
-        " cast(bit % 8 as int)) % 2 = 1")).select("id", "text", "raw")
+    source = maybe_held(source, "raw", wanted.select(F.col("rep_raw").alias("raw")))
     return (source.join(wanted, (source["raw"] == wanted["rep_raw"])
                         & source["id"].eqNullSafe(wanted["rep_id"]))
             .select("node", "text").dropDuplicates(["node"]))

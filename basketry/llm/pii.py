@@ -3,25 +3,29 @@
 DataFrame functions only. Pattern spans (email, ip, card, phone) are the
 protected entities. A term is a word of a document. Over the whole corpus, n_c
 documents mention entity c, n_t hold term t, n_ct both, wherever in the document
-they stand. The term discloses
+they stand. All three are numbers of distinct texts: copies of a text are no further
+evidence, and doubling a table changes no span. The term discloses
 
     PMI(c, t) / IC(c) = log(n_ct * N / (n_c * n_t)) / log(N / n_c)
 
 of the entity's information: 1 where the term occurs with this entity only.
-Terms seen with it in ``MIN_DOCS`` documents or more that disclose
+Terms seen with it in ``MIN_DOCS`` texts or more that disclose at least
 ``GENERALISE`` of it are replaced by a general form, from ``REMOVE`` on they
-are taken out, in the documents where they stand beside the entity. Documents
+are taken out, at all their places in the texts that mention the entity. Texts
 without an entity are left alone.
 
-Work per mention is bounded by the window, never by pairs of a document's
-words. Matches come from ``regexp_extract_all`` with the text between them
-from ``split``; lengths of both give code-point positions. Patterns are written
-possessively and start only where a run starts, which gives the same leftmost
-matches without back-tracking or recursion on long runs.
+Every distinct term of a text meets every distinct entity of ``MIN_DOCS`` texts in it, so
+a text gives as many rows as the product of both numbers; they are shuffled
+and counted, never gathered. Matches come from ``regexp_extract_all`` with the text between
+them from ``split``; lengths of both give code-point positions, in parts of ``PART``
+matches. Patterns are written possessively and start only where a run starts, which gives
+the same leftmost matches without back-tracking or recursion on long runs. Tables join
+by shuffle; texts that cannot meet are kept out by a bit map of 4 MB.
 
 Null text is empty. Results hang on the text, joined by its 128-bit hash, so
-repeated rows and null ids keep their rows; extra columns are ignored
-(``sanitise`` keeps them).
+repeated rows and null ids keep their rows; extra columns are ignored (``sanitise`` keeps
+them). A risk equal to a threshold counts. Long texts are searched whole, and an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.joins import broadcast_if_small
+from basketry.llm.keys import maybe_held
 from basketry.session import checkpoint_root
 
 # Fixed order of kinds; patterns equal the contract's up to possessive form.
@@ -43,23 +47,35 @@ PATTERNS = {
 _HINTS = {"email": "@", "ip": ".", "phone": "+"}
 TERM = r"\p{L}{3,}+"
 MIN_DOCS = 2
-# Tables of so many short rows at most are broadcast, after counting them.
-MOST = 500_000
 GENERALISE, REMOVE = 0.8, 0.95
+PART = 256
 _SPAN = "struct<start:bigint,k:int,end:bigint,kind:string,value:string>"
 
 
+def _walk(found: str, gaps: str, element: str, entry: str, wanted: str) -> str:
+    """SQL: ``entry`` of every match i that is ``wanted``, where ``a.at + length(gaps[i])`` is its start.
+
+    ``found`` are the matches, ``gaps`` the text between them. Lists grow within parts
+    of ``PART`` matches only, so that the work is linear in their number.
+    """
+    step = f"a.at + length({gaps}[i]) + length({found}[i])"
+    part = f"sequence(c * {PART}, least(size({found}), (c + 1) * {PART}) - 1)"
+    starts = f"""aggregate(sequence(0, (size({found}) - 1) div {PART}),
+        named_struct('at', 0L, 'out', cast(array() as array<bigint>)),
+        (b, x) -> named_struct('at', aggregate(transform(array(cast(x as int)), c -> {part})[0], b.at,
+            (t, i) -> t + length({gaps}[i]) + length({found}[i])),
+            'out', concat(b.out, array(b.at))), b -> b.out)"""
+    return f"""flatten(transform({starts}, (o, c) -> aggregate({part},
+        named_struct('at', o, 'out', cast(array() as array<{element}>)),
+        (a, i) -> named_struct('at', {step}, 'out', if({wanted},
+            concat(a.out, array({entry})), a.out)), a -> a.out)))"""
+
+
 def _located(text: str, found: str, gaps: str) -> str:
     """SQL: (start, end, value) of every match, from matches and the text between them."""
-    return f"""aggregate(sequence(0, size({found}) - 1),
-        named_struct('at', 0L, 'out', cast(array() as array<struct<start:bigint,end:bigint,value:string>>)),
-        (a, i) -> named_struct(
-            'at', a.at + length({gaps}[i]) + length({found}[i]),
-            'out', concat(a.out, array(named_struct(
-                'start', a.at + length({gaps}[i]),
-                'end', a.at + length({gaps}[i]) + length({found}[i]),
-                'value', {found}[i])))),
-        a -> a.out)"""
+    return _walk(found, gaps, "struct<start:bigint,end:bigint,value:string>", f"""named_struct(
+        'start', a.at + length({gaps}[i]),
+        'end', a.at + length({gaps}[i]) + length({found}[i]), 'value', {found}[i])""", "true")
 
 
 def _valid(kind: str) -> str:
@@ -128,37 +144,32 @@ def mentions(found: DataFrame) -> DataFrame:
 
 
 def _beside(docs: DataFrame, found: DataFrame, entity: DataFrame, text_col: str) -> DataFrame:
-    """(key, c, t): every term of every whole text that mentions an entity of ``entity``."""
-    asked = (mentions(found).distinct().join(broadcast_if_small(entity, max_rows=MOST), "c")
-             .select("key", "c").checkpoint(eager=True))
-    held = asked.groupBy("key").agg(F.collect_list("c").alias("cs"))
-    return (_keyed(docs, text_col).join(broadcast_if_small(held, asked.count(), MOST), "key")
-            .select("key", "cs", F.explode(_words("text")).alias("t"))
-            .select("key", F.explode("cs").alias("c"), "t"))
+    """(key, c, t): every term of every distinct text that mentions an entity of ``entity``."""
+    asked = mentions(found).distinct().join(entity.select("c"), "c").select("key", "c").checkpoint(eager=True)
+    texts = maybe_held(_keyed(docs, text_col), "key", asked.select("key"))
+    terms = texts.select("key", F.explode(_words("text")).alias("t")).distinct()
+    return terms.join(asked, "key").select("key", "c", "t")
 
 
 def disclosure(docs: DataFrame, found: DataFrame, min_docs: int = MIN_DOCS,
                threshold: float = GENERALISE, text_col: str = "text") -> DataFrame:
-    """(c, t, risk) of the terms that disclose ``threshold`` or more of an entity."""
-    # n_ct never exceeds n_c: entities in fewer documents have no such term.
-    entity = (mentions(found).groupBy("c").agg(F.count(F.lit(1)).alias("n_c"))
+    """(c, t, risk) of the terms that disclose ``threshold`` or more of an entity.
+
+    All counts are of distinct texts: copies are no evidence.
+    """
+    # n_ct never exceeds n_c: entities in fewer texts have no such term.
+    entity = (mentions(found).distinct().groupBy("c").agg(F.count(F.lit(1)).alias("n_c"))
               .filter(F.col("n_c") >= min_docs).checkpoint(eager=True))
     pairs = (_beside(docs, found, entity, text_col).groupBy("c", "t")
              .agg(F.count(F.lit(1)).alias("n_ct"))
              .filter(F.col("n_ct") >= min_docs).checkpoint(eager=True))
     terms = pairs.select("t").distinct().checkpoint(eager=True)
-    words = _keyed(docs, text_col).select(F.explode(_words("text")).alias("t"))
-    n_terms = terms.count()
-    if n_terms <= MOST:  # the size is checked: count the asked terms only
-        words = words.join(broadcast_if_small(terms, n_terms, MOST), "t", "left_semi")
-        n_t = words.groupBy("t").agg(F.count(F.lit(1)).alias("n_t"))
-    else:
-        n_t = words.groupBy("t").agg(F.count(F.lit(1)).alias("n_t")).join(terms, "t", "left_semi")
-    total = float(docs.count())
+    words = _keyed(docs, text_col).select("key", F.explode(_words("text")).alias("t"))
+    n_t = (maybe_held(words, "t", terms).distinct().groupBy("t").agg(F.count(F.lit(1)).alias("n_t")))
+    total = float(_keyed(docs, text_col).select("key").distinct().count())
     ic = F.log(F.lit(total) / F.col("n_c"))
     pmi = F.log(F.col("n_ct") * F.lit(total) / (F.col("n_c") * F.col("n_t")))
-    return (pairs.join(broadcast_if_small(entity, max_rows=MOST), "c")
-            .join(broadcast_if_small(n_t, n_terms, MOST), "t")
+    return (pairs.join(entity, "c").join(n_t, "t")
             .withColumn("risk", F.round(F.when(ic > 0, pmi / ic).otherwise(0.0), 6))
             .filter(F.col("risk") >= threshold).select("c", "t", "risk"))
 
@@ -169,25 +180,18 @@ def term_spans(docs: DataFrame, found: DataFrame, risky: DataFrame,
     place of the term outside the spans."""
     risky = risky.checkpoint(eager=True)
     asked = (_beside(docs, found, risky.select("c").distinct(), text_col)
-             .join(broadcast_if_small(risky, max_rows=MOST), ["c", "t"])
+             .join(risky, ["c", "t"])
              .groupBy("key", "t").agg(F.max("risk").alias("risk")).checkpoint(eager=True))
     held = asked.groupBy("key").agg(F.collect_list("t").alias("ts"),
                                     F.map_from_entries(F.collect_list(F.struct("t", "risk")))
                                     .alias("risks"))
-    rows = (_keyed(docs, text_col).join(broadcast_if_small(held, asked.count(), MOST), "key"))
+    rows = maybe_held(_keyed(docs, text_col), "key", asked.select("key")).join(held, "key")
     rows = with_base(rows, "text", "spans")
     rows = (rows.withColumn("w", F.regexp_extract_all(F.col("text"), F.lit(TERM), F.lit(0)))
             .withColumn("g", F.split(F.col("text"), TERM, -1)))
-    # Only terms that are asked for enter the list, so a step costs the same anywhere in the text.
-    places = """aggregate(sequence(0, size(w) - 1),
-        named_struct('at', 0L, 'out', cast(array() as array<struct<start:bigint,end:bigint,t:string>>)),
-        (a, i) -> named_struct(
-            'at', a.at + length(g[i]) + length(w[i]),
-            'out', if(array_contains(ts, lower(w[i])), concat(a.out, array(named_struct(
-                'start', a.at + length(g[i]),
-                'end', a.at + length(g[i]) + length(w[i]),
-                't', lower(w[i])))), a.out)),
-        a -> a.out)"""
+    places = _walk("w", "g", "struct<start:bigint,end:bigint,t:string>", """named_struct(
+        'start', a.at + length(g[i]), 'end', a.at + length(g[i]) + length(w[i]),
+        't', lower(w[i]))""", "array_contains(ts, lower(w[i]))")
     spans = f"""transform(filter({places}, m ->
         not exists(spans, b -> b.start < m.end and m.start < b.end)),
         m -> named_struct('start', m.start, 'end', m.end, 'risk', risks[m.t]))"""
@@ -245,8 +249,12 @@ def sanitise(docs: DataFrame, text_col: str = "text") -> DataFrame:
     packed = with_base(packed, "text", "spans")
     none = F.expr("cast(array() as array<struct<start:bigint,end:bigint,risk:double>>)")
     key = F.unhex(F.md5(F.col("text").cast("binary")))
-    joined = (packed.withColumn("key", key).join(broadcast_if_small(terms, max_rows=200_000), "key", "left")
+    packed = packed.withColumn("key", key)
+    # Rows without spans hold no term: they never meet in the join.
+    plain = packed.filter("size(spans) = 0").withColumn("term_spans", none)
+    joined = (packed.filter("size(spans) > 0").join(terms, "key", "left")
               .withColumn("term_spans", F.coalesce("term_spans", none)))
+    joined = plain.unionByName(joined)
     clean = F.when(F.col(f"row.`{text_col}`").isNotNull(), cleaned("text", "spans", "term_spans"))
     return joined.select(*[(clean if c == text_col else F.col(f"row.`{c}`")).alias(c)
                            for c in docs.columns])

@@ -108,7 +108,7 @@ TRICKY = [
     "a@b.c.d@e.f x a@b.c%d@e.f ..@x.y me@host", "1.2.3.4.5.6.7.8 256.1.1.1 1.1.1.1.1 0001.02.3.255 9.9.9",
     "4111 1111 1111 1111 4111-1111-1111-1112 12 3 4 5 6 7 8 9 0 1 2 3 4 5", "+1 (555) 123-4567 +44.20 7946 0958 +1-2 ++49 30 123456789",
     "é1.2.3.4 \U0001F600 x@y.zz 中+12 345 678 901 23中", "", None, "a" * 50000 + "@b.co", "1" * 50000,
-    "1 23 " * 20000, "a@" + "b." * 20000 + "c", "+1" + " 2" * 30000, "1.1.1." * 8000 + "1",
+    "1 23 " * 20000, "a@" + "b." * 20000 + "c", "+1" + " 2" * 30000, "1.1.1." * 8000 + "1", "12 " * 200_000, "1.2.3.4 " * 50_000,
 ]
 
 
@@ -142,7 +142,7 @@ def test_pii_random_texts(spark):
 
 
 def test_disclosing_terms(spark, odd_docs, no_docs):
-    rows = [(i, "Doctor Zebulon mailed zeb@x.org about the visit", "en") for i in range(3)]
+    rows = [(i, f"Doctor Zebulon mailed zeb@x.org about the visit {i}", "en") for i in range(3)]
     rows += [(10 + i, f"the visit about mail number{i} from u{i}@y.org about the visit", "en")
              for i in range(40)]
     rows += [(100 + i, "the visit about nothing at all", "en") for i in range(60)]
@@ -152,7 +152,7 @@ def test_disclosing_terms(spark, odd_docs, no_docs):
     assert found == {"doctor", "zebulon", "mailed"}
     assert got[10].term_spans == [] and got[100].spans == [] and got[100].term_spans == []
     clean = {r.doc_id: r.text for r in P.sanitise(docs).collect()}
-    assert clean[0] == "   [EMAIL] about the visit"
+    assert clean[0] == "   [EMAIL] about the visit 0"
     assert clean[100] == rows[-1][1] and clean[10].count("[EMAIL]") == 1
     assert P.personal_data(odd_docs).count() == odd_docs.count()
     assert P.personal_data(no_docs).count() == 0
@@ -164,7 +164,7 @@ def test_disclosing_terms(spark, odd_docs, no_docs):
 
 def test_disclosing_terms_of_whole_texts(spark):
     far = "nothing of the visit " * 12
-    rows = [(i, f"Header Zebulon. {far}mail zeb@x.org now. {far}Yours, ZEBULON Quux") for i in range(3)]
+    rows = [(i, f"Header Zebulon. {far}mail zeb@x.org now. {far}Yours, ZEBULON Quux {i}") for i in range(3)]
     rows += [(10 + i, f"header {far} u{i}@y.org yours mail now") for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: r.term_spans for r in P.personal_data(docs).collect()}
@@ -172,10 +172,57 @@ def test_disclosing_terms_of_whole_texts(spark):
     assert [rows[0][1][s.start:s.end] for s in got[0]] == ["Zebulon", "ZEBULON", "Quux"]
     assert got[0] == got[1] == got[2] and got[10] == []
     clean = {r.doc_id: r.text for r in P.sanitise(docs).collect()}
-    assert clean[1] == f"Header . {far}mail [EMAIL] now. {far}Yours,  "
+    assert clean[1] == f"Header . {far}mail [EMAIL] now. {far}Yours,   1"
     assert "header" in clean[10]
 
 
+def test_copies_are_no_evidence(spark):
+    """Doubling every row changes no span; two copies of one text disclose nothing."""
+    docs = queries.table(spark, SF, "documents").select("doc_id", "text")
+    once = {r.doc_id: r.term_spans for r in P.personal_data(docs).collect()}
+    again = P.personal_data(docs.unionByName(docs)).collect()
+    assert len(again) == 2 * len(once) and all(r.term_spans == once[r.doc_id] for r in again)
+    rows = [(i, "only this sentence of twelve words holds the address zeb@x.org today") for i in range(2)]
+    rows += [(9 + i, f"other words of text {i}") for i in range(30)]
+    alone = P.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r.term_spans == [] for r in alone)
+
+
+def test_term_spans_match_brute_force(spark):
+    import math
+    import re
+    rng = random.Random(11)
+    people = [f"u{i}@y.org" for i in range(6)]
+    names = [f"Name{'abcdef'[i] * 3}" for i in range(6)]
+    made = []
+    for _ in range(120):
+        who = rng.randrange(6)
+        made.append(" ".join([prose_word(rng), names[who] if rng.random() < 0.8 else "someone", "wrote",
+                              people[who] if rng.random() < 0.6 else "nobody", prose_word(rng)]))
+    made += made[:30]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    distinct = sorted(set(made))
+    entities = {t: {f"{s[3]}:{t[s[0]:s[2]].lower()}" for s in pii(t)} for t in distinct}
+    terms = {t: {w.lower() for w in re.findall(r"[^\W\d_]{3,}", t)} for t in distinct}
+    n_c = Counter(c for t in distinct for c in entities[t])
+    n_t = Counter(w for t in distinct for w in terms[t])
+    n_ct = Counter((c, w) for t in distinct for c in entities[t] for w in terms[t])
+    total = len(distinct)
+    risky = {k for k, n in n_ct.items() if n >= 2 and n_c[k[0]] < total and round(
+        math.log(n * total / (n_c[k[0]] * n_t[k[1]])) / math.log(total / n_c[k[0]]), 6) >= 0.8}
+    assert risky
+    for r in P.personal_data(docs).collect():
+        t = made[r.doc_id]
+        own = {w for c, w in risky if c in entities[t]}
+        want = [(m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{3,}", t) if m[0].lower() in own
+                and not any(s[0] < m.end() and m.start() < s[2] for s in pii(t))]
+        assert [(s.start, s.end) for s in r.term_spans] == want
+
+
+def prose_word(rng):
+    return "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(3))
+
+
 def test_pii_plan_is_native(spark):
     plan = queries.op6_personal_data(spark, SF)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
