@@ -4,7 +4,7 @@ Similar documents share a bucket, but a bucket may hold a third of all rows and
 mostly documents of one class. Two passes settle every pair of a bucket:
 
 1. Every member is checked against one pivot of its bucket, the member that meets
-   most others. That is linear in the bucket. Linked nodes form classes.
+   most others, unless the bound below excludes it. That is linear in the bucket. Linked nodes form classes.
 2. Pairs inside one class need no check. Members of buckets that still hold
    several classes are dealt to blocks of bounded size: the pivot's class
    meets the others, the others meet each other, and no block holds members of the
@@ -13,7 +13,7 @@ mostly documents of one class. Two passes settle every pair of a bucket:
    one of both has, so a pair beyond what the similarity allows is excluded by
    proof. Only the pairs that remain leave a block and are checked exactly.
 
-No candidate is capped or dropped. Texts are read for nodes of shared buckets only;
+No candidate is capped or dropped. Texts are read for nodes of pairs to check only;
 a pivot's text is dealt once for every ``PER_SALT`` of its partners.
 """
 
@@ -101,12 +101,14 @@ def classes(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def linked_pairs(pairs: DataFrame, texts: DataFrame, row_of: Callable, linked: Callable) -> DataFrame:
+def linked_pairs(pairs: DataFrame, texts_of: Callable, row_of: Callable, linked: Callable) -> DataFrame:
     """The distinct (a, b) whose texts are ``linked(row_of(text_a), row_of(text_b))``.
 
-    Rows come sorted by a, whose row is built once for a salt's partners.
+    ``texts_of`` reads the texts of the nodes in ``pairs``, and no others. Rows come sorted
+    by a, whose row is built once for a salt's partners.
     """
     pairs = pairs.select("a", "b").checkpoint(eager=True)
+    texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     salts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PER_SALT).alias("salts"))
     salted = pairs.join(salts, "a").select(
         "a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"))
@@ -130,6 +132,24 @@ def linked_pairs(pairs: DataFrame, texts: DataFrame, row_of: Callable, linked: C
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _possible(ratio: Ratio):
+    """Arrow function over (a, b, size_a, size_b, bits_a, bits_b): the (a, b) not excluded."""
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            sizes = [b.column(c).to_numpy(zero_copy_only=False) for c in (2, 3)]
+            maps = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint64).reshape(
+                b.num_rows, -1) for c in (4, 5)]
+            most = ratio.most_apart(sizes[0] + sizes[1])
+            kept = (np.abs(sizes[0] - sizes[1]) <= most) & (
+                np.bitwise_count(maps[0] ^ maps[1]).sum(axis=1) <= most)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(
+                pa.array(kept, pa.bool_()))
+
+    return run
+
+
 def _block_pairs(ratio: Ratio):
     """Arrow function over rows sorted by key: (a, b) not excluded, within each key."""
     names = ["a", "b"]
@@ -221,12 +241,13 @@ def _dealt(members: DataFrame, labels: DataFrame | None, nodes: DataFrame) -> Da
             .repartition("key").sortWithinPartitions("key"))
 
 
-def linked_classes(members: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float,
+def linked_classes(members: DataFrame, nodes: DataFrame, texts_of: Callable, similarity: float,
                    row_of: Callable, linked: Callable,
                    accumulate: Callable | None = None) -> DataFrame | None:
     """(node, label) of all nodes that are linked inside buckets, None where none is.
 
-    ``members``: (bucket, node, n) with the bucket's size n > 1; ``nodes``: (node, size, bits).
+    ``members``: (bucket, node, n) with the bucket's size n > 1; ``nodes``: (node, size, bits);
+    ``texts_of``: the (node, text) rows of a frame of nodes.
     ``accumulate`` takes the open pairs of pass 2, one row for each bucket they share, and
     returns the distinct ones that its own bounds leave.
     """
@@ -235,22 +256,21 @@ def linked_classes(members: DataFrame, nodes: DataFrame, texts: DataFrame, simil
     members = members.join(degree, "node").select("bucket", "node", "degree").checkpoint(eager=True)
     pivots = members.groupBy("bucket").agg(
         F.max(F.struct("degree", "node"))["node"].alias("pivot"))
-    size = nodes.select("node", "size")
-    both = F.col("size") + F.col("pivot_size")
-    stars = (members.join(pivots, "bucket").filter("node != pivot").select("pivot", "node").distinct()
-             .join(size, "node").join(size.select(F.col("node").alias("pivot"),
-                                                  F.col("size").alias("pivot_size")), "pivot")
-             .filter(F.abs(F.col("size") - F.col("pivot_size")) * (ratio.num + ratio.den)
-                     <= both * (ratio.den - ratio.num))
-             .select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"),
+                                  F.col("bits").alias(f"bits_{c}"))
+    stars = (members.join(pivots, "bucket").filter("node != pivot")
+             .select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+             .join(side("b"), "b").join(side("a"), "a")
+             .select("a", "b", F.col("size_a").cast("long"), F.col("size_b").cast("long"), "bits_a",
+                     "bits_b").mapInArrow(_possible(ratio), "a long, b long"))
     # (p, x) and (x, p) may both come, where each is a pivot: once is enough.
     stars = stars.groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(
         F.max("a").alias("a")).select("a", (F.col("lo") + F.col("hi") - F.col("a")).alias("b"))
-    edges = linked_pairs(stars, texts, row_of, linked).checkpoint(eager=True)
+    edges = linked_pairs(stars, texts_of, row_of, linked).checkpoint(eager=True)
     labels = None if edges.isEmpty() else classes(edges)
     rest = _dealt(members, labels, nodes).mapInArrow(_block_pairs(ratio), "a long, b long")
     rest = rest.distinct() if accumulate is None else accumulate(rest)
-    more = linked_pairs(rest, texts, row_of, linked).checkpoint(eager=True)
+    more = linked_pairs(rest, texts_of, row_of, linked).checkpoint(eager=True)
     if more.isEmpty():
         return labels
     return classes(edges.unionByName(more))

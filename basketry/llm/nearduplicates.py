@@ -181,16 +181,16 @@ def _nodes(docs: DataFrame, id_col: str, text_col: str, similarity: float):
     members = banded.join(shared, "bucket").select("bucket", "node", "n").checkpoint(eager=True)
     wanted = (reps.drop("bands").join(members.select("node").distinct(), "node", "left_semi")
               .checkpoint(eager=True))
-    texts = node_texts(docs, wanted.select("node", F.col("id").alias("rep_id"),
-                                           F.col("raw").alias("rep_raw")),
-                       id_col, text_col).checkpoint(eager=True)
+    named_by = wanted.select("node", F.col("id").alias("rep_id"), F.col("raw").alias("rep_raw"))
+    texts_of = lambda some: node_texts(
+        docs, named_by.join(some, "node", "left_semi"), id_col, text_col).checkpoint(eager=True)
     known, ratio = WordHashes(), Ratio(similarity)
 
     def linked(a, b) -> bool:
         _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
         return ratio.holds(int(np.minimum(a[1][i], b[1][j]).sum()), int(a[1].sum() + b[1].sum()))
 
-    labels = linked_classes(members, wanted, texts, similarity,
+    labels = linked_classes(members, wanted, texts_of, similarity,
                             lambda t: bag(known.of(words(t))), linked)
     if labels is None:
         named = nodes.withColumn("label", F.col("node"))

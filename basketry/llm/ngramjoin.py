@@ -150,18 +150,18 @@ def jaccard_components(docs: DataFrame, similarity: float = SIMILARITY, id_col:
     columns = reps.select(F.explode("prefix").alias("bucket"), "node")
     shared = columns.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = columns.join(shared, "bucket").select("bucket", "node", "n").checkpoint(eager=True)
-    nodes = (reps.join(members.select("node").distinct(), "node", "left_semi")
-             .withColumn("n_prefix", F.size("prefix")).drop("prefix").checkpoint(eager=True))
-    texts = linking.node_texts(
-        docs, nodes.select("node", F.col("id").alias("rep_id"), F.col("raw").alias("rep_raw")),
-        id_col, text_col).checkpoint(eager=True)
+    nodes = (reps.withColumn("n_prefix", F.size("prefix")).drop("prefix")
+             .join(members.select("node").distinct(), "node", "left_semi").checkpoint(eager=True))
+    named_by = nodes.select("node", F.col("id").alias("rep_id"), F.col("raw").alias("rep_raw"))
+    texts_of = lambda some: linking.node_texts(
+        docs, named_by.join(some, "node", "left_semi"), id_col, text_col).checkpoint(eager=True)
     known = WordHashes()
 
     def linked(a, b) -> bool:
         inter = len(np.intersect1d(a, b, assume_unique=True))
         return ratio.holds(inter, len(a) + len(b))
 
-    labels = linking.linked_classes(members, nodes, texts, similarity,
+    labels = linking.linked_classes(members, nodes, texts_of, similarity,
                                     lambda t: shingles(t, known), linked,
                                     _accumulated(nodes, ratio))
     if labels is None:

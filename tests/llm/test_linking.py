@@ -159,7 +159,7 @@ def test_every_pair_of_a_bucket_is_settled_with_few_checks(spark, monkeypatch):
         checked.add(1)
         return ratio.holds(len(np.intersect1d(a, b)), len(a) + len(b))
 
-    labels = linking.linked_classes(members, nodes, texts, 0.85,
+    labels = linking.linked_classes(members, nodes, lambda some: texts.join(some, "node"), 0.85,
                                     lambda t: ngramjoin.shingles(t, WordHashes()), linked)
     got = {r.node: r.label for r in labels.collect()}
     want = {doc: c for doc, _, c in components(list(enumerate(made)))}
