@@ -32,6 +32,8 @@ from basketry.llm.texts import as_bytes, chunks, mixed
 
 BITS = 1024
 BLOCK = 512
+# Buckets of so many members at most are paired by size alone, and their pairs bounded after.
+SMALL = 32
 PER_SALT = 256
 PART_BYTES = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -178,8 +180,10 @@ def _block_pairs(ratio: Ratio):
 
     def columns(batch):
         whole = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(5)]
-        flat = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.uint64)
-        return [*whole, flat.reshape(batch.num_rows, -1)]
+        maps = batch.column(5).to_pylist()
+        wide = BITS // 64 if maps[0] is not None else 0
+        flat = np.frombuffer(b"".join(maps) if wide else b"", np.uint64)
+        return [*whole, flat.reshape(batch.num_rows, wide)]
 
     def run(batches):
         held = None
@@ -199,8 +203,10 @@ def _block_pairs(ratio: Ratio):
     return run
 
 
-def _dealt(members: DataFrame, labels: DataFrame | None, nodes: DataFrame) -> DataFrame:
-    """(key, node, label, side, size, bits) rows of the blocks of buckets with several classes."""
+def _dealt(members: DataFrame, labels: DataFrame | None,
+           nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, node, label, side, size, bits) rows of the blocks of buckets with several classes:
+    those of small buckets, with null bits, and those of the others."""
     if labels is None:
         named = members.withColumn("label", F.col("node"))
     else:
@@ -234,11 +240,18 @@ def _dealt(members: DataFrame, labels: DataFrame | None, nodes: DataFrame) -> Da
              .withColumn("at", F.explode(F.when(F.col("is_top"), of_top).otherwise(of_rest)))
              .select(F.xxhash64("bucket", "at.kind", "at.i", "at.j").alias("key"), "node", "label",
                      F.col("at.side").alias("side")))
-    whole = named.filter(F.col("n") <= BLOCK).select(
-        F.xxhash64("bucket").alias("key"), "node", "label", F.lit(2).alias("side"))
-    return (whole.unionByName(split).join(nodes.select("node", "size", "bits"), "node")
-            .select("key", "node", "label", "side", F.col("size").cast("long"), "bits")
-            .repartition("key").sortWithinPartitions("key"))
+    def whole(least: int, most: int) -> DataFrame:
+        return named.filter((F.col("n") > least) & (F.col("n") <= most)).select(
+            F.xxhash64("bucket").alias("key"), "node", "label", F.lit(2).alias("side"))
+
+    def with_sizes(rows: DataFrame, bits: Column) -> DataFrame:
+        sized = nodes.select("node", F.col("size").cast("long").alias("size"), bits.alias("bits"))
+        return (rows.join(sized, "node").select("key", "node", "label", "side", "size", "bits")
+                .repartition("key").sortWithinPartitions("key"))
+
+    small = min(SMALL, BLOCK)
+    return (with_sizes(whole(0, small), F.lit(None).cast("binary")),
+            with_sizes(whole(small, BLOCK).unionByName(split), F.col("bits")))
 
 
 def linked_classes(members: DataFrame, nodes: DataFrame, texts_of: Callable, similarity: float,
@@ -258,18 +271,24 @@ def linked_classes(members: DataFrame, nodes: DataFrame, texts_of: Callable, sim
         F.max(F.struct("degree", "node"))["node"].alias("pivot"))
     side = lambda c: nodes.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"),
                                   F.col("bits").alias(f"bits_{c}"))
+
+    def bounded(pairs: DataFrame) -> DataFrame:
+        return (pairs.join(side("b"), "b").join(side("a"), "a")
+                .select("a", "b", F.col("size_a").cast("long"), F.col("size_b").cast("long"),
+                        "bits_a", "bits_b").mapInArrow(_possible(ratio), "a long, b long"))
+
     stars = (members.join(pivots, "bucket").filter("node != pivot")
-             .select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-             .join(side("b"), "b").join(side("a"), "a")
-             .select("a", "b", F.col("size_a").cast("long"), F.col("size_b").cast("long"), "bits_a",
-                     "bits_b").mapInArrow(_possible(ratio), "a long, b long"))
+             .select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
+    stars = bounded(stars)
     # (p, x) and (x, p) may both come, where each is a pivot: once is enough.
     stars = stars.groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(
         F.max("a").alias("a")).select("a", (F.col("lo") + F.col("hi") - F.col("a")).alias("b"))
     edges = linked_pairs(stars, texts_of, row_of, linked).checkpoint(eager=True)
     labels = None if edges.isEmpty() else classes(edges)
-    rest = _dealt(members, labels, nodes).mapInArrow(_block_pairs(ratio), "a long, b long")
-    rest = rest.distinct() if accumulate is None else accumulate(rest)
+    small, large = (rows.mapInArrow(_block_pairs(ratio), "a long, b long")
+                    for rows in _dealt(members, labels, nodes))
+    rest = small.unionByName(large)
+    rest = bounded(rest.distinct() if accumulate is None else accumulate(rest))
     more = linked_pairs(rest, texts_of, row_of, linked).checkpoint(eager=True)
     if more.isEmpty():
         return labels
