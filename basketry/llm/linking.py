@@ -32,8 +32,9 @@ from basketry.llm.texts import as_bytes, chunks, mixed
 
 BITS = 1024
 BLOCK = 512
-# Buckets of so many members at most are paired by size alone, and their pairs bounded after.
-SMALL = 32
+# With ``accumulate``, buckets of so many members at most are paired by size alone, as its
+# bounds leave few of their pairs; the parity maps come after.
+SMALL = 8
 PER_SALT = 256
 PART_BYTES = 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -203,8 +204,8 @@ def _block_pairs(ratio: Ratio):
     return run
 
 
-def _dealt(members: DataFrame, labels: DataFrame | None,
-           nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _dealt(members: DataFrame, labels: DataFrame | None, nodes: DataFrame,
+           small: int) -> tuple[DataFrame, DataFrame]:
     """(key, node, label, side, size, bits) rows of the blocks of buckets with several classes:
     those of small buckets, with null bits, and those of the others."""
     if labels is None:
@@ -249,7 +250,6 @@ def _dealt(members: DataFrame, labels: DataFrame | None,
         return (rows.join(sized, "node").select("key", "node", "label", "side", "size", "bits")
                 .repartition("key").sortWithinPartitions("key"))
 
-    small = min(SMALL, BLOCK)
     return (with_sizes(whole(0, small), F.lit(None).cast("binary")),
             with_sizes(whole(small, BLOCK).unionByName(split), F.col("bits")))
 
@@ -285,10 +285,12 @@ def linked_classes(members: DataFrame, nodes: DataFrame, texts_of: Callable, sim
         F.max("a").alias("a")).select("a", (F.col("lo") + F.col("hi") - F.col("a")).alias("b"))
     edges = linked_pairs(stars, texts_of, row_of, linked).checkpoint(eager=True)
     labels = None if edges.isEmpty() else classes(edges)
-    small, large = (rows.mapInArrow(_block_pairs(ratio), "a long, b long")
-                    for rows in _dealt(members, labels, nodes))
-    rest = small.unionByName(large)
-    rest = bounded(rest.distinct() if accumulate is None else accumulate(rest))
+    small, large = (rows.mapInArrow(_block_pairs(ratio), "a long, b long") for rows in _dealt(
+        members, labels, nodes, min(SMALL, BLOCK) if accumulate else 0))
+    if accumulate is None:
+        rest = large.distinct()
+    else:
+        rest = bounded(accumulate(small.unionByName(large)))
     more = linked_pairs(rest, texts_of, row_of, linked).checkpoint(eager=True)
     if more.isEmpty():
         return labels
