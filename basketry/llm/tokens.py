@@ -1,30 +1,41 @@
 """Token counts: Arrow batches in, lengths out.
 
-Each record batch is cut into encoder batches of about equal bytes; a text
-above the limit is split first, only where the pre-tokenizer starts a new
-token whatever stands around: before a space or line feed that follows a
-letter or digit, else between an ASCII letter and a digit. A text without such
-a place stays whole. Special strings hold neither, so none is cut. Only counts
+Each record batch is taken in chunks of about equal bytes. Their texts are
+split at safe boundaries, where the pre-tokenizer starts a new token whatever
+stands around: before a space or line feed that follows a letter, digit or
+ASCII mark, before a closing mark that follows a letter or digit, and in what is
+still above the limit between an ASCII letter and a digit too. Parts encode independently, so equal parts have equal counts: every distinct one is
+encoded once, in encoder batches of about equal bytes, and its count is
+remembered in the worker within a fixed memory. A text without a safe boundary
+stays whole, and all texts do where a special string holds one. Only counts
 leave the encoder.
 
 Null text counts as empty: 0 bytes, 0 tokens. One result row per input row, so
-repeated rows and repeated or null ids are kept; other columns are ignored.
+repeated rows and repeated or null ids are kept; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterable
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from basketry.llm.texts import chunks
 
 TOKENIZER = "byte_bpe_50k.json"
 ENCODE_BYTES = 1 << 18
+# Memory of the counts a worker remembers; a part costs its bytes and about this much more.
+KEPT_BYTES = 96 << 20
+PART_COST = 180
 
+_WORD = re.compile(r'(?=[ \n,.;:!?)"])(?:(?<=[!-~])(?=[ \n])|(?<=[^\W_]))')
 _SAFE = re.compile(r"(?<=[^\W_])(?=[ \n])|(?<=[A-Za-z])(?=[0-9])")
 
 
@@ -56,48 +67,65 @@ def safe_pieces(text: str, limit: int) -> list[str]:
     return parts
 
 
-def _lengths(texts: list[str], tok, limit: int) -> np.ndarray:
-    """Token count of every text, encoded in batches of about ``limit`` characters."""
-    counts = np.zeros(len(texts), np.int64)
-    batch, owner, held = [], [], 0
+class PartCounts(dict):
+    """Token counts of text parts, forgotten all at once when they fill their memory."""
+
+    def __init__(self, tok):
+        super().__init__()
+        self.tok, self.used = tok, 0
+        special = [a.content for a in tok.get_added_tokens_decoder().values()]
+        self.whole = any(_WORD.search(s) or _SAFE.search(s) for s in special)
+
+    def of(self, texts: list[str], limit: int) -> list[int]:
+        """Token count of every text, encoded in batches of about ``limit`` bytes."""
+        split = [[t] if self.whole else _WORD.split(t) for t in texts]
+        self._encode((p for p in set().union(*split) if p not in self), limit)
+        counts = [sum(map(self.__getitem__, parts)) for parts in split]
+        if self.used > KEPT_BYTES:
+            self.clear()
+            self.used = 0
+        return counts
+
+    def _encode(self, fresh: Iterable[str], limit: int) -> None:
+        batch, owner, held = [], [], 0
+        for part in fresh:
+            self[part] = 0
+            for piece in (safe_pieces(part, limit) if len(part) > limit and not self.whole
+                          else (part,)):
+                batch.append(piece)
+                owner.append(part)
+                size = len(piece) if piece.isascii() else len(piece.encode("utf-8", "replace"))
+                held += size
+                self.used += size + PART_COST
+                if held >= limit:
+                    self._flush(batch, owner)
+                    batch, owner, held = [], [], 0
+        self._flush(batch, owner)
+
+    def _flush(self, batch: list[str], owner: list[str]) -> None:
+        for part, enc in zip(owner, self.tok.encode_batch_fast(batch, add_special_tokens=False)):
+            self[part] += len(enc)
 
-    def flush():
-        for row, enc in zip(owner, tok.encode_batch_fast(batch, add_special_tokens=False)):
-            counts[row] += len(enc)
-        batch.clear()
-        owner.clear()
 
-    for row, text in enumerate(texts):
-        for part in safe_pieces(text, limit) if len(text) > limit else (text,):
-            batch.append(part)
-            owner.append(row)
-            held += len(part)
-            if held >= limit:
-                flush()
-                held = 0
-    if batch:
-        flush()
-    return counts
+@lru_cache(maxsize=2)
+def _part_counts(path: str) -> PartCounts:
+    return PartCounts(_encoder(path))
 
 
 def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  tokenizer: str | None = None, limit: int = ENCODE_BYTES) -> DataFrame:
     """(id, n_bytes, n_tokens) of every row. ``tokenizer``: a path on the executors."""
-    rows = docs.select(id_col, text_col)
-    kind = rows.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches):
-        tok = _encoder(tokenizer or tokenizer_path())
-        for b in batches:
+        known = _part_counts(tokenizer or tokenizer_path())
+        for b in chunks(batches, "t"):
             text = b.column(1)
             size = pc.fill_null(pc.binary_length(text), 0).cast(pa.int64())
-            counts = np.zeros(b.num_rows, np.int64)
-            step = 512  # rows turned to Python strings at once
-            for at in range(0, b.num_rows, step):
-                part = [(t or b"").decode("utf-8", "replace")
-                        for t in text.slice(at, step).cast(pa.binary()).to_pylist()]
-                counts[at:at + len(part)] = _lengths(part, tok, limit)
-            yield pa.RecordBatch.from_arrays([b.column(0), size, pa.array(counts)],
+            counts = known.of([(t or b"").decode("utf-8", "replace")
+                               for t in text.cast(pa.binary()).to_pylist()], limit)
+            yield pa.RecordBatch.from_arrays([b.column(0), size, pa.array(counts, pa.int64())],
                                              [id_col, "n_bytes", "n_tokens"])
 
     return rows.mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, n_tokens long")

@@ -51,6 +51,36 @@ def test_split_boundaries_are_safe(text, limit):
     assert sum((tok.encode(p, add_special_tokens=False).ids for p in parts), []) == whole
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("ab Z09'st\n\t é中²<|endoftext|>.-_,!?):;\"\u0301 \x1c"),
+                        max_size=80), max_size=6), st.integers(1, 40))
+def test_part_counts_match_library(texts, limit):
+    tok = tokens._encoder(tokens.tokenizer_path())
+    known = tokens.PartCounts(tok)
+    whole = [len(tok.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert known.of(texts, limit) == whole
+    assert known.of(texts, limit) == whole  # from what it remembers
+
+
+def test_texts_stay_whole_where_a_special_string_could_be_cut():
+    from tokenizers import AddedToken, Tokenizer
+    tok = Tokenizer.from_file(tokens.tokenizer_path())
+    tok.add_special_tokens([AddedToken("<end of, text>")])
+    texts = ["a <end of, text> b", "no end of, text here"]
+    want = [len(tok.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert tokens.PartCounts(tok).of(texts, 4) == want
+
+
+def test_part_counts_forget_within_their_memory(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_BYTES", 2000)
+    tok = tokens._encoder(tokens.tokenizer_path())
+    known = tokens.PartCounts(tok)
+    for i in range(20):
+        text = " ".join(f"word{j}" for j in range(i * 50, i * 50 + 50))
+        assert known.of([text], 64) == [len(tok.encode(text, add_special_tokens=False).ids)]
+        assert known.used <= 2000
+
+
 # -- 3 license scans ------------------------------------------------------------
 
 def test_license_base_matches_brute_force(spark, texts):
