@@ -1,23 +1,28 @@
 """Language identification with bit-sliced Bloom filters of n-grams.
 
-Training counts, per language, in how many texts each n-gram stands (grams of
-four characters of the lower-cased words with their edges; counted per chunk
-in the tasks, then added up by a shuffle on the gram). A gram enters a
-language's filter when its rate there is at least ``min_rate`` and at least
-``ratio`` times its best rate elsewhere, so common grams of one language keep
-out of the others. ``min_rate`` bounds the filter: rates are shares of the
-language's grams, so no language holds more than 1 / min_rate of them.
-
-The filters of all languages are one table of bit masks, a bit per language
-(bit-sliced): the AND of a gram's slots is the set of all languages that may
-contain it. Per-language popcounts over a text's grams, corrected by each
-filter's false-positive rate, decide; ties go to the language with the lower
-name.
+Training counts, per language, how often each n-gram stands (grams of four
+characters of the lower-cased words with their edges; counted per chunk in the
+tasks, then added up by a shuffle on the gram). Every gram enters the filters of
+all languages that contain it, however rare it is there. Filters have levels:
+the first holds all grams of a language, the next ones those whose rate there is
+at least a share (``ratios``) of the gram's best rate, so a gram that is common in one
+language and a quotation in another weighs more for the first. No level drops
+a gram: in the language of its best rate it is in all of them.
+
+The filters of all languages are one table of bit masks, a bit per level and
+language (bit-sliced): the AND of a gram's slots is the set of all languages
+that may contain it. The table is filled on Spark (``bit_or`` per slot) and has
+BITS_PER_GRAM slots for each gram of the language with most, ``max_slots`` at
+most: beyond that filters get fuller and the correction larger, but every gram
+is still in. Per-language popcounts over a text's grams, corrected by each
+filter's false-positive rate and averaged over the levels, decide; ties go to
+the language with the lower name.
 
 Null text, or text without a letter, is ``und`` with score 0. A text with
 letters but no known gram gets the language most frequent in training, score
 0. Rows without lang or text never train; an empty training set makes every
-row ``und``. One result row per input row; extra columns are ignored.
+row ``und``. One result row per input row; repeated rows repeat, extra columns
+are ignored. Long texts are read whole, a chunk of the batch each.
 """
 
 from __future__ import annotations
@@ -33,10 +38,11 @@ from basketry.llm.texts import as_bytes, chunks, mixed, words
 from basketry.session import checkpoint_root
 
 GRAM = 4
-MIN_RATE = 2e-5
-RATIO = 0.2
+RATIOS = (0.0, 0.2)
 SLOTS = 3
 BITS_PER_GRAM = 12
+# 128 MB for up to 32 languages of two levels.
+MAX_SLOTS = 1 << 24
 UNKNOWN = "und"
 _EDGE = np.uint64(0x20)
 _POWERS = np.array([0x100000001B3 ** i & (1 << 64) - 1 for i in range(GRAM)], np.uint64)
@@ -77,7 +83,8 @@ def gram_counts(labelled: DataFrame, text_col: str = "text", lang_col: str = "la
             for lang, text in zip(b.column(0).to_pylist(), as_bytes(b.column(1))):
                 by_lang.setdefault(lang, []).append(text)
             for lang, texts in by_lang.items():
-                part = np.unique(gram_hashes(b" ".join(texts)), return_counts=True)
+                # A number between two texts: no gram spans both.
+                part = np.unique(gram_hashes(b" 0 ".join(texts)), return_counts=True)
                 held.setdefault(lang, []).append(part)
                 if sum(len(p[0]) for p in held[lang]) > 1 << 20:
                     yield _counts(lang, held.pop(lang))
@@ -98,13 +105,21 @@ def _counts(lang: str, parts) -> pa.RecordBatch:
 
 @dataclass
 class Model:
-    """Bit masks: row = slot, word = 64 languages; plus what the decision needs."""
+    """Bit masks: row = slot, word = 64 bits, bit = level * languages + language; plus
+    what the decision needs."""
 
     languages: list
     masks: np.ndarray
     false_rate: np.ndarray
     prior: int
 
+    @staticmethod
+    def of(languages: list, totals: dict, masks: np.ndarray, levels: int) -> Model:
+        """The model of filled masks; false-positive rates come from their fill."""
+        fill = popcounts(masks, levels * len(languages)) / len(masks)
+        prior = max(range(len(languages)), key=lambda i: (totals[languages[i]], -i))
+        return Model(languages, masks, np.minimum(fill ** SLOTS, 0.99), prior)
+
     def contained(self, grams: np.ndarray) -> np.ndarray:
         """Masks of all languages that (may) contain each gram."""
         out = None
@@ -114,11 +129,10 @@ class Model:
         return out
 
     def counts(self, grams: np.ndarray) -> np.ndarray:
-        """Corrected number of grams per language."""
-        found = self.contained(grams)
-        bits = np.array([np.count_nonzero(found[:, i // 64] >> np.uint64(i % 64) & np.uint64(1))
-                         for i in range(len(self.languages))], float)
-        return np.maximum((bits - len(grams) * self.false_rate) / (1 - self.false_rate), 0)
+        """Corrected number of grams per language, averaged over the levels."""
+        bits = popcounts(self.contained(grams), len(self.false_rate))
+        real = np.maximum((bits - len(grams) * self.false_rate) / (1 - self.false_rate), 0)
+        return real.reshape(-1, len(self.languages)).mean(axis=0)
 
     def decide(self, grams: np.ndarray) -> tuple[int, float, float]:
         """The language, its share of all languages' counts, and of the text's own grams."""
@@ -131,49 +145,75 @@ class Model:
         return best, float(c[best] / c.sum()), float(c[best] / len(grams))
 
 
+def popcounts(masks: np.ndarray, bits: int) -> np.ndarray:
+    """Number of rows with each of the first ``bits`` bits set."""
+    flat = masks.astype("<u8", copy=False).view(np.uint8).reshape(len(masks), -1)
+    return np.array([np.count_nonzero(flat[:, i // 8] & (1 << i % 8)) for i in range(bits)], float)
+
+
 def _slot(grams: np.ndarray, which: int, size: int) -> np.ndarray:
     return (mixed(grams + np.uint64(which * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
             % np.uint64(size)).astype(np.int64)
 
 
+def slot_masks(grams: np.ndarray, bits: np.ndarray, size: int, words: int):
+    """(place, mask): what the grams' bits add to the table; place = slot * words + word."""
+    place = np.concatenate([_slot(grams, s, size) * words + bits // 64 for s in range(SLOTS)])
+    mask = np.tile(np.uint64(1) << (bits % 64).astype(np.uint64), SLOTS)
+    order = np.argsort(place, kind="stable")
+    place, mask = place[order], mask[order]
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    return place[first], np.bitwise_or.reduceat(mask, first) if len(first) else mask
+
+
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
-        min_rate: float = MIN_RATE, ratio: float = RATIO) -> Model | None:
+        ratios: tuple = RATIOS, max_slots: int = MAX_SLOTS) -> Model | None:
     """The filters of all languages; None without labelled text.
 
-    Only grams above ``min_rate`` reach the driver: at most 1 / min_rate per
-    language, however large the corpus.
+    Only the filled table reaches the driver, ``max_slots`` slots at most
+    however large the corpus.
     """
     checkpoint_root(labelled.sparkSession)
     counts = gram_counts(labelled, text_col, lang_col).checkpoint(eager=True)
-    totals = {r["lang"]: r["n"] for r in
-              counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy("lang").collect()}
-    if not totals:
+    found = counts.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("grams")).collect()
+    if not found:
         return None
-    rates = counts.withColumn(
-        "rate", F.col("n") / F.element_at(F.create_map(*[F.lit(x) for kv in totals.items()
-                                                         for x in kv]), F.col("lang")))
+    totals = {r["lang"]: r["n"] for r in sorted(found, key=lambda r: r["lang"])}
+    languages = list(totals)
+    size = min(max(64, BITS_PER_GRAM * max(r["grams"] for r in found)), max_slots)
+    words = (len(ratios) * len(languages) + 63) // 64
+    entries = gram_bits(counts, totals, ratios)
+
+    def run(batches):
+        for b in batches:
+            place, mask = slot_masks(b.column(0).to_numpy().view(np.uint64),
+                                     b.column(1).to_numpy().astype(np.int64), size, words)
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(mask.view(np.int64))],
+                                             ["place", "mask"])
+
+    filled = (entries.mapInArrow(run, "place long, mask long")
+              .groupBy("place").agg(F.expr("bit_or(mask)").alias("mask")).toArrow())
+    masks = np.zeros(size * words, np.uint64)
+    masks[filled.column("place").to_numpy()] = filled.column("mask").to_numpy().view(np.uint64)
+    return Model.of(languages, totals, masks.reshape(size, words), len(ratios))
+
+
+def gram_bits(counts: DataFrame, totals: dict, ratios: tuple) -> DataFrame:
+    """(gram, bit) of every level and language that a gram is in."""
+    number = {lang: i for i, lang in enumerate(totals)}
+    per_lang = {name: F.create_map(*[F.lit(x) for kv in m.items() for x in kv])
+                for name, m in (("total", totals), ("number", number))}
+    rates = counts.select("gram", F.element_at(per_lang["number"], F.col("lang")).alias("number"),
+                          (F.col("n") / F.element_at(per_lang["total"], F.col("lang"))).alias("rate"))
     best = rates.groupBy("gram").agg(F.max("rate").alias("best"),
-                                     F.collect_list(F.struct("lang", "rate")).alias("all"))
-    kept = (best.filter(F.col("best") >= min_rate).select("gram", "best", F.explode("all").alias("x"))
-            .filter((F.col("x.rate") >= min_rate) & (F.col("x.rate") >= F.col("best") * ratio))
-            .select("gram", F.col("x.lang").alias("lang")).toArrow())
-    return build(list(totals), totals, kept.column("gram").to_numpy().view(np.uint64),
-                 np.array(kept.column("lang").to_pylist(), object))
-
-
-def build(languages: list, totals: dict, grams: np.ndarray, langs: np.ndarray) -> Model:
-    """Filters sized for the language with most grams; false-positive rates from their fill."""
-    per = {l: grams[langs == l] for l in languages}
-    size = max(64, BITS_PER_GRAM * max(map(len, per.values())))
-    masks = np.zeros((size, (len(languages) + 63) // 64), np.uint64)
-    fill = np.zeros(len(languages))
-    for i, l in enumerate(languages):
-        for s in range(SLOTS):
-            np.bitwise_or.at(masks[:, i // 64], _slot(per[l], s, size),
-                             np.uint64(1) << np.uint64(i % 64))
-        fill[i] = np.count_nonzero(masks[:, i // 64] >> np.uint64(i % 64) & np.uint64(1)) / size
-    prior = max(range(len(languages)), key=lambda i: (totals[languages[i]], -i))
-    return Model(languages, masks, np.minimum(fill ** SLOTS, 0.99), prior)
+                                     F.collect_list(F.struct("number", "rate")).alias("all"))
+
+    def level(j: int, ratio: float):
+        near = F.filter("all", lambda x: x["rate"] >= F.col("best") * ratio)
+        return F.transform(near, lambda x: x["number"] + j * len(totals))
+
+    levels = [level(j, ratio) for j, ratio in enumerate(ratios)]
+    return best.select("gram", F.explode(F.concat(*levels)).alias("bit"))
 
 
 def judge(texts: list[bytes], model: Model | None) -> list[tuple[str, float]]:
@@ -194,8 +234,8 @@ def _judged(texts: list[bytes], model: Model | None) -> list[tuple[str, float, f
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score) of every row. The model is at most
-    SLOTS-independent BITS_PER_GRAM / min_rate masks, a proven bound."""
+    """(id, lang_pred, score) of every row. The model is ``max_slots`` masks at most, a
+    proven bound."""
     rows = docs.select(id_col, text_col)
     kind = rows.schema[id_col].dataType.simpleString()
     held = rows.sparkSession.sparkContext.broadcast(model)

@@ -290,7 +290,7 @@ def test_language_odd_rows(spark, odd_docs, no_docs):
     train = spark.createDataFrame(
         [("the cat and the dog in the house", "en"), ("der hund und die katze im haus", "de"),
          (None, "en"), ("les chats", None)], "text string, lang string")
-    model = language.fit(train, min_rate=0)
+    model = language.fit(train)
     got = {r.doc_id: r for r in language.predict(odd_docs, model).collect()}
     assert (got[1].lang_pred, got[2].lang_pred, got[8].lang_pred) == ("und",) * 3
     assert got[4].lang_pred == "en" and 0 < got[4].score <= 1
@@ -306,9 +306,65 @@ def test_false_positives_are_corrected():
     import numpy as np
     rng = np.random.default_rng(1)
     grams = rng.integers(0, 1 << 62, 4000).astype(np.uint64)
-    langs = np.array(["big"] * 3900 + ["small"] * 100, object)
-    model = language.build(["big", "small"], {"big": 3900, "small": 100}, grams, langs)
+    place, mask = language.slot_masks(grams, np.repeat([0, 1], [3900, 100]), 12 * 3900, 1)
+    masks = np.zeros((12 * 3900, 1), np.uint64)
+    masks[place, 0] = mask
+    model = language.Model.of(["big", "small"], {"big": 3900, "small": 100}, masks, 1)
     assert model.false_rate[0] > model.false_rate[1]
     strangers = rng.integers(0, 1 << 62, 50_000).astype(np.uint64)
     assert model.counts(strangers)[0] < 0.005 * len(strangers)
     assert (model.contained(grams[3900:])[:, 0] & np.uint64(2) > 0).all()
+
+
+def _gram_places(text):
+    """Grams of a text from the definition: four characters with one word edge at most."""
+    import re
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+",
+                       re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    line = re.sub("[0-9]", " ", f" {' '.join(words)} ")
+    return [line[i:i + 4] for i in range(len(line) - 3) if line[i:i + 4].count(" ") <= 1]
+
+
+def test_masks_hold_every_language_of_every_gram_and_popcounts_decide(spark):
+    import zlib
+    from collections import Counter
+
+    import numpy as np
+    docs = queries.table(spark, SF, "documents")
+    rows = [r for r in docs.select("doc_id", "text", "lang").collect() if r.text is not None]
+    counted = {}
+    for r in rows:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1:
+            counted.setdefault(r.lang, Counter()).update(_gram_places(r.text))
+    names = sorted(counted)
+    rate = {l: {g: n / c.total() for g, n in c.items()} for l, c in counted.items()}
+    every = sorted(set().union(*counted.values()))
+    best = {g: max(rate[l].get(g, 0) for l in names) for g in every}
+    levels = [{l: {g for g in rate[l] if rate[l][g] >= best[g] * r} for l in names}
+              for r in language.RATIOS]
+    model = language.fit(docs.filter(~language.held_out()))
+    assert model.languages == names
+    hashes = {g: h for r in rows for g, h in zip(_gram_places(r.text),
+                                                 language.gram_hashes(r.text.encode()), strict=True)}
+    grams = np.array([hashes[g] for g in every], np.uint64)
+    held = model.contained(grams)
+    extra = 0
+    for j, level in enumerate(levels):
+        for i, l in enumerate(names):
+            bit = j * len(names) + i
+            has = (held[:, bit // 64] >> np.uint64(bit % 64) & np.uint64(1)).astype(bool)
+            want = np.array([g in level[l] for g in every])
+            assert has[want].all()  # no language of a gram is missing
+            extra += (has & ~want).sum()
+    assert extra < 0.02 * len(every) * len(names) * len(levels)
+    # Exact sets in place of the filters decide alike.
+    judged = language.judge([r.text.encode() for r in rows], model)
+    differ = 0
+    for r, (lang, _) in zip(rows, judged):
+        places = _gram_places(r.text)
+        counts = [sum(g in level[l] for level in levels for g in places) for l in names]
+        want = names[int(np.argmax(counts))]
+        if lang not in ("und", want):
+            differ += 1
+            assert counts[names.index(lang)] >= 0.98 * max(counts)
+    assert differ <= 0.01 * len(rows)
