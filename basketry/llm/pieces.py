@@ -5,10 +5,12 @@ non-space; no piece of the vocabulary crosses such a place, so the lattice of
 a text is the chain of its chunks' lattices and each chunk is sampled alone.
 The forward pass sums the weights of all segmentations that end at each
 character of a chunk; it runs once per distinct chunk of a record-batch part,
-for all short chunks together. The backward pass draws the last piece, then the one before
+for all short chunks together, and a worker keeps the lattices of repeated chunks
+within a fixed memory. The backward pass draws the last piece, then the one before
 it, and so on: all chunk occurrences of the part draw together, one vectorised
 step per piece. Draws are hashes of (seed, row key, chunk, step), so
-a row gets the same segmentation wherever and however often it is computed.
+a row gets the same segmentation wherever and however often it is computed; the
+sums they are held against start anew at each node, whatever else is in the part.
 
 The model's scores are merge ranks; a piece of rank r weighs (r + 1) ** -alpha.
 Characters without a piece, and U+2581 itself, become byte pieces, so decoding
@@ -38,6 +40,7 @@ MODEL = "piece_bpe_32k.model"
 PART_BYTES = 1 << 20
 SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
+KEPT_NODES = 1 << 19     # nodes of the lattices a worker keeps, some 30 MB
 SHORT = 24               # characters of a chunk up to which chunks are filtered together
 _CHUNK = re.compile(r" *[^ ]+| +")
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -94,6 +97,8 @@ class Lattices:
         size = np.array(list(map(len, self.bytes_of)))
         self.pool = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self.pool_size, self.pool_start = size, np.cumsum(size) - size
+        self.known: dict[str, int] = {}
+        self.kept = self.filtered([])
 
     def _hash(self, points: np.ndarray) -> np.uint64:
         return (points * self.power[:len(points)][::-1]).sum(dtype=np.uint64)
@@ -119,23 +124,46 @@ class Lattices:
         """(last node of each chunk, node -> first edge, edge arrays cum, prev, piece).
 
         Nodes stand for the places after a chunk's characters; ``prev`` is -1
-        at its start. ``cum`` adds up the edges' probabilities over all nodes.
+        at its start. ``cum`` adds up the probabilities of a node's edges.
         """
         length = np.fromiter(map(len, distinct), np.int64, len(distinct))
         last = np.cumsum(length)
         offset = last - length
-        parts = []
+        first = np.zeros(int(length.sum()) + 1, np.int64)
+        parts = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0),) + (np.zeros(0, np.int64),) * 2]
         short = np.flatnonzero(length <= SHORT)
         short = short[np.argsort(-length[short], kind="stable")]
-        self._short([distinct[i] for i in short], length[short], offset[short], parts)
+        self._short([distinct[i] for i in short], length[short], offset[short], first, parts)
         for i in np.flatnonzero(length > SHORT):
-            parts.append(self._long(distinct[i], int(offset[i])))
-        node, prev, share, piece = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(node, kind="stable")
-        first = np.concatenate([[0], np.cumsum(np.bincount(node, minlength=int(last[-1])))])
-        return last - 1, first, np.cumsum(share[order]), prev[order], piece[order]
-
-    def _short(self, texts, length, offset, parts) -> None:
+            parts.append(self._long(distinct[i], int(offset[i]), first))
+        np.cumsum(first, out=first)
+        node, rank, share, before, which = (np.concatenate(x) for x in zip(*parts))
+        at = first[node] + rank
+        cum, prev, piece = np.empty(len(at)), np.empty(len(at), np.int32), np.empty(len(at), np.int32)
+        cum[at], prev[at], piece[at] = share, before, which
+        return last - 1, first, cum, prev, piece
+
+    def lattices(self, fresh: list[str], repeated: int):
+        """The kept lattices and, numbered on from them, those of ``fresh``, whose first
+        ``repeated`` chunks are kept from now on as far as there is room."""
+        last, first, cum, prev, piece = self.kept
+        new = self.filtered(fresh)
+        nodes = len(first) - 1
+        out = (np.concatenate([last, new[0] + nodes]),
+               np.concatenate([first[:-1], new[1] + len(cum)]), np.concatenate([cum, new[2]]),
+               np.concatenate([prev, np.where(new[3] < 0, np.int32(-1), new[3] + np.int32(nodes))]),
+               np.concatenate([piece, new[4]]))
+        room = int(np.searchsorted(new[0], KEPT_NODES - nodes))
+        if keep := min(repeated, room):
+            self.known.update(zip(fresh[:keep], range(len(last), len(last) + keep)))
+            ends = len(last) + keep
+            stop = int(out[0][ends - 1]) + 1
+            edges = int(out[1][stop])
+            self.kept = (out[0][:ends].copy(), out[1][:stop + 1].copy(),
+                         *(x[:edges].copy() for x in out[2:]))
+        return out
+
+    def _short(self, texts, length, offset, degrees, parts) -> None:
         """Forward filter of chunks sorted by falling length, all at once."""
         if not texts:
             return
@@ -147,6 +175,7 @@ class Lattices:
         for e in range(1, wide + 1):
             k = int(np.searchsorted(-length, -e, side="right"))
             h, total, found = np.zeros(k, np.uint64), np.zeros(k), []
+            degree = np.zeros(k, np.int64)
             for d in range(1, min(self.longest, e) + 1):
                 b = e - d
                 h += points[:k, b] * self.power[d - 1]
@@ -155,23 +184,29 @@ class Lattices:
                     continue
                 w = alpha[who, b] * self.piece_weight[at]
                 total[who] += w
-                found.append((who, b, w, self.piece_id[at]))
+                found.append((who, degree[who], b, w, self.piece_id[at]))
+                degree[who] += 1
                 if d == 1:  # a character without a piece of its own
                     bare = np.ones(k, bool)
                     bare[who] = False
                     who = np.flatnonzero(bare)
                     w = alpha[who, b] * self.fallback
                     total[who] += w
-                    found.append((who, b, w, -points[who, b].astype(np.int64)))
+                    found.append((who, degree[who], b, w, -points[who, b].astype(np.int64)))
+                    degree[who] += 1
             alpha[:k, e] = total
-            for who, b, w, piece in found:
-                prev = offset[who] + b - 1 if b else np.full(len(who), -1)
-                parts.append((offset[who] + e - 1, prev, w / total[who], piece))
-
-    def _long(self, chunk: str, offset: int):
+            degrees[offset[:k] + e] = degree
+            cum = np.zeros(k)
+            for who, rank, b, w, piece in found:
+                cum[who] += w / total[who]
+                start = offset[who]
+                parts.append((start + e - 1, rank, cum[who],
+                              start + b - 1 if b else np.full(len(who), -1), piece))
+
+    def _long(self, chunk: str, offset: int, degrees: np.ndarray):
         """Forward filter of one long chunk."""
         get = self.weight.get
-        alpha, node, prev, share, piece = [1.0], [], [], [], []
+        alpha, node, rank, prev, cum, piece = [1.0], [], [], [], [], []
         for e in range(1, len(chunk) + 1):
             edges, total = [], 0.0
             for b in range(max(0, e - self.longest), e):
@@ -181,20 +216,24 @@ class Lattices:
                 if hit is not None:
                     edges.append((b, alpha[b] * hit[0], hit[1]))
                     total += edges[-1][1]
-            for b, w, i in edges:
+            degrees[offset + e] = len(edges)
+            share = 0.0
+            for r, (b, w, i) in enumerate(edges):
                 node.append(offset + e - 1)
+                rank.append(r)
                 prev.append(offset + b - 1 if b else -1)
-                share.append(w / total)
+                share += w / total
+                cum.append(share)
                 piece.append(i)
             alpha.append(total)
             if total < 1e-200:  # only ratios of the last ``longest`` sums are used again
                 for i in range(max(0, e - self.longest), e + 1):
                     alpha[i] *= 1e200
-        return (np.array(node), np.array(prev), np.array(share), np.array(piece))
+        return tuple(map(np.array, (node, rank, cum, prev, piece)))
 
     def sample(self, texts: list[str], keys: list[bytes], seed: int) -> list[np.ndarray]:
         """Sampled piece ids of every text."""
-        number = _Numbers()
+        number = _Numbers(self.known)
         which, counts = [], []
         for t in texts:
             part = _CHUNK.findall(" " + t) if t else []
@@ -202,13 +241,21 @@ class Lattices:
             counts.append(len(part))
         if not which:
             return [np.zeros(0, np.int32) for _ in texts]
-        last, first, cum, prev, piece = self.filtered(list(number))
+        which, old = np.array(which), len(self.known)
+        seen = np.bincount(which, minlength=len(number))[old:]
+        order = np.argsort(-seen, kind="stable")  # the most frequent chunks are kept first
+        place = np.empty_like(order)
+        place[order] = np.arange(old, len(number))
+        new = which >= old
+        which[new] = place[which[new] - old]
+        last, first, cum, prev, piece = self.lattices([number.fresh[i] for i in order],
+                                                      int((seen > 1).sum()))
         width, spelled = self._spelling(piece)
         counts = np.array(counts)
         row_seed = np.array([xxhash.xxh3_64_intdigest(k, seed=seed) for k in keys], np.uint64)
         index = np.arange(len(which)) - np.repeat(np.cumsum(counts) - counts, counts)
         draw = mixed(np.repeat(row_seed, counts) + (index.astype(np.uint64) + np.uint64(1)) * _STEP)
-        at = last[np.array(which)]
+        at = last[which]
         active = np.arange(len(at))
         total = np.zeros(len(at), np.int64)
         steps = []
@@ -218,10 +265,11 @@ class Lattices:
             u = (mixed(draw[active] + np.uint64(turn * int(_STEP) & (1 << 64) - 1))
                  >> np.uint64(11)).astype(float) * 2.0 ** -53
             node = at[active]
-            before = np.where(first[node] > 0, cum[first[node] - 1], 0.0)
-            edge = np.searchsorted(cum, before + u, side="right")
-            # Rounding of the sum must not leave the node's own edges.
-            edge = np.clip(edge, first[node], first[node + 1] - 1)
+            edge, end = first[node], first[node + 1] - 1
+            on = np.flatnonzero((u >= cum[edge]) & (edge < end))
+            while len(on):
+                edge[on] += 1
+                on = on[(u[on] >= cum[edge[on]]) & (edge[on] < end[on])]
             steps.append((active, edge))
             total[active] += width[edge]
             at[active] = prev[edge]
@@ -265,10 +313,15 @@ class Lattices:
 
 
 class _Numbers(dict):
-    """Chunks numbered as they come."""
+    """Chunks numbered as they come; known ones keep the number they have."""
+
+    def __init__(self, known: dict):
+        super().__init__(known)
+        self.fresh: list[str] = []
 
     def __missing__(self, chunk: str) -> int:
         self[chunk] = n = len(self)
+        self.fresh.append(chunk)
         return n
 
 

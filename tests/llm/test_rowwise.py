@@ -273,6 +273,24 @@ def test_pieces_follow_the_lattice_distribution():
         assert abs(drawn[path] / n - p) < 5 * (p * (1 - p) / n) ** 0.5 + 1e-3
 
 
+def test_pieces_do_not_depend_on_kept_lattices(texts, monkeypatch):
+    import numpy as np
+    rows = sorted((str(k).encode(), r.text or "") for k, r in texts.items())
+    keys, parts = [k for k, _ in rows], [t for _, t in rows]
+    alone = pieces.Lattices(pieces.model_path(), 1.0)
+    want = []
+    for k, t in rows:
+        alone.known, alone.kept = {}, alone.filtered([])
+        want.append(alone.sample([t], [k], 7)[0])
+    for nodes, step in ((1 << 19, 50), (500, 7), (0, len(rows))):
+        monkeypatch.setattr(pieces, "KEPT_NODES", nodes)
+        lat = pieces.Lattices(pieces.model_path(), 1.0)
+        got = [x for i in range(0, len(rows), step) for x in
+               lat.sample(parts[i:i + step], keys[i:i + step], 7)]
+        assert all(map(np.array_equal, got, want))
+        assert len(lat.kept[1]) - 1 <= nodes and len(lat.known) == len(lat.kept[0])
+
+
 # -- 10 language ID -------------------------------------------------------------------
 
 def test_language_accuracy_on_held_out(spark):
