@@ -1,7 +1,9 @@
-"""Join helpers with an explicit size check before broadcasting."""
+"""Join helpers with an explicit size check before broadcasting; a union that keeps its layout."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,3 +23,13 @@ def broadcast_if_small(df: DataFrame, n_rows: int | None = None,
     """
     n = df.count() if n_rows is None else n_rows
     return F.broadcast(df) if n <= max_rows else df
+
+
+def union_on(frames: list[DataFrame], key: str, name: str = "_key") -> DataFrame:
+    """The frames' rows by column name, with ``key`` called ``name``.
+
+    A union of frames that are all partitioned by their key stays partitioned
+    by it only if the key columns are alike, which columns of different tables
+    are not until they are renamed.
+    """
+    return reduce(DataFrame.unionByName, [f.withColumnRenamed(key, name) for f in frames])

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.exprs import discount, r6
+from basketry.functions.joins import union_on
 
 DEFAULT_KS = (5, 10, 20)
 
@@ -43,7 +44,7 @@ def per_user_metrics(predictions: DataFrame, truth: DataFrame, ks=DEFAULT_KS) ->
                                F.lit(0).alias("rel")))
     rel = truth.select("user_id", "product_id", F.lit(None).cast("bigint").alias("rank"),
                        F.lit(1).alias("rel"))
-    merged = (recs.unionByName(rel).groupBy("user_id", "product_id")
+    merged = (union_on([recs, rel], "user_id").groupBy("_key", "product_id")
                   .agg(F.min("rank").alias("rank"), F.max("rel").alias("rel")))
     hit = F.col("rel") == 1
     aggs = [F.sum("rel").cast("bigint").alias("n_rel")]
@@ -52,12 +53,12 @@ def per_user_metrics(predictions: DataFrame, truth: DataFrame, ks=DEFAULT_KS) ->
         aggs += [F.sum(F.when(in_k, discount(F.col("rank")))).alias(f"dcg_{k}"),
                  F.count(F.when(in_k, F.lit(1))).cast("bigint").alias(f"hit_{k}"),
                  F.min(F.when(in_k, F.col("rank"))).alias(f"first_{k}")]
-    per_user = merged.groupBy("user_id").agg(*aggs).filter(F.col("n_rel") > 0)
+    per_user = merged.groupBy("_key").agg(*aggs).filter(F.col("n_rel") > 0)
     per_k = F.array(*[F.struct(F.lit(k).cast("bigint").alias("k"),
                                F.col(f"dcg_{k}").alias("dcg"),
                                F.col(f"hit_{k}").alias("n_hit"),
                                F.col(f"first_{k}").alias("first_hit")) for k in ks])
-    rows = per_user.select("user_id", "n_rel", F.inline(per_k))
+    rows = per_user.select(F.col("_key").alias("user_id"), "n_rel", F.inline(per_k))
 
     ideal = F.aggregate(F.sequence(F.lit(1).cast("bigint"), F.least(F.col("n_rel"), F.col("k"))),
                         F.lit(0.0), lambda acc, i: acc + discount(i))

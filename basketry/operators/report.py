@@ -4,9 +4,8 @@ Curves first group their input to distinct (value, count) rows, checkpointed,
 so an expensive input is read once; the few numbers they need of it (min, max,
 n, variance) are one aggregate row. Histograms fill empty bins from
 ``spark.range(bins)``. Kernel densities add up a grid per task, vectorised,
-and sum the tasks' grids. The exact median ranks values with
-``position_in_groups`` (range-partitioned sort), so no single task holds all
-values. The user report unions predictions, train and truth rows and shuffles
+and sum the tasks' grids. The exact median is selected by value bits in a few
+aggregates, so no row is sorted or moved. The user report unions predictions, train and truth rows and shuffles
 them once.
 """
 
@@ -20,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.exprs import equal_width_bin, r6, round_half_up
-from basketry.functions.ranking import position_in_groups
+from basketry.functions.joins import union_on
 from basketry.session import checkpoint_root
 
 METRICS = ("ndcg", "mrr", "recall", "precision")
@@ -99,16 +98,62 @@ def kde_curve(df: DataFrame, col: str, points: int = 300, bandwidth: float = 0.3
             .select("point", r6("x").alias("x"), r6(F.col("mass") / F.lit(norm)).alias("density")))
 
 
-def exact_median(df: DataFrame, col: str, tie: str) -> DataFrame:
-    """One row ``median`` — mean of the middle value(s) by ``(col, tie)`` order."""
-    values = df.select(F.col(col).cast("double").alias("v"), F.col(tie)).filter(
-        F.col("v").isNotNull())
-    ranked = position_in_groups(values, [], ["v", tie], "pos")
-    n = values.select(F.count(F.lit(1))).scalar()
-    lo_pos = F.floor((n + 1) / 2)
-    hi_pos = F.ceil((n + 1) / 2)
-    mid = ranked.filter((F.col("pos") == lo_pos) | (F.col("pos") == hi_pos))
-    return mid.agg(F.avg("v").alias("median"))
+_DIGIT = 4096   # bins of a selection pass
+
+
+def _exponent(v):
+    """Sign and binary exponent of a double as one number that never falls as ``v`` rises."""
+    size = F.floor(F.log2(F.abs(v))).cast("bigint") + 1100
+    inf = F.lit(float("inf"))
+    return (F.when(v == 0, 0).when(F.isnan(v), 4000).when(v == inf, 3000).when(v == -inf, -3000)
+             .when(v > 0, size).otherwise(-size))
+
+
+def _select(values: DataFrame, rank: int) -> tuple[float, int]:
+    """The value ``v`` at 1-based ``rank`` and the number of values up to it.
+
+    First the values are counted by sign and exponent, then by twelve bits of
+    what is left, always within the group that holds the rank: at most some
+    4,200 counts a pass, five or six passes, and no row moves. Floating
+    subtraction and division never change an order, so groups are ranges.
+    """
+    v, inside, before = F.col("v"), values, 0
+    bin_of = _exponent(v)
+    while True:
+        counts = (inside.groupBy(bin_of.alias("bin"))
+                  .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+                  .orderBy("bin").collect())
+        for c in counts:
+            if before + c["n"] >= rank:
+                break
+            before += c["n"]
+        lo, hi = c["lo"], c["hi"]
+        if lo == hi or lo != lo:
+            return lo, before + c["n"]
+        width = (hi - lo) / _DIGIT
+        inside = values.filter(v.between(F.lit(lo), F.lit(hi)))
+        # A width of zero: the range holds fewer doubles than a pass has bins.
+        bin_of = F.least(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(_DIGIT)) if width else v
+
+
+def exact_median(df: DataFrame, col: str, tie: str | None = None) -> DataFrame:
+    """One row ``median`` — mean of the middle value(s), NULL without any; NaN is the greatest.
+
+    The values are written once and selected, not sorted; ``tie`` (an order
+    among equal values) makes no difference and is kept for callers.
+    """
+    checkpoint_root(df.sparkSession)
+    return _median_row(df.select(F.col(col).cast("double").alias("v")).checkpoint(eager=True))
+
+
+def _median_row(values: DataFrame) -> DataFrame:
+    values = values.filter(F.col("v").isNotNull())
+    n, median = values.count(), None
+    if n:
+        median, upto = _select(values, (n + 1) // 2)
+        if upto < n // 2 + 1:   # the other middle value is the next greater one
+            median = (median + values.filter(F.col("v") > F.lit(median)).agg(F.min("v")).first()[0]) / 2
+    return values.sparkSession.range(1).select(F.lit(median).cast("double").alias("median"))
 
 
 # ------------------------------------------------------ inference report --
@@ -177,7 +222,7 @@ def ndcg_stats(per_user_ndcg: DataFrame) -> DataFrame:
     """n, mean and exact median of the per-user NDCG (input read once)."""
     checkpoint_root(per_user_ndcg.sparkSession)
     vals = per_user_ndcg.select("user_id", "ndcg").checkpoint(eager=True)
-    med = exact_median(vals, "ndcg", "user_id")
+    med = _median_row(vals.select(F.col("ndcg").cast("double").alias("v")))
     agg = vals.agg(F.count(F.lit(1)).cast("bigint").alias("n_users"),
                    F.avg("ndcg").alias("mean"))
     return agg.select("n_users", r6("mean").alias("mean"),
@@ -227,17 +272,18 @@ def user_report(predictions: DataFrame, train: DataFrame, truth: DataFrame) -> D
                          F.lit(is_truth).alias("is_truth"))
 
     none = F.lit(None)
-    rows = (tagged(predictions, F.col("rank"), F.col("score"), 0, 0)
-            .unionByName(tagged(train, none, none, 1, 0))
-            .unionByName(tagged(truth.select("user_id", "product_id").distinct(), none, none, 0, 1)))
-    user, pair = Window.partitionBy("user_id"), Window.partitionBy("user_id", "product_id")
+    rows = union_on([tagged(predictions, F.col("rank"), F.col("score"), 0, 0),
+                     tagged(train, none, none, 1, 0),
+                     tagged(truth.select("user_id", "product_id").distinct(), none, none, 0, 1)],
+                    "user_id")
+    user, pair = Window.partitionBy("_key"), Window.partitionBy("_key", "product_id")
     rows = (rows.withColumn("is_hit", F.max("is_truth").over(pair))
             .withColumns({"n_train_items": F.sum("is_train").over(user),
                           "n_truth": F.sum("is_truth").over(user),
                           "hits": F.sum(F.when(F.col("rank").isNotNull(), F.col("is_hit"))
                                         .otherwise(0)).over(user)}))
     return rows.filter(F.col("rank").isNotNull()).select(
-        "user_id", "rank", "product_id", round_half_up("score", 4).alias("score"),
+        F.col("_key").alias("user_id"), "rank", "product_id", round_half_up("score", 4).alias("score"),
         *[F.col(c).cast("bigint").alias(c) for c in ("n_train_items", "n_truth", "is_hit", "hits")])
 
 

@@ -14,8 +14,10 @@
   antecedent items are in the basket, i.e. the basket ⋈ rule-index count per
   (basket, rule) equals the antecedent size. Rules carry an integer number
   inside; their tables are broadcast only after their row count is checked.
-  Every shuffle is on (basket, product) or (basket, rule) after a partial
-  aggregate, so one hot basket spreads over tasks.
+  Every shuffle is on (basket, product) or (basket, antecedent) after a partial
+  aggregate, so one hot basket spreads over tasks. Scoring counts antecedents,
+  not rules: one of a single item needs no count, and the weights of rules
+  with the same antecedent are added up once per model.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.ml.fpm import FPGrowth, PrefixSpan
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.functions.joins import broadcast_if_small
+from basketry.functions.joins import broadcast_if_small, union_on
 from basketry.operators.bitmaps import bitmap_itemsets
 from basketry.operators.encode import load_params, save_params
 from basketry.schema import ITEMSET_SCHEMA, RULE_SCHEMA, require_columns
@@ -153,6 +155,21 @@ def association_rules(itemsets: DataFrame, min_confidence: float, min_lift: floa
                         "support", "confidence", "lift")
 
 
+@dataclass
+class ScoringWeights:
+    """One row per antecedent, written once: (rule_no, antecedent, products of (scored, hi, lo)).
+
+    ``hi`` and ``lo`` are a product's summed weight in whole millionths and in
+    10^-12 of the rest, so that scores add up exactly in two long sums. The
+    counts are the rows of the three tables that scoring joins.
+    """
+
+    table: DataFrame
+    n_single: int   # (item, product) rows of antecedents of one item
+    n_index: int    # item rows of longer antecedents
+    n_many: int     # product rows of longer antecedents
+
+
 @dataclass
 class RuleModel:
     """Fitted itemsets and rules (checkpointed tables) plus their sizes."""
@@ -164,6 +181,7 @@ class RuleModel:
     n_rules: int
     params: RuleParams
     _numbered: DataFrame | None = None
+    _weights: ScoringWeights | None = None
 
     @classmethod
     def fit(cls, train: DataFrame, params: RuleParams = RuleParams(),
@@ -207,7 +225,9 @@ class RuleModel:
         return fired_rules(history, self.numbered(), key)
 
     def scores(self, history: DataFrame, key: str = "user_id") -> DataFrame:
-        return rule_scores(history, self.numbered(), key, self.params.weight)
+        if self._weights is None:
+            self._weights = scoring_weights(self.rules, self.params.weight)
+        return rule_scores(history, self.rules, key, self.params.weight, self._weights)
 
     def recommend(self, history: DataFrame, n: int = 10, key: str = "user_id") -> DataFrame:
         """Top-``n`` per basket of ``history`` lines (key, product_id)."""
@@ -249,16 +269,17 @@ def _owned(history: DataFrame, key: str) -> DataFrame:
     return history.select(key, "product_id").distinct()
 
 
-def _fired(owned: DataFrame, rules: DataFrame, key: str) -> DataFrame:
-    """(key, rule_no, ant_size, confidence) of the rules whose antecedent a basket holds."""
+def _fired(owned: DataFrame, rules: DataFrame, key: str, n_index: int | None = None,
+           carried: tuple[str, ...] = ("confidence",)) -> DataFrame:
+    """(key, rule_no, ant_size, *carried) of the rules whose antecedent a basket holds."""
     index = broadcast_if_small(rules.select(
         F.explode("antecedent").alias("item"), "rule_no", F.size("antecedent").alias("ant_size"),
-        "confidence"))
+        *carried), n_index)
     hits = owned.join(index, owned.product_id == index.item)
     # Size and confidence hang on the rule: they ride along instead of being group keys.
     return (hits.groupBy(key, "rule_no")
                 .agg(F.count(F.lit(1)).alias("n_present"), F.max("ant_size").alias("ant_size"),
-                     F.max("confidence").alias("confidence"))
+                     *[F.max(c).alias(c) for c in carried])
                 .filter(F.col("n_present") == F.col("ant_size"))
                 .drop("n_present"))
 
@@ -271,33 +292,61 @@ def fired_rules(history: DataFrame, rules: DataFrame, key: str = "user_id") -> D
             .select(key, "rule_id", F.col("ant_size").cast("bigint").alias("ant_size"), "confidence"))
 
 
+def scoring_weights(rules: DataFrame, weight: str = "antecedent_size") -> ScoringWeights:
+    """What every antecedent adds to every product, summed over its rules."""
+    if weight not in ("antecedent_size", "once"):
+        raise ValueError(f"unknown weight {weight!r}")
+    checkpoint_root(rules.sparkSession)
+    mult = F.size("antecedent") if weight == "antecedent_size" else F.lit(1)
+    added = (rules.select("antecedent", F.explode("consequent").alias("scored"),
+                          (F.col("confidence").cast(SCORE_DECIMAL) * mult).alias("w"))
+             .groupBy("antecedent", "scored").agg(F.sum("w").alias("w"))
+             .withColumn("hi", F.floor(F.col("w") * 1_000_000).cast("bigint")))
+    rest = F.col("w") * 1_000_000 - F.col("hi")
+    table = (added.withColumn("lo", (rest * 1_000_000).cast("bigint")).groupBy("antecedent")
+             .agg(F.collect_list(F.struct("scored", "hi", "lo")).alias("products"))
+             .withColumn("rule_no", F.monotonically_increasing_id()).checkpoint(eager=True))
+    one = F.size("antecedent") == 1
+    rows = lambda cond, col: F.coalesce(F.sum(F.when(cond, F.size(col))), F.lit(0))
+    return ScoringWeights(table, *table.agg(rows(one, "products"), rows(~one, "antecedent"),
+                                            rows(~one, "products")).first())
+
+
 def rule_scores(history: DataFrame, rules: DataFrame, key: str = "user_id",
-                weight: str = "antecedent_size") -> DataFrame:
+                weight: str = "antecedent_size",
+                weights: ScoringWeights | None = None) -> DataFrame:
     """(key, product_id, score) — summed confidences of fired rules per
     consequent item not already in the basket.
 
     ``weight="antecedent_size"`` adds a rule once per antecedent item (its
     confidence × antecedent size); ``"once"`` adds it once. Sums are exact
-    decimals (DECIMAL(38,12)), so the order of addition cannot change ties.
+    (DECIMAL(38,12)), so the order of addition cannot change ties.
     Owned items are removed by aggregating candidates together with the
     basket's own rows (``max(owned) = 0``) rather than by an anti-join.
+    ``weights`` are those of ``rules`` where they are at hand already.
     """
-    if weight not in ("antecedent_size", "once"):
-        raise ValueError(f"unknown weight {weight!r}")
-    rules = numbered(rules)
+    weights = weights or scoring_weights(rules, weight)
     owned = _owned(history, key)
-    fired = _fired(owned, rules, key)
-    cons = broadcast_if_small(
-        rules.select("rule_no", F.explode("consequent").alias("product_id")))
-    mult = F.col("ant_size").cast("int") if weight == "antecedent_size" else F.lit(1)
-    cand = fired.join(cons, "rule_no").select(
-        key, "product_id", (F.col("confidence").cast(SCORE_DECIMAL) * mult).alias("w"),
-        F.lit(0).alias("is_owned"))
-    mine = owned.select(key, "product_id", F.lit(None).cast(cand.schema["w"].dataType).alias("w"),
-                        F.lit(1).alias("is_owned"))
-    scored = (cand.unionByName(mine).groupBy(key, "product_id")
-                  .agg(F.sum("w").alias("score"), F.max("is_owned").alias("is_owned")))
-    return scored.filter(F.col("is_owned") == 0).select(key, "product_id", "score")
+    one = F.size("antecedent") == 1
+    single = broadcast_if_small(weights.table.filter(one).select(
+        F.col("antecedent")[0].alias("item"), F.inline("products")), weights.n_single)
+    added = [owned.join(single, owned.product_id == single.item).select(key, "scored", "hi", "lo")]
+    if weights.n_index:
+        longer = weights.table.filter(~one)
+        gains = broadcast_if_small(longer.select("rule_no", F.inline("products")), weights.n_many)
+        fired = _fired(owned, longer.select("rule_no", "antecedent"), key, weights.n_index, ())
+        added.append(fired.join(gains, "rule_no").select(key, "scored", "hi", "lo"))
+    none = F.lit(None).cast("bigint")
+    rows = [a.withColumn("is_owned", F.lit(0)) for a in added]
+    rows.append(owned.select(key, F.col("product_id").alias("scored"), none.alias("hi"),
+                             none.alias("lo"), F.lit(1).alias("is_owned")))
+    scored = (union_on(rows, key).groupBy("_key", F.col("scored").alias("product_id"))
+              .agg(F.sum("hi").alias("hi"), F.sum("lo").alias("lo"),
+                   F.max("is_owned").alias("is_owned"))
+              .filter(F.col("is_owned") == 0))
+    score = F.expr("cast(cast(hi as decimal(19,0)) * 0.000001BD"
+                   " + cast(lo as decimal(19,0)) * 0.000000000001BD as decimal(38,12))")
+    return scored.select(F.col("_key").alias(key), "product_id", score.alias("score"))
 
 
 def top_n(scores: DataFrame, n: int, key: str = "user_id") -> DataFrame:

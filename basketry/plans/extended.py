@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from basketry.functions.exprs import r6
 from basketry.operators import bitmaps as bm
 from basketry.operators import encode as enc
+from basketry.operators import metrics as met
+from basketry.operators import recommender as rec
 from basketry.operators import report as rep
 from basketry.operators import rules as rl
 from basketry.operators import temporal as tm
@@ -20,6 +22,7 @@ from basketry.plans.catalog import (ENCODED_SQL, ORACLE, ORDER_LINES_SQL, QUERIE
 from basketry.plans.fixtures import order_lines, table
 from basketry.schema import REQUIRED_COLUMNS
 from basketry.session import scratch_dir
+from basketry.sources import buckets as bk
 from basketry.sources import readers
 from basketry.streaming import sessions as ses
 
@@ -109,6 +112,43 @@ def q_freq_itemsets_bitmap(spark, sf_dir):
     return found.select("items", "freq", r6("support").alias("support"))
 
 
+@query("eval_udtf", ORACLE["eval_summary"])
+def q_eval_udtf(spark, sf_dir):
+    """The evaluation of a callable that ranks each user's scored products itself."""
+    train = cm.split(spark, sf_dir, "brand").train
+    scores = cm.brand_rules(spark, sf_dir).scores(train)
+    recs = rec.recommend_by(scores, rec.best_scores, max(cm.KS))
+    return met.summary(met.per_user_metrics(recs, cm.truth(spark, sf_dir, "brand"), cm.KS))
+
+
+# ------------------------------------------------------------------ bucketed tables --
+def _bucketed(spark, sf_dir):
+    """Histories, truth and predictions as catalog tables of the same buckets."""
+    def build():
+        s = cm.split(spark, sf_dir, "brand")
+        frames = {"histories": s.train, "truth": cm.truth(spark, sf_dir, "brand"),
+                  "predictions": cm.brand_predictions(spark, sf_dir)}
+        tables = {}
+        for name, df in frames.items():
+            path = scratch_dir(spark, f"bucketed_{name}")
+            tables[name] = bk.write_bucketed(df, path.rsplit("/", 1)[-1].replace("-", "_"), path)
+        return tables
+    return cm._memo(spark, ("bucketed", sf_dir), build)
+
+
+@query("bucketed_rule_recommend", ORACLE["rule_recommend"])
+def q_bucketed_rule_recommend(spark, sf_dir):
+    """Rule recommendations from the bucketed histories."""
+    return cm.brand_rules(spark, sf_dir).recommend(_bucketed(spark, sf_dir)["histories"], cm.TOP_N)
+
+
+@query("bucketed_user_report", ORACLE["user_report"])
+def q_bucketed_user_report(spark, sf_dir):
+    """The user report from bucketed predictions, histories and truth."""
+    t = _bucketed(spark, sf_dir)
+    return rep.user_report(t["predictions"], t["histories"], t["truth"])
+
+
 # ----------------------------------------------------------------- aggregations --
 @query("popularity_rollup", sql.with_(sql.order_lines_sql("part")) + """
 SELECT department_id, aisle_id, product_id,
