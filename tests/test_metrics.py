@@ -4,6 +4,7 @@ import math
 
 import pytest
 
+from basketry.operators import metrics as met_module
 from basketry.operators.metrics import per_user_metrics, summary
 
 
@@ -66,3 +67,16 @@ def test_matches_mllib_ranking_metrics(spark):
         assert ours[k]["ndcg"] == pytest.approx(rm.ndcgAt(k), abs=1e-6)
         assert ours[k]["precision"] == pytest.approx(rm.precisionAt(k), abs=1e-6)
         assert ours[k]["recall"] == pytest.approx(rm.recallAt(k), abs=1e-6)
+
+
+def test_much_truth_is_dealt_by_user(spark, monkeypatch):
+    recs = spark.createDataFrame([(u, k + 1, (u + k) % 9, 1.0) for u in range(30) for k in range(6)],
+                                 "user_id bigint, rank bigint, product_id bigint, score double")
+    truth = spark.createDataFrame([(u, p) for u in range(35) for p in range(3)],
+                                  "user_id bigint, product_id bigint")
+    want = met_module.per_user_metrics(recs, truth).collect()
+    monkeypatch.setattr(met_module, "TRUTH_PER_PART", 2)
+    got = met_module.per_user_metrics(recs, truth)
+    assert sorted(got.collect()) == sorted(want)
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "hashpartitioning(user_id" in plan and "hashpartitioning(_key" not in plan

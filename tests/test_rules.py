@@ -2,6 +2,7 @@
 
 import pytest
 
+from basketry.operators import rules as rules_module
 from basketry.operators.prepare import train_test_split
 from basketry.operators.rules import RuleModel, RuleParams, fired_rules, min_count, rule_scores, top_n
 from basketry.plans.common import BRAND_RULES
@@ -157,3 +158,20 @@ def test_hot_basket_spreads_over_tasks(spark):
         spark.conf.set(key, before)
     assert sum(shares) == 80 and max(shares) <= 40
     assert "REPARTITION" not in rule_scores(lines, rules)._jdf.queryExecution().toString()
+
+
+def test_scoring_of_many_lines_is_dealt_by_basket(spark, monkeypatch):
+    """More lines: more partitions, no exchange after the deal, the same lists."""
+    history = spark.createDataFrame([(u, p) for u in range(40) for p in range(u % 7, 12)],
+                                    "user_id bigint, product_id bigint")
+    model = rules_module.RuleModel.fit(history, rules_module.RuleParams(0.3, 0.4))
+    want = model.recommend(history, 5).collect()
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(rules_module, "LINES_PER_PART", 2)
+    recs = model.recommend(history, 5)
+    assert sorted(recs.collect()) == sorted(want) and want
+    plan = recs._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    keyed = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "Reused" not in x]
+    parts = -(-history.count() // 2)
+    assert parts > few and any(f", {parts})" in x for x in keyed)
+    assert not [x for x in keyed if "rule_no" in x or "scored" in x]
