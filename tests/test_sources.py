@@ -153,3 +153,18 @@ def test_profile(spark):
                                 for u, p in [(1, 1), (1, 2), (2, 2)]], ORDER_LINE_SCHEMA)
     r = readers.dataset_profile(readers.coerce_schema(df)).first()
     assert (r["n_rows"], r["n_users"], r["n_products"], r["n_columns"]) == (3, 2, 2, 11)
+
+
+def test_many_lines_are_dealt_to_more_partitions(spark, monkeypatch):
+    """The same order lines and pairs, in partitions that grow with the lines."""
+    from basketry.plans import fixtures
+    from tests.conftest import SF001
+    few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for make in (fixtures.order_lines, fixtures.line_pairs):
+        monkeypatch.undo()
+        want = make(spark, SF001, "brand")
+        monkeypatch.setattr(fixtures, "LINES_PER_PART", 300)
+        got = make(spark, SF001, "brand")
+        assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+        parts = -(-fixtures.table(spark, SF001, "lineitem").count() // 300)
+        assert parts > few and f", {parts})" in got._jdf.queryExecution().executedPlan().toString()
