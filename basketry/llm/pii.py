@@ -137,6 +137,14 @@ def _words(text: str) -> Column:
     return F.array_distinct(F.transform(every, F.lower))
 
 
+def _terms(texts: DataFrame) -> DataFrame:
+    """(key, ts): the distinct terms of every distinct text of ``texts`` (key, text).
+
+    A text travels once, with all its terms: a row per term would carry the key with each.
+    """
+    return texts.select("key", _words("text").alias("ts")).groupBy("key").agg(F.first("ts").alias("ts"))
+
+
 def mentions(found: DataFrame) -> DataFrame:
     """(key, c): the distinct entities of every row, a row each."""
     return found.filter("size(spans) > 0").select("key", F.explode(F.expr(
@@ -147,8 +155,7 @@ def _beside(docs: DataFrame, found: DataFrame, entity: DataFrame, text_col: str)
     """(key, c, t): every term of every distinct text that mentions an entity of ``entity``."""
     asked = mentions(found).distinct().join(entity.select("c"), "c").select("key", "c").checkpoint(eager=True)
     texts = maybe_held(_keyed(docs, text_col), "key", asked.select("key"))
-    terms = texts.select("key", F.explode(_words("text")).alias("t")).distinct()
-    return terms.join(asked, "key").select("key", "c", "t")
+    return _terms(texts).join(asked, "key").select("key", "c", F.explode("ts").alias("t"))
 
 
 def disclosure(docs: DataFrame, found: DataFrame, min_docs: int = MIN_DOCS,
@@ -164,8 +171,8 @@ def disclosure(docs: DataFrame, found: DataFrame, min_docs: int = MIN_DOCS,
              .agg(F.count(F.lit(1)).alias("n_ct"))
              .filter(F.col("n_ct") >= min_docs).checkpoint(eager=True))
     terms = pairs.select("t").distinct().checkpoint(eager=True)
-    words = _keyed(docs, text_col).select("key", F.explode(_words("text")).alias("t"))
-    n_t = (maybe_held(words, "t", terms).distinct().groupBy("t").agg(F.count(F.lit(1)).alias("n_t")))
+    words = _terms(_keyed(docs, text_col)).select(F.explode("ts").alias("t"))
+    n_t = maybe_held(words, "t", terms).groupBy("t").agg(F.count(F.lit(1)).alias("n_t"))
     total = float(_keyed(docs, text_col).select("key").distinct().count())
     ic = F.log(F.lit(total) / F.col("n_c"))
     pmi = F.log(F.col("n_ct") * F.lit(total) / (F.col("n_c") * F.col("n_t")))

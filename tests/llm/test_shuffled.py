@@ -1,6 +1,7 @@
 """Operators that compare rows: against brute force on small tables."""
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import hypothesis.strategies as st
@@ -228,6 +229,17 @@ def test_pii_plan_is_native(spark):
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
 
 
+def test_texts_travel_once_for_all_their_terms(spark):
+    """No row per (text, term) is shuffled, for the terms' counts or beside an entity."""
+    docs = queries.table(spark, SF, "documents").select("doc_id", "text")
+    found = P.found_spans(docs).checkpoint(eager=True)
+    counts = P.disclosure(docs, found)
+    beside = P._beside(docs, found, P.mentions(found).select("c").distinct(), "text")
+    for df in (counts, beside):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(key#" in plan and not re.search(r"hashpartitioning\(key#\d+, t#", plan)
+
+
 # -- 8 suffix dedup -----------------------------------------------------------------
 
 def check_repeats(spark, made, threshold=200):
