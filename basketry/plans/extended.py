@@ -253,7 +253,7 @@ def _session_tables(spark, sf_dir):
         arrivals = _arrivals(spark, sf_dir).checkpoint(eager=True)
         for epoch in range(1, 6):   # one job a file, so that files arrive in order
             (arrivals.filter(F.col("epoch") == epoch).select("event_id", "ts", "user_id", "value")
-             .coalesce(1).write.mode("append").parquet(f"{path}/source"))
+             .repartition(1).write.mode("append").parquet(f"{path}/source"))
         return ses.sessionise_folder(spark, f"{path}/source", path, GAP, DELAY)
     return cm._memo(spark, ("sessions", sf_dir), build)
 

@@ -48,7 +48,7 @@ def part_late_events(spark: SparkSession, source: str, sink: str, checkpoint: st
             F.col("ts") <= mark - F.expr(f"interval {delay}"), F.lit(False))
         batch.filter(held).write.mode("overwrite").parquet(f"{sink}/late/epoch={epoch_id}")
         # One file of the second stream for each epoch keeps the order of arrival.
-        batch.filter(~held).coalesce(1).write.mode("overwrite").parquet(
+        batch.filter(~held).repartition(1).write.mode("overwrite").parquet(
             f"{sink}/on_time/epoch={epoch_id}")
         (batch.agg(F.greatest(F.max("ts"), mark).alias("latest")).coalesce(1)
          .write.mode("overwrite").parquet(f"{sink}/marks/epoch={epoch_id}"))
