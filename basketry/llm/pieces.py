@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from basketry.llm.texts import chunks, mixed
 
 MODEL = "piece_bpe_32k.model"
-PART_BYTES = 1 << 20
+PART_BYTES = 1 << 18     # a part's lattices take some 200 bytes a byte of text
 SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
 KEPT_NODES = 1 << 19     # nodes of the lattices a worker keeps, some 30 MB
@@ -130,7 +130,7 @@ class Lattices:
         last = np.cumsum(length)
         offset = last - length
         first = np.zeros(int(length.sum()) + 1, np.int64)
-        parts = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0),) + (np.zeros(0, np.int64),) * 2]
+        parts = [(np.zeros(0, np.int32),) * 2 + (np.zeros(0),) + (np.zeros(0, np.int32),) * 2]
         short = np.flatnonzero(length <= SHORT)
         short = short[np.argsort(-length[short], kind="stable")]
         self._short([distinct[i] for i in short], length[short], offset[short], first, parts)
@@ -200,8 +200,9 @@ class Lattices:
             for who, rank, b, w, piece in found:
                 cum[who] += w / total[who]
                 start = offset[who]
-                parts.append((start + e - 1, rank, cum[who],
-                              start + b - 1 if b else np.full(len(who), -1), piece))
+                before = start + b - 1 if b else np.full(len(who), -1)
+                parts.append(((start + e - 1).astype(np.int32), rank.astype(np.int32), cum[who],
+                              before.astype(np.int32), piece.astype(np.int32)))
 
     def _long(self, chunk: str, offset: int, degrees: np.ndarray):
         """Forward filter of one long chunk."""

@@ -1,6 +1,10 @@
 """Operators that judge each text: against brute force, libraries and round trips."""
 
+import random
+import tracemalloc
+
 import hypothesis.strategies as st
+import pyarrow as pa
 import pytest
 from brute import contamination, license_base, quality, sha
 from hypothesis import given, settings
@@ -293,6 +297,22 @@ def test_pieces_do_not_depend_on_kept_lattices(texts, monkeypatch):
 
 # -- 10 language ID -------------------------------------------------------------------
 
+def test_lattices_of_a_part_take_little_memory():
+    draw = random.Random(3)
+    texts = [" ".join("".join(draw.choices("etaoinshrdlu", k=draw.randint(2, 9))) for _ in range(300))
+             for _ in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["t"])
+    lat = pieces.Lattices(pieces.model_path(), 1.0)
+    tracemalloc.start()
+    try:
+        for b in pieces.chunks([batch], "t", pieces.PART_BYTES):
+            lat.sample(b.column(0).to_pylist(), [b"k"] * b.num_rows, 42)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(map(len, texts)) > 1 << 20 and peak < 140 << 20, peak
+
+
 def test_language_accuracy_on_held_out(spark):
     sf = "/root/testdata/sf0.01"
     rows = queries.op10_language_id(spark, sf).collect()
