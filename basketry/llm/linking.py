@@ -24,7 +24,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.keys import maybe_held
@@ -66,17 +66,24 @@ def parity_map(hashes: np.ndarray, counts: np.ndarray | None = None) -> bytes:
     return np.packbits((np.bincount(places, minlength=BITS) & 1).astype(np.uint8)).tobytes()
 
 
+def shared_buckets(placed: DataFrame) -> DataFrame:
+    """(bucket, node, n) of the buckets with n > 1 of the (bucket, node) rows, which move once."""
+    n = F.count(F.lit(1)).over(Window.partitionBy("bucket"))
+    return placed.select("bucket", "node", n.alias("n")).filter("n > 1")
+
+
 def node_texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, text) of ``wanted`` (node, rep_id, rep_raw): each text from one row alone.
 
-    A bit map of the wanted hashes keeps most other texts out of the shuffle.
+    A bit map of the wanted hashes keeps most other texts out of the shuffle. They are
+    written before repeated rows go: joins on ``node`` meet the texts where that puts them.
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn(
         "raw", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
     source = maybe_held(source, "raw", wanted.select(F.col("rep_raw").alias("raw")))
     return (source.join(wanted, (source["raw"] == wanted["rep_raw"])
                         & source["id"].eqNullSafe(wanted["rep_id"]))
-            .select("node", "text").dropDuplicates(["node"]))
+            .select("node", "text").checkpoint(eager=True).dropDuplicates(["node"]))
 
 
 def classes(edges: DataFrame) -> DataFrame:

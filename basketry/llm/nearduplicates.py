@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.linking import Ratio, linked_classes, node_texts, parity_map
+from basketry.llm.linking import Ratio, linked_classes, node_texts, parity_map, shared_buckets
 from basketry.llm.texts import WordHashes, as_bytes, chunks, mixed, words
 from basketry.session import checkpoint_root
 
@@ -177,13 +177,12 @@ def _nodes(docs: DataFrame, id_col: str, text_col: str, similarity: float):
         F.col("row").alias("node"), "id", "raw", "size", "bits", "bands")
     banded = reps.select("node", F.posexplode("bands").alias("band", "value")).select(
         F.xxhash64("band", "value").alias("bucket"), "node")
-    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = banded.join(shared, "bucket").select("bucket", "node", "n").checkpoint(eager=True)
+    members = shared_buckets(banded).checkpoint(eager=True)
     wanted = (reps.drop("bands").join(members.select("node").distinct(), "node", "left_semi")
               .checkpoint(eager=True))
     named_by = wanted.select("node", F.col("id").alias("rep_id"), F.col("raw").alias("rep_raw"))
     texts_of = lambda some: node_texts(
-        docs, named_by.join(some, "node", "left_semi"), id_col, text_col).checkpoint(eager=True)
+        docs, named_by.join(some, "node", "left_semi"), id_col, text_col)
     known, ratio = WordHashes(), Ratio(similarity)
 
     def linked(a, b) -> bool:

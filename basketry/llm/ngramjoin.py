@@ -148,13 +148,12 @@ def jaccard_components(docs: DataFrame, similarity: float = SIMILARITY, id_col:
         F.col("row").alias("node"), "id", "raw", "size", "bits", "prefix", "last_n", "last_h"
     ).checkpoint(eager=True)
     columns = reps.select(F.explode("prefix").alias("bucket"), "node")
-    shared = columns.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = columns.join(shared, "bucket").select("bucket", "node", "n").checkpoint(eager=True)
+    members = linking.shared_buckets(columns).checkpoint(eager=True)
     nodes = (reps.withColumn("n_prefix", F.size("prefix")).drop("prefix")
              .join(members.select("node").distinct(), "node", "left_semi").checkpoint(eager=True))
     named_by = nodes.select("node", F.col("id").alias("rep_id"), F.col("raw").alias("rep_raw"))
     texts_of = lambda some: linking.node_texts(
-        docs, named_by.join(some, "node", "left_semi"), id_col, text_col).checkpoint(eager=True)
+        docs, named_by.join(some, "node", "left_semi"), id_col, text_col)
     known = WordHashes()
 
     def linked(a, b) -> bool:

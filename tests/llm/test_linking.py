@@ -165,3 +165,30 @@ def test_every_pair_of_a_bucket_is_settled_with_few_checks(spark, monkeypatch):
     want = {doc: c for doc, _, c in components(list(enumerate(made)))}
     assert {i: got.get(i, i) for i in want} == want
     assert checked.value < len(made) ** 2 / 8
+
+
+def test_bucket_rows_move_once(spark):
+    rows = [(b, n) for b in range(30) for n in range(b % 4)] + [(99, n) for n in range(500)]
+    got = linking.shared_buckets(spark.createDataFrame(rows, "bucket long, node long"))
+    size = defaultdict(int)
+    for b, _ in rows:
+        size[b] += 1
+    assert sorted(map(tuple, got.collect())) == sorted((b, n, size[b]) for b, n in rows if size[b] > 1)
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning(bucket") == 1
+
+
+def test_texts_move_to_their_nodes_once(spark):
+    texts = [(i, f"a b c {i % 5}") for i in range(40)] + [(3, "a b c 3")] * 5 + [(None, "a b c 0")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    wanted = docs.distinct().select(
+        F.coalesce("doc_id", F.lit(77)).alias("node"), F.col("doc_id").alias("rep_id"),
+        F.unhex(F.md5(F.col("text").cast("binary"))).alias("rep_raw"))
+    pairs = spark.createDataFrame([(i, i + 5) for i in range(35)] + [(0, 77), (1, 77), (3, 4)], "a long, b long")
+    got = linking.linked_pairs(
+        pairs, lambda some: linking.node_texts(docs, wanted.join(some, "node", "left_semi"), "doc_id", "text"),
+        lambda t: t, lambda a, b: a == b)
+    assert sorted(map(tuple, got.collect())) == sorted([(i, i + 5) for i in range(35)] + [(0, 77)])
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # Repeated rows go on the way that both joins of the texts take: no way of their own.
+    assert plan.count("partial_first(text") == 1
