@@ -178,17 +178,19 @@ def test_bucket_rows_move_once(spark):
     assert plan.count("Exchange hashpartitioning(bucket") == 1
 
 
-def test_texts_move_to_their_nodes_once(spark):
-    texts = [(i, f"a b c {i % 5}") for i in range(40)] + [(3, "a b c 3")] * 5 + [(None, "a b c 0")]
-    docs = spark.createDataFrame(texts, "doc_id long, text string")
-    wanted = docs.distinct().select(
-        F.coalesce("doc_id", F.lit(77)).alias("node"), F.col("doc_id").alias("rep_id"),
-        F.unhex(F.md5(F.col("text").cast("binary"))).alias("rep_raw"))
-    pairs = spark.createDataFrame([(i, i + 5) for i in range(35)] + [(0, 77), (1, 77), (3, 4)], "a long, b long")
-    got = linking.linked_pairs(
-        pairs, lambda some: linking.node_texts(docs, wanted.join(some, "node", "left_semi"), "doc_id", "text"),
-        lambda t: t, lambda a, b: a == b)
-    assert sorted(map(tuple, got.collect())) == sorted([(i, i + 5) for i in range(35)] + [(0, 77)])
-    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+def test_texts_move_to_their_nodes_once(spark, monkeypatch):
+    base = " ".join(f"w{i}" for i in range(60))
+    texts = [(i, f"{base} end {i}") for i in range(6)] + [(3, f"{base} end 3")] * 5 + [(None, f"{base} end 0")]
+    seen, pairs = [], linking.linked_pairs
+
+    def kept(*args):
+        seen.append(pairs(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(linking, "linked_pairs", kept)
+    got = ngramjoin.jaccard_components(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert sorted(r["component_id"] for r in got.collect()) == [0] * len(texts)
+    assert len(seen[0].collect()) == 5
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     # Repeated rows go on the way that both joins of the texts take: no way of their own.
     assert plan.count("partial_first(text") == 1
