@@ -13,6 +13,10 @@ mostly documents of one class. Two passes settle every pair of a bucket:
    one of both has, so a pair beyond what the similarity allows is excluded by
    proof. Only the pairs that remain leave a block and are checked exactly.
 
+Beyond some 3,000 shingles such a map is full and excludes nothing, so nodes may bring a wide
+map as well, a bit or two for each of their shingles: both passes put their pairs of long
+texts to it, by the same bound, before any text moves.
+
 No candidate is capped or dropped. Texts are read for nodes of pairs to check only;
 a pivot's text is dealt once for every ``PER_SALT`` of its partners.
 """
@@ -56,14 +60,27 @@ class Ratio:
         return both * (self.den - self.num) // (self.den + self.num)
 
 
-def parity_map(hashes: np.ndarray, counts: np.ndarray | None = None) -> bytes:
-    """Bit i: the parity of how many (shingle, occurrence) pairs fall on i."""
+def parity_map(hashes: np.ndarray, counts: np.ndarray | None = None, bits: int = BITS) -> bytes:
+    """Bit i: the parity of how many (shingle, occurrence) pairs fall on i; ``bits`` a power of two."""
     if counts is not None and len(counts) and counts.max() > 1:
         first = np.repeat(np.cumsum(counts) - counts, counts)
         turn = np.arange(len(first)) - first
         hashes = mixed(np.repeat(hashes, counts) + turn.astype(np.uint64) * _STEP)
-    places = (hashes & np.uint64(BITS - 1)).astype(np.int64)
-    return np.packbits((np.bincount(places, minlength=BITS) & 1).astype(np.uint8)).tobytes()
+    places = (hashes & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def wide_map(hashes: np.ndarray) -> bytes | None:
+    """The parity map with at least a bit for each of more than BITS hashes, else None."""
+    n = len(hashes)
+    return parity_map(hashes, bits=1 << (n - 1).bit_length()) if n > BITS else None
+
+
+def least_apart(a: bytes, b: bytes) -> int:
+    """The Hamming distance of two parity maps, the wider folded to the other's width."""
+    wide = min(len(a), len(b)) // 8
+    a, b = (np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, wide)) for x in (a, b))
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def shared_buckets(placed: DataFrame) -> DataFrame:
@@ -160,6 +177,18 @@ def _possible(ratio: Ratio):
     return run
 
 
+def _possible_long(ratio: Ratio):
+    """Arrow function over (a, b, both, wide_a, wide_b): the (a, b) not excluded by two wide maps."""
+    def run(batches):
+        for b in batches:
+            kept = [x is None or y is None or least_apart(x, y) <= ratio.most_apart(both)
+                    for both, x, y in zip(*(b.column(c).to_pylist() for c in (2, 3, 4)))]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(
+                pa.array(kept, pa.bool_()))
+
+    return run
+
+
 def _block_pairs(ratio: Ratio):
     """Arrow function over rows sorted by key: (a, b) not excluded, within each key."""
     names = ["a", "b"]
@@ -266,7 +295,8 @@ def linked_classes(members: DataFrame, nodes: DataFrame, texts_of: Callable, sim
                    accumulate: Callable | None = None) -> DataFrame | None:
     """(node, label) of all nodes that are linked inside buckets, None where none is.
 
-    ``members``: (bucket, node, n) with the bucket's size n > 1; ``nodes``: (node, size, bits);
+    ``members``: (bucket, node, n) with the bucket's size n > 1; ``nodes``: (node, size, bits) and,
+    where there are such, the ``wide`` map or null;
     ``texts_of``: the (node, text) rows of a frame of nodes.
     ``accumulate`` takes the open pairs of pass 2, one row for each bucket they share, and
     returns the distinct ones that its own bounds leave.
@@ -284,13 +314,25 @@ def linked_classes(members: DataFrame, nodes: DataFrame, texts_of: Callable, sim
                 .select("a", "b", F.col("size_a").cast("long"), F.col("size_b").cast("long"),
                         "bits_a", "bits_b").mapInArrow(_possible(ratio), "a long, b long"))
 
+    def sharper(pairs: DataFrame) -> DataFrame:
+        if "wide" not in nodes.columns:
+            return pairs
+        pairs = pairs.select("a", "b").checkpoint(eager=True)
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
+        long = maybe_held(nodes.filter("wide is not null").select("node", "size", "wide"), "node", ends)
+        for c in ("b", "a"):
+            pairs = pairs.join(long.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"),
+                                           F.col("wide").alias(f"wide_{c}")), c, "left")
+        return pairs.select("a", "b", (F.col("size_a") + F.col("size_b")).cast("long").alias("both"),
+                            "wide_a", "wide_b").mapInArrow(_possible_long(ratio), "a long, b long")
+
     stars = (members.join(pivots, "bucket").filter("node != pivot")
              .select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
     stars = bounded(stars)
     # (p, x) and (x, p) may both come, where each is a pivot: once is enough.
     stars = stars.groupBy(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).agg(
         F.max("a").alias("a")).select("a", (F.col("lo") + F.col("hi") - F.col("a")).alias("b"))
-    edges = linked_pairs(stars, texts_of, row_of, linked).checkpoint(eager=True)
+    edges = linked_pairs(sharper(stars), texts_of, row_of, linked).checkpoint(eager=True)
     labels = None if edges.isEmpty() else classes(edges)
     small, large = (rows.mapInArrow(_block_pairs(ratio), "a long, b long") for rows in _dealt(
         members, labels, nodes, min(SMALL, BLOCK) if accumulate else 0))
@@ -298,7 +340,7 @@ def linked_classes(members: DataFrame, nodes: DataFrame, texts_of: Callable, sim
         rest = large.distinct()
     else:
         rest = bounded(accumulate(small.unionByName(large)))
-    more = linked_pairs(rest, texts_of, row_of, linked).checkpoint(eager=True)
+    more = linked_pairs(sharper(rest), texts_of, row_of, linked).checkpoint(eager=True)
     if more.isEmpty():
         return labels
     return classes(edges.unionByName(more))

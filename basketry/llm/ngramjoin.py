@@ -10,9 +10,9 @@ from those columns: a bucket is a column with all rows that hold it there, and
 columns bounds the overlap of each pair from above, and pairs below what their sizes
 ask for are discarded. What remains is accumulated over columns: with c shared
 columns up to the point where the first of both prefixes ends, the overlap is at
-most c plus the rest of that row; pairs below the bound from their sizes go, and the
-product over all columns of the others decides, in whole numbers. Shingles are
-64-bit hashes.
+most c plus the rest of that row; pairs below the bound from their sizes go, long rows
+are bounded once more by maps as wide as they are, and the product over all columns of
+the others decides, in whole numbers. Shingles are 64-bit hashes.
 
 Texts without words (null, empty, blanks) have no shingle and are linked with
 nothing: each such row is a component of its own. Null ids take part; a component
@@ -83,12 +83,13 @@ def least_overlap(n: int, ratio: linking.Ratio) -> int:
 
 
 def signed_rows(docs: DataFrame, counts, ratio: linking.Ratio, id_col: str, text_col: str):
-    """(id, raw, set, size, bits, prefix, last): one row per document, ``set`` null without words."""
+    """(id, raw, set, size, bits, wide, prefix, last): one row per document, ``set`` null without words."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     schema = T.StructType([
         T.StructField("id", rows.schema["id"].dataType), T.StructField("raw", T.BinaryType()),
         T.StructField("set", T.BinaryType()), T.StructField("size", T.LongType()),
-        T.StructField("bits", T.BinaryType()), T.StructField("prefix", T.ArrayType(T.LongType())),
+        T.StructField("bits", T.BinaryType()), T.StructField("wide", T.BinaryType()),
+        T.StructField("prefix", T.ArrayType(T.LongType())),
         T.StructField("last_n", T.LongType()), T.StructField("last_h", T.LongType())])
 
     def run(batches):
@@ -99,18 +100,20 @@ def signed_rows(docs: DataFrame, counts, ratio: linking.Ratio, id_col: str, text
                 h = shingles(t, known)
                 raw, n = hashlib.md5(t).digest(), len(h)
                 if not n:
-                    out.append((raw, None, 0, None, None, None, None))
+                    out.append((raw, None, 0, None, None, None, None, None))
                     continue
                 often, signed = frequency[_slots(h)], h.view(np.int64)
                 order = np.lexsort((signed, often))[:n - least_overlap(n, ratio) + 1]
                 out.append((raw, xxhash.xxh3_128_digest(h.tobytes()), n, linking.parity_map(h),
-                            signed[order], int(often[order[-1]]), int(signed[order[-1]])))
+                            linking.wide_map(h), signed[order], int(often[order[-1]]),
+                            int(signed[order[-1]])))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array(c, f.type) for c, f in zip(zip(*out), kinds))], schema.names)
 
     kinds = [pa.field("raw", pa.binary()), pa.field("set", pa.binary()), pa.field("size", pa.int64()),
-             pa.field("bits", pa.binary()), pa.field("prefix", pa.list_(pa.int64())),
-             pa.field("last_n", pa.int64()), pa.field("last_h", pa.int64())]
+             pa.field("bits", pa.binary()), pa.field("wide", pa.binary()),
+             pa.field("prefix", pa.list_(pa.int64())), pa.field("last_n", pa.int64()),
+             pa.field("last_h", pa.int64())]
     return rows.mapInArrow(run, schema)
 
 
@@ -145,7 +148,7 @@ def jaccard_components(docs: DataFrame, similarity: float = SIMILARITY, id_col:
             .select("set", F.col("rep.row").alias("node"), F.col("rep.id").alias("rep_id"))
             .checkpoint(eager=True))
     reps = rows.join(sets.select(F.col("node").alias("row")), "row", "left_semi").select(
-        F.col("row").alias("node"), "id", "raw", "size", "bits", "prefix", "last_n", "last_h"
+        F.col("row").alias("node"), "id", "raw", "size", "bits", "wide", "prefix", "last_n", "last_h"
     ).checkpoint(eager=True)
     columns = reps.select(F.explode("prefix").alias("bucket"), "node")
     members = linking.shared_buckets(columns).checkpoint(eager=True)

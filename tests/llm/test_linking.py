@@ -194,3 +194,33 @@ def test_texts_move_to_their_nodes_once(spark, monkeypatch):
     plan = seen[0]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     # Repeated rows go on the way that both joins of the texts take: no way of their own.
     assert plan.count("partial_first(text") == 1
+
+
+def test_wide_maps_never_exceed_the_difference_and_tell_long_texts_apart():
+    rng = np.random.default_rng(6)
+    draw = lambda n: np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+    assert linking.wide_map(draw(linking.BITS)) is None
+    for n, m in ((1100, 1300), (2000, 2100), (5000, 4000), (9000, 1100)):
+        a = draw(n)
+        for b in (np.unique(np.concatenate([a[n // 9:], draw(50)])), draw(m)):
+            maps = linking.wide_map(a), linking.wide_map(b)
+            assert linking.least_apart(*maps) == linking.least_apart(*maps[::-1])
+            assert linking.least_apart(*maps) <= len(np.setxor1d(a, b))
+            assert len(maps[0]) * 8 >= len(a)
+        assert linking.least_apart(*maps) > linking.Ratio(0.85).most_apart(len(a) + len(b))
+
+
+def test_long_texts_with_a_passage_in_common_are_not_read(spark, monkeypatch):
+    rng = random.Random(12)
+    a, b, passage = prose(rng, 4200, 10 ** 6), prose(rng, 4200, 10 ** 6), prose(rng, 800, 10 ** 6)
+    rows = [(1, f"{a} {passage}"), (2, f"{b} {passage}"), (8, edited(rng, f"{b} {passage}", 20))]
+    rows += [(i, f"{x} {prose(rng, 800, 10 ** 6)}") for i, x in ((3, a), (4, a), (5, b), (6, b))]
+    seen, pairs = set(), linking.linked_pairs
+
+    def kept(some, *args):
+        seen.update((min(r), max(r)) for r in some.select("a", "b").collect())
+        return pairs(some, *args)
+
+    monkeypatch.setattr(linking, "linked_pairs", kept)
+    assert joined(spark, rows) == components(rows)
+    assert len(seen) == 1
