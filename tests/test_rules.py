@@ -1,5 +1,7 @@
 """Rule mining counts and rule firing / scoring semantics."""
 
+import random
+
 import pytest
 
 from basketry.operators import rules as rules_module
@@ -175,3 +177,22 @@ def test_scoring_of_many_lines_is_dealt_by_basket(spark, monkeypatch):
     parts = -(-history.count() // 2)
     assert parts > few and any(f", {parts})" in x for x in keyed)
     assert not [x for x in keyed if "rule_no" in x or "scored" in x]
+
+
+def test_miner_gathers_small_projections_only(spark, monkeypatch):
+    """A prefix's baskets meet in one task only while they hold few items; itemsets are the same either way."""
+    from collections import Counter
+    from itertools import combinations
+    rng = random.Random(8)
+    made = [sorted(rng.sample(range(9), rng.randrange(1, 7))) for _ in range(400)]
+    frame = spark.createDataFrame([(i, b) for i, b in enumerate(made)], "user_id long, items array<bigint>")
+    want = {c: n for c, n in Counter(c for b in made for k in (1, 2, 3) for c in combinations(b, k)).items()
+            if n >= rules_module.min_count(0.02, len(made))}
+    bounds, real = [], rules_module.PrefixSpan
+    monkeypatch.setattr(rules_module, "PrefixSpan", lambda **kw: bounds.append(
+        kw.get("maxLocalProjDBSize", 32_000_000)) or real(**kw))
+    for most in (rules_module.ITEMS_IN_A_TASK, 60, 1):
+        monkeypatch.setattr(rules_module, "ITEMS_IN_A_TASK", most)
+        got = {tuple(r["items"]): r["freq"] for r in rules_module.frequent_itemsets(frame, len(made), 0.02, 3).collect()}
+        assert got == want
+    assert bounds[0] <= 1_000_000 and bounds[1:] == [60, 1]
